@@ -1,0 +1,5 @@
+"""Deliberately empty: no capability to match uses streams.
+
+Late and re-sent files are handled by a full batch rebuild with keep-latest
+de-duplication (``tillmark.operators.dedup``).
+"""
