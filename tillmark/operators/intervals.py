@@ -29,7 +29,8 @@ def interval_join(
     With ``slice_days`` and ``horizon`` the calendar is cut into slices that join the
     key: the rows of a hot key spread over the slices, and a point meets only
     intervals that touch its slice.  Days outside the horizon count to its first or
-    last slice, so the horizon affects speed only, never the result.
+    last slice, so the horizon affects speed only, never the result.  This form is
+    always shuffled: the size of ``intervals`` is unknown once cut into slices.
     """
     if bounds not in ("[]", "[)"):
         raise ValueError("bounds must be '[]' or '[)'")
@@ -44,6 +45,7 @@ def interval_join(
         last = _slice(F.coalesce(F.col(end), F.lit(horizon[1])), slice_days, horizon)
         left = left.withColumn("_slice", _slice(F.col(at), slice_days, horizon))
         right = right.where(first <= last).withColumn("_slot", F.explode(F.sequence(first, last)))
+        right = right.hint("merge")
         match = F.col("_slice") == F.col("_slot")
     for k in keys:
         match = match & (F.col(k) == F.col(f"_{k}"))

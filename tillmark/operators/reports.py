@@ -144,12 +144,12 @@ def period_revenue(
     revisions: DataFrame,
     periods: Sequence[tuple[str, dt.date, dt.date]],
     bounds: str = "[)",
-    slice_days: int = 31,
 ) -> DataFrame:
     """Point-in-time revenue of SALE lines per period ``(label, first day, last day)``.
 
-    Quantities are summed per product and day before prices are joined, so the price
-    join sees days, not lines.  ``bounds="[)"`` loses sales on the last day of a
+    Quantities are summed per product and day before prices are joined: the join sees
+    days, not lines, and a hot product has no more rows than days.  Revisions outside
+    all periods are left out before the join.  ``bounds="[)"`` loses sales on the last day of a
     revision whose end is its last valid day; ``"[]"`` prices them.  A period without
     priced sales has NULL revenue.
     """
@@ -160,19 +160,21 @@ def period_revenue(
         ),
         lambda label: label.isNotNull(),
     )
-    horizon = (min(a for _, a, _ in periods), max(b for _, _, b in periods))
-    inside = F.lit(False)
+    inside, touching = F.lit(False), F.lit(False)
     for _, a, b in periods:
         inside = inside | day.between(F.lit(a), F.lit(b))
+        until = F.col("effective_to").isNull() | (F.col("effective_to") >= F.lit(a))
+        touching = touching | ((F.col("effective_from") <= F.lit(b)) & until)
     sold = (
         fact.where((F.col("line_type") == "SALE") & inside & F.col("product_sk").isNotNull())
         .groupBy("product_sk", "business_date")
         .agg(F.sum(F.col("quantity").cast("decimal(18,6)")).cast("decimal(24,6)").alias("quantity"))
     )
-    prices = revisions.select("product_sk", "selling_price", "effective_from", "effective_to")
+    prices = revisions.where(touching).select(
+        "product_sk", "selling_price", "effective_from", "effective_to"
+    )
     priced = interval_join(
-        sold, prices, ["product_sk"], "business_date", "effective_from", "effective_to",
-        bounds, "inner", slice_days, horizon,
+        sold, prices, ["product_sk"], "business_date", "effective_from", "effective_to", bounds, "inner"
     )
     totals = (
         priced.select(
@@ -182,7 +184,8 @@ def period_revenue(
         .groupBy("reporting_period")
         .agg(F.sum("revenue").alias("total_historical_revenue"))
     )
-    wanted = fact.sparkSession.createDataFrame([(p[0],) for p in periods], "reporting_period string")
+    names = F.array(*[F.lit(label) for label, _, _ in periods])
+    wanted = fact.sparkSession.range(1).select(F.explode(names).alias("reporting_period"))
     return wanted.join(totals, "reporting_period", "left")
 
 

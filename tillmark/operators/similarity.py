@@ -23,11 +23,15 @@ def trigrams(notices: DataFrame) -> DataFrame:
     return notices.select(ID, X.trigrams(F.col(BODY)).alias("grams"))
 
 
+def gram_sets(notices: DataFrame) -> DataFrame:
+    """``notice_id, grams`` with the trigrams as numbers, for exact comparison."""
+    return notices.select(ID, X.gram_codes(X.trigrams(F.col(BODY))).alias("grams"))
+
+
 def jaccard(a: Column, b: Column) -> Column:
     """Shared over all elements of two distinct arrays; 0.0 when both are empty."""
     shared = F.size(F.array_intersect(a, b))
-    either = F.size(a) + F.size(b) - shared
-    return F.when(either == 0, F.lit(0.0)).otherwise(shared / either)
+    return F.coalesce(F.try_divide(shared, F.size(a) + F.size(b) - shared), F.lit(0.0))
 
 
 def members(notices: DataFrame, pairs: DataFrame) -> DataFrame:
@@ -65,21 +69,19 @@ def minhash_similarity(pairs: DataFrame, sigs: DataFrame) -> DataFrame:
     )
 
 
-def minhash_error(pairs: DataFrame, grams: DataFrame, k: int = 400) -> DataFrame:
-    """Exact and estimated similarity, the error in percent and whether it is within 100/sqrt(k)."""
-    both = grams.select(
-        ID, "grams", H.signature(H.base_hashes(F.col("grams")), k).alias("signature")
+def score_pairs(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """Pairs with exact and estimated similarity; ``sets`` has ``grams`` and ``signature``."""
+    return attach(pairs, sets.select(ID, "grams", "signature")).select(
+        *pairs.columns,
+        jaccard(F.col("grams_a"), F.col("grams_b")).alias("jaccard"),
+        H.slot_agreement(F.col("signature_a"), F.col("signature_b")).alias("estimate"),
     )
+
+
+def minhash_error(scored: DataFrame, k: int = 400) -> DataFrame:
+    """Adds the error in percent and whether it is within 100/sqrt(k) to pairs with both scores."""
     error = F.abs(F.col("jaccard") - F.col("estimate")) * 100
-    return (
-        attach(pairs, both)
-        .select(
-            *pairs.columns,
-            jaccard(F.col("grams_a"), F.col("grams_b")).alias("jaccard"),
-            H.slot_agreement(F.col("signature_a"), F.col("signature_b")).alias("estimate"),
-        )
-        .select("*", error.alias("error_pct"), (error <= 100 / k**0.5).alias("within_bound"))
-    )
+    return scored.select("*", error.alias("error_pct"), (error <= 100 / k**0.5).alias("within_bound"))
 
 
 def verify_candidates(pairs: DataFrame, grams: DataFrame, threshold: float) -> DataFrame:
@@ -87,29 +89,34 @@ def verify_candidates(pairs: DataFrame, grams: DataFrame, threshold: float) -> D
     return jaccard_pairs(pairs, grams).where(F.col("jaccard") >= threshold)
 
 
-def score_strategies(
-    pairs: DataFrame,
+def strategy_grams(
     notices: DataFrame,
     strategies: Sequence[str],
     phrases: Sequence[str] = X.PHRASES,
     span: int = 1400,
 ) -> DataFrame:
-    """Exact similarity of every pair under every cleaning strategy, in one pass over the texts."""
-    cleaned = members(notices, pairs).select(
+    """One column of trigram sets per cleaning strategy, in one pass over the texts."""
+    body = F.col(BODY)
+    return notices.select(
         ID,
-        *[X.trigrams(X.cleaner(s, phrases, span)(F.col(BODY))).alias(s) for s in strategies],
+        *[X.gram_codes(X.trigrams(X.cleaner(s, phrases, span)(body))).alias(s) for s in strategies],
     )
+
+
+def score_strategies(pairs: DataFrame, grams: DataFrame) -> DataFrame:
+    """Exact similarity of every pair under every strategy of :func:`strategy_grams`."""
     scores = F.array(
         *[
             F.struct(
                 F.lit(s).alias("strategy"),
                 jaccard(F.col(f"{s}_a"), F.col(f"{s}_b")).alias("jaccard"),
             )
-            for s in strategies
+            for s in grams.columns
+            if s != ID
         ]
     )
     return (
-        attach(pairs, cleaned)
+        attach(pairs, grams)
         .select(*pairs.columns, F.explode(scores).alias("s"))
         .select(*pairs.columns, "s.strategy", "s.jaccard")
     )

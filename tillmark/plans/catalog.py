@@ -23,7 +23,7 @@ PERIODS = (
     ("March 1997", dt.date(1997, 3, 1), dt.date(1997, 3, 31)),
     ("October 1997", dt.date(1997, 10, 1), dt.date(1997, 10, 31)),
     ("Year 1999", dt.date(1999, 1, 1), dt.date(1999, 12, 31)),
-    ("March 2030", dt.date(2030, 3, 1), dt.date(2030, 3, 31)),
+    ("March 2003", dt.date(2003, 3, 1), dt.date(2003, 3, 31)),
 )
 STRATEGIES = ("raw", "strip_then_mask", "mask_then_strip", "greedy_block")
 SPAN = 600
@@ -254,7 +254,7 @@ def _buckets(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _pairs(spark: SparkSession, sf: str) -> DataFrame:
-    return stage(st.labelled_pairs(st.notices(spark, sf)), "labels")
+    return stage(st.labelled_pairs(st.notices(spark, sf)), "pairs")
 
 
 def trigram_counts(spark: SparkSession, sf: str) -> DataFrame:
@@ -277,12 +277,12 @@ def peek(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def jaccard_pairs(spark: SparkSession, sf: str) -> DataFrame:
-    pairs = _pairs(spark, sf)
-    return sim.jaccard_pairs(pairs, near.grams(sim.members(st.notices(spark, sf), pairs), phrases=st.PHRASES))
+    return near.exact_scores(st.notices(spark, sf), _pairs(spark, sf), phrases=st.PHRASES)
 
 
 def evaluate_metric(spark: SparkSession, sf: str) -> DataFrame:
-    scores = sim.score_strategies(_pairs(spark, sf), st.notices(spark, sf), STRATEGIES, st.PHRASES, SPAN)
+    pairs = _pairs(spark, sf)
+    scores = near.strategy_scores(st.notices(spark, sf), pairs, STRATEGIES, st.PHRASES, SPAN)
     return sim.evaluate_metric(scores).select(
         "strategy", "same_pairs", F.round("same_avg", 6).alias("same_avg"), "same_min", "same_max",
         "different_pairs", F.round("different_avg", 6).alias("different_avg"),
@@ -302,9 +302,8 @@ def minhash_signature(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def minhash_error(spark: SparkSession, sf: str) -> DataFrame:
-    pairs = _pairs(spark, sf)
-    grams = near.grams(sim.members(st.notices(spark, sf), pairs), phrases=st.PHRASES)
-    return sim.minhash_error(pairs, grams).withColumn("error_pct", F.round("error_pct", 6))
+    errors = near.estimate_errors(st.notices(spark, sf), _pairs(spark, sf), phrases=st.PHRASES)
+    return errors.withColumn("error_pct", F.round("error_pct", 6))
 
 
 def lsh_buckets(spark: SparkSession, sf: str) -> DataFrame:
@@ -355,8 +354,7 @@ def verify_candidates(spark: SparkSession, sf: str) -> DataFrame:
 def s_curve(spark: SparkSession, sf: str) -> DataFrame:
     """Survival probability at the exact similarity of each labelled pair, beside what happened."""
     pairs = _pairs(spark, sf)
-    texts = st.notices(spark, sf)
-    exact = sim.jaccard_pairs(pairs, near.grams(sim.members(texts, pairs), phrases=st.PHRASES))
+    exact = near.exact_scores(st.notices(spark, sf), pairs, phrases=st.PHRASES)
     hits = lsh.labelled_hits(pairs, _bands(spark, sf))
     s = F.col("jaccard")
     return exact.join(hits, pairs.columns).select(

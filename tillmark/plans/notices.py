@@ -4,9 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, functions as F
 
-from tillmark.functions import text as X
+from tillmark.functions import hashing as H, text as X
 from tillmark.operators import lsh, similarity as sim
 from tillmark.operators.dedup import dedup_latest
 from tillmark.staging import stage
@@ -39,6 +39,59 @@ def staged_bands(
     return stage(lsh.band_table(sigs, bands, k // bands, empty), "bands")
 
 
+def staged_sets(
+    notices: DataFrame,
+    pairs: DataFrame,
+    strategy: str = "mask_then_strip",
+    phrases: Sequence[str] = X.PHRASES,
+    k: int | None = None,
+) -> DataFrame:
+    """Trigram sets, and signatures when ``k`` is given, of the notices that occur in a pair.
+
+    Written once, because both sides of every pair read them (an action).
+    """
+    cleaned = sim.clean_text(sim.members(notices, pairs), strategy, phrases)
+    sets = sim.trigrams(cleaned).select(
+        sim.ID,
+        X.gram_codes(F.col("grams")).alias("grams"),
+        *([H.signature(H.base_hashes(F.col("grams")), k).alias("signature")] if k else []),
+    )
+    return stage(sets, "sets")
+
+
+def exact_scores(
+    notices: DataFrame,
+    pairs: DataFrame,
+    strategy: str = "mask_then_strip",
+    phrases: Sequence[str] = X.PHRASES,
+) -> DataFrame:
+    return sim.jaccard_pairs(pairs, staged_sets(notices, pairs, strategy, phrases))
+
+
+def estimate_errors(
+    notices: DataFrame,
+    pairs: DataFrame,
+    strategy: str = "mask_then_strip",
+    phrases: Sequence[str] = X.PHRASES,
+    k: int = 400,
+) -> DataFrame:
+    """Exact similarity, estimate and error of every pair."""
+    sets = staged_sets(notices, pairs, strategy, phrases, k)
+    return sim.minhash_error(sim.score_pairs(pairs, sets), k)
+
+
+def strategy_scores(
+    notices: DataFrame,
+    pairs: DataFrame,
+    strategies: Sequence[str],
+    phrases: Sequence[str] = X.PHRASES,
+    span: int = 1400,
+) -> DataFrame:
+    """Exact similarity of every pair under every cleaning strategy."""
+    grams_ = sim.strategy_grams(sim.members(notices, pairs), strategies, phrases, span)
+    return sim.score_strategies(pairs, stage(grams_, "strategies"))
+
+
 def near_duplicates(
     notices: DataFrame,
     threshold: float = 0.8,
@@ -49,4 +102,4 @@ def near_duplicates(
     """Verified near-duplicate pairs with their exact similarity."""
     banded = staged_bands(notices, strategy, phrases)
     pairs = stage(lsh.candidate_pairs(lsh.buckets_of(banded), max_bucket), "candidates")
-    return sim.verify_candidates(pairs, grams(sim.members(notices, pairs), strategy, phrases), threshold)
+    return sim.verify_candidates(pairs, staged_sets(notices, pairs, strategy, phrases), threshold)

@@ -308,17 +308,15 @@ labels_ AS (
 def _scored(pairs: str, grams: str = "grams", name: str = "scored") -> str:
     """Exact similarity of the rows of ``pairs``."""
     return f"""
-{name}_sizes AS (SELECT notice_id, count(*) AS n FROM {grams} GROUP BY 1),
-{name}_shared AS (
-  SELECT p.notice_id_a, p.notice_id_b, count(*) AS n FROM (SELECT DISTINCT notice_id_a, notice_id_b FROM {pairs}) p
-  JOIN {grams} a ON p.notice_id_a = a.notice_id
-  JOIN {grams} b ON p.notice_id_b = b.notice_id AND a.gram = b.gram GROUP BY ALL),
+{name}_lists AS (
+  SELECT d.doc_id AS notice_id, coalesce(list(gram) FILTER (gram IS NOT NULL), []) AS all_grams
+  FROM documents d LEFT JOIN {grams} g ON d.doc_id = g.notice_id GROUP BY 1),
+{name}_sets AS (
+  SELECT p.*, len(a.all_grams) + len(b.all_grams) AS n, len(list_intersect(a.all_grams, b.all_grams)) AS shared
+  FROM {pairs} p JOIN {name}_lists a ON p.notice_id_a = a.notice_id JOIN {name}_lists b ON p.notice_id_b = b.notice_id),
 {name} AS (
-  SELECT p.*, CASE WHEN coalesce(x.n, 0) + coalesce(y.n, 0) = 0 THEN 0.0
-      ELSE coalesce(s.n, 0) / CAST(coalesce(x.n, 0) + coalesce(y.n, 0) - coalesce(s.n, 0) AS DOUBLE) END AS jaccard
-  FROM {pairs} p LEFT JOIN {name}_shared s USING (notice_id_a, notice_id_b)
-  LEFT JOIN {name}_sizes x ON p.notice_id_a = x.notice_id
-  LEFT JOIN {name}_sizes y ON p.notice_id_b = y.notice_id)"""
+  SELECT * EXCLUDE (n, shared), CASE WHEN n = 0 THEN 0.0 ELSE shared / CAST(n - shared AS DOUBLE) END AS jaccard
+  FROM {name}_sets)"""
 
 
 _ESTIMATED = """

@@ -9,13 +9,21 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from tillmark.sources.files import read_spread
+from tillmark.staging import stage
 
 # Phrases that many of the test documents share.
 PHRASES = ("Licensed under the Apache License, Version 2.0.", "Released under the MIT License.")
 
 
-def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf}/{name}.parquet")
+# Key to spread a table by, where it is too small to fill the cores by itself.
+SPREAD = {"lineitem": "l_orderkey", "orders": "o_orderkey", "documents": "doc_id", "events": "event_id"}
+
+
+def table(spark: SparkSession, sf: str, name: str, *columns: str) -> DataFrame:
+    path = f"{sf}/{name}.parquet"
+    if name in SPREAD:
+        return read_spread(spark, path, SPREAD[name], *(columns or ("*",)))
+    return spark.read.parquet(path).select(*(columns or ("*",)))
 
 
 def raw_sales(spark: SparkSession, sf: str) -> DataFrame:
@@ -171,7 +179,7 @@ def finance(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def notices(spark: SparkSession, sf: str) -> DataFrame:
-    docs = read_spread(spark, f"{sf}/documents.parquet", "doc_id", "doc_id", "text", "source")
+    docs = table(spark, sf, "documents", "doc_id", "text", "source")
     return docs.select(
         F.col("doc_id").alias("notice_id"), F.col("text").alias("body"), F.col("source").alias("portal_id")
     )
@@ -180,9 +188,9 @@ def notices(spark: SparkSession, sf: str) -> DataFrame:
 def labelled_pairs(texts: DataFrame) -> DataFrame:
     """``same``: each copy with the first notice of equal text up to white space;
     ``different``: each notice with its successor, when their texts differ."""
-    folded = texts.select(
-        "notice_id", F.md5(F.trim(F.regexp_replace("body", r"\s+", " ")).cast("binary")).alias("fold")
-    )
+    fold = F.md5(F.trim(F.regexp_replace("body", r"\s+", " ")).cast("binary"))
+    # Narrow and read four times: written once instead of folding the texts again.
+    folded = stage(texts.select("notice_id", fold.alias("fold")), "folded")
     first = folded.groupBy("fold").agg(F.min("notice_id").alias("notice_id_a"), F.count("*").alias("n"))
     same = (
         folded.join(first.where("n > 1"), "fold")
