@@ -21,10 +21,16 @@ def create_or_replace(df: DataFrame, table: str) -> DataFrame:
 def write_buckets(buckets: DataFrame, table: str, files: int = 32) -> DataFrame:
     """LSH rows laid out for lookups: one folder per band, hashed and sorted by bucket key.
 
-    A lookup reads one file of one folder and skips row groups by their value ranges.
+    A lookup reads one hash file of one folder and skips row groups by their value ranges.
+    The rebalance hint brings rows of one file together before the write, and lets Spark
+    split a file's rows over several tasks where a dense bucket makes them too many.
     """
+    file = F.pmod(F.hash("bucket_hash"), F.lit(files))
     (
-        buckets.write.mode("overwrite")
+        buckets.withColumn("_file", file)
+        .hint("rebalance", "band_id", "_file")
+        .drop("_file")
+        .write.mode("overwrite")
         .partitionBy("band_id")
         .bucketBy(files, "bucket_hash")
         .sortBy("bucket_hash")
