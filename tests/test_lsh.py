@@ -45,7 +45,7 @@ def test_pairs_of_sparse_buckets_once(spark):
 
 def test_pruned_is_subset_of_unpruned(spark):
     buckets = table(spark, MEMBERS)
-    small, large = set(rows(lsh.candidate_pairs(buckets, M))), set(rows(lsh.candidate_pairs(buckets, 1000)))
+    small, large = set(rows(lsh.candidate_pairs(buckets, M))), set(rows(lsh.candidate_pairs(buckets, 999)))
     assert small < large == brute_pairs(MEMBERS)
 
 
@@ -60,6 +60,11 @@ def test_candidates_lose_nothing(spark):
     assert pairs | brute_pairs(dense) == brute_pairs(MEMBERS)
 
 
+def test_limit_beyond_the_group_limit_is_refused(spark):
+    with pytest.raises(ValueError, match="max_bucket"):
+        lsh.candidate_pairs(table(spark, MEMBERS), 5000)
+
+
 def test_prune_keeps_colliding_bounded_buckets(spark):
     got = {tuple(r)[:2] for r in lsh.prune_dense_buckets(table(spark, MEMBERS), M).collect()}
     assert got == {k for k, v in MEMBERS.items() if 1 < len(v) <= M}

@@ -83,7 +83,7 @@ def test_error_shrinks_with_k(spark):
     means = []
     for k in (16, 400):
         strings = sim.trigrams(notices)
-        sets = strings.select("notice_id", "grams", H.signature(H.base_hashes(F.col("grams")), k).alias("signature"))
+        sets = strings.select("notice_id", "grams", H.signature(F.col("grams"), k).alias("signature"))
         scored = sim.minhash_error(sim.score_pairs(pairs, sets), k).collect()
         assert all(0.0 <= r.jaccard <= 1.0 and r.within_bound == (r.error_pct <= 100 / k**0.5) for r in scored)
         means.append(sum(r.error_pct for r in scored) / len(scored))

@@ -32,6 +32,7 @@ FILES = {
         "1,S01/20240101/1,P1,3,10.50,SALE,2024-01-02 01:00:00\n"
     ),
     "readme.txt": "not a sales file",
+    "SALES_S04_20240101.csv": "",
     "OTHER_S01_20240101.csv": "bill_no,line_no\nX,1\n",
 }
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from hashlib import md5
+
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -24,18 +26,23 @@ def base_hashes(grams: Column) -> Column:
     )
 
 
-def signature(bases: Column, k: int = 400) -> Column:
-    """``k`` minima of the hash family over the base hashes, as ``array<int>``.
+def signature(grams: Column, k: int = 400) -> Column:
+    """``k`` minima of the hash family over the base hashes of the trigrams, as ``array<int>``.
 
-    Arrow hands over all token arrays of a batch as one flat vector.  Neighbouring
-    members of the family differ by ``x + 137``, so each step is one addition and one
-    conditional subtraction over 32-bit lanes instead of a 64-bit division.
+    Arrow hands over all trigrams of a batch as one flat vector.  Each distinct one is
+    hashed once per batch.  Neighbouring members of the family differ by ``x + 137``, so
+    each step is one addition and one conditional subtraction over 32-bit lanes instead
+    of a 64-bit division.
     """
 
     @F.arrow_udf("array<int>")
     def minima(batch: pa.Array) -> pa.Array:
         lengths = pc.fill_null(pc.list_value_length(batch), 0).to_numpy(zero_copy_only=False)
-        tokens = batch.flatten().to_numpy(zero_copy_only=False) % MODULUS
+        encoded = batch.flatten().dictionary_encode()
+        words = encoded.dictionary.to_pylist()
+        digests = (md5(word.encode()).digest() for word in words)
+        bases = np.fromiter((int.from_bytes(d[:4], "big") for d in digests), np.int64, len(words))
+        tokens = (bases % MODULUS).astype(np.uint32)[encoded.indices.to_numpy(zero_copy_only=False)]
         result = np.full((len(lengths), k), EMPTY_SLOT, dtype=np.int32)
         rows = np.flatnonzero(lengths)
         ends = np.cumsum(lengths[rows], dtype=np.int64)
@@ -43,7 +50,7 @@ def signature(bases: Column, k: int = 400) -> Column:
         low = 0
         while low < len(rows):
             high = max(low + 1, int(np.searchsorted(ends, starts[low] + _TILE, side="right")))
-            current = tokens[starts[low] : ends[high - 1]].astype(np.uint32)
+            current = tokens[starts[low] : ends[high - 1]]
             step = ((current.astype(np.uint64) + SHIFT) % MODULUS).astype(np.uint32)
             cuts = starts[low:high] - starts[low]
             for i in range(k):
@@ -55,7 +62,7 @@ def signature(bases: Column, k: int = 400) -> Column:
         offsets = np.arange(0, (len(lengths) + 1) * k, k, dtype=np.int32)
         return pa.ListArray.from_arrays(pa.array(offsets), pa.array(result.ravel()))
 
-    return minima(bases)
+    return minima(grams)
 
 
 def slot_agreement(a: Column, b: Column) -> Column:

@@ -16,6 +16,8 @@ from tillmark.operators.similarity import ID, PAIR, attach
 BUCKET = ("band_id", "bucket_hash")
 # Fixed value: buckets above this size count as dense.
 DENSE = 50
+# Largest rank that Spark limits before a shuffle (spark.sql.optimizer.windowGroupLimitThreshold).
+GROUP_LIMIT = 1000
 
 
 def band_table(sigs: DataFrame, bands: int = 20, rows: int = 20, empty: str = "sentinel") -> DataFrame:
@@ -69,6 +71,8 @@ def bounded_groups(buckets: DataFrame, max_bucket: int = DENSE) -> DataFrame:
     the scan tasks already, so a dense bucket is cut down before the shuffle; a bucket
     that reaches the extra row is dense and left out.
     """
+    if not 0 < max_bucket < GROUP_LIMIT:
+        raise ValueError(f"max_bucket must be below {GROUP_LIMIT}, beyond it no limit runs before the shuffle")
     ranked = Window.partitionBy(*BUCKET).orderBy(ID)
     return (
         buckets.withColumn("_n", F.row_number().over(ranked))

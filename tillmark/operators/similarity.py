@@ -59,7 +59,7 @@ def jaccard_pairs(pairs: DataFrame, grams: DataFrame) -> DataFrame:
 
 def signatures(grams: DataFrame, k: int = 400) -> DataFrame:
     """``notice_id, signature``."""
-    return grams.select(ID, H.signature(H.base_hashes(F.col("grams")), k).alias("signature"))
+    return grams.select(ID, H.signature(F.col("grams"), k).alias("signature"))
 
 
 def minhash_similarity(pairs: DataFrame, sigs: DataFrame) -> DataFrame:

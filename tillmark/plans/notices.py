@@ -54,7 +54,7 @@ def staged_sets(
     sets = sim.trigrams(cleaned).select(
         sim.ID,
         X.gram_codes(F.col("grams")).alias("grams"),
-        *([H.signature(H.base_hashes(F.col("grams")), k).alias("signature")] if k else []),
+        *([H.signature(F.col("grams"), k).alias("signature")] if k else []),
     )
     return stage(sets, "sets")
 

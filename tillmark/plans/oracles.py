@@ -226,6 +226,18 @@ _WAREHOUSE = {
         ]
     ),
     "table_inventory": _STAR_COUNTS + " ORDER BY 1",
+    "dashboard_json": f"""WITH {_RECONCILED_ZERO}, {BY_CATEGORY},
+    top AS (SELECT * FROM by_category ORDER BY by_category.revenue DESC, category_name LIMIT 8),
+    inventory AS ({_STAR_COUNTS.removeprefix(f"WITH {FACT}")})
+    SELECT CAST(to_json({{
+      'kpis': (SELECT {{'fact_rows': count(*), 'pipeline_revenue': sum(CAST(line_revenue AS DECIMAL(24,4))),
+                       'stores': count(DISTINCT store_id), 'products': count(DISTINCT product_sk)}} FROM fact),
+      'monthly': (SELECT list({{'month': month, 'finance': finance_revenue, 'pipeline': pipeline_revenue,
+                               'variance': variance}} ORDER BY month) FROM reconciled),
+      'categories': (SELECT list({{'name': category_name, 'revenue': revenue}}
+                               ORDER BY top.revenue DESC, category_name) FROM top),
+      'tables': (SELECT list({{'name': table_name, 'rows': row_count}} ORDER BY table_name) FROM inventory)
+    }}) AS VARCHAR) AS payload""",
 }
 
 # Notices -------------------------------------------------------------------

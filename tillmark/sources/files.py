@@ -17,8 +17,8 @@ from tillmark.sources import schemas
 
 R = TypeVar("R")
 
-# Bytes of a file that surely hold its header line.
-_HEAD = 1 << 16
+# Inputs below this size per core are worth a shuffle to reach all cores.
+SMALL_PER_CORE = 16 << 20
 
 
 def list_files(spark: SparkSession, root: str, pattern: str = "*.csv") -> DataFrame:
@@ -26,32 +26,35 @@ def list_files(spark: SparkSession, root: str, pattern: str = "*.csv") -> DataFr
 
     Only the listing is read: the content column of the source is never selected.
     """
-    found = (
+    found = _listing(spark, root, pattern)
+    if found.isEmpty():
+        raise FileNotFoundError(f"no {pattern} files below {root}")
+    return found
+
+
+def _listing(spark: SparkSession, root: str, pattern: str) -> DataFrame:
+    return (
         spark.read.format("binaryFile")
         .option("recursiveFileLookup", "true")
         .option("pathGlobFilter", pattern)
         .load(root)
         .select("path", "length")
     )
-    if found.isEmpty():
-        raise FileNotFoundError(f"no {pattern} files below {root}")
-    return found
 
 
 def total_bytes(spark: SparkSession, root: str, pattern: str = "*") -> int:
-    return list_files(spark, root, pattern).agg(F.sum("length")).first()[0]
+    return _listing(spark, root, pattern).agg(F.coalesce(F.sum("length"), F.lit(0))).first()[0]
 
 
 def read_spread(spark: SparkSession, path: str, key: str, *columns: str) -> DataFrame:
     """Parquet columns, re-spread by ``key`` only when the input is too small for the cores.
 
-    Large inputs already split into more tasks than there are cores and are not
-    shuffled; a small one may sit in a single row group, that is in one task.
+    Large inputs split into enough tasks and are not shuffled; a small one may sit in
+    a single row group, that is in one task.
     """
     df = spark.read.parquet(path).select(*columns)
     cores = spark.sparkContext.defaultParallelism
-    split = _as_bytes(spark.conf.get("spark.sql.files.maxPartitionBytes"))
-    if total_bytes(spark, path, "*.parquet") < cores * split:
+    if total_bytes(spark, path) < cores * SMALL_PER_CORE:
         df = df.repartition(2 * cores, key)
     return df
 
@@ -61,12 +64,13 @@ def read_union_by_name(spark: SparkSession, root: str, pattern: str = "*.csv") -
 
     A column that a file lacks is NULL there.  Files are grouped by their header line
     and each group is read with its own schema, since one CSV scan maps columns by
-    position.  Reads the head of every file on the executors (an action); the list of
+    position.  Empty files are skipped.  Reads the head of every file on the executors (an action); the list of
     paths per header is the only thing that reaches the driver.
     """
-    heads = list_files(spark, root, pattern).select("path").mapInPandas(_headers, "path string, header string")
+    found = list_files(spark, root, pattern).select("path")
+    heads = found.mapInPandas(_header_reader(), "path string, header string")
     groups: dict[str, list[str]] = {}
-    for row in heads.orderBy("path").toLocalIterator():
+    for row in heads.where("header <> ''").orderBy("path").toLocalIterator():
         groups.setdefault(row.header, []).append(row.path)
     parts = []
     for header, paths in groups.items():
@@ -74,26 +78,34 @@ def read_union_by_name(spark: SparkSession, root: str, pattern: str = "*.csv") -
         schema = StructType([StructField(name, StringType()) for name in names])
         part = spark.read.schema(schema).option("header", "true").csv(paths)
         parts.append(part.withColumn("file_path", F.col("_metadata.file_path")))
+    if not parts:
+        raise FileNotFoundError(f"only empty {pattern} files below {root}")
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
 
 
-def _headers(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    for batch in batches:
-        yield pd.DataFrame({"path": batch.path, "header": batch.path.map(_first_line)})
+def _header_reader() -> Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]]:
+    """Function that reads the first line of each file on the executors.
 
+    It is local to this one, so Spark ships its code: executors need no copy of the package.
+    """
 
-def _first_line(path: str) -> str:
-    from pyarrow import fs
+    def first_line(path):
+        from pyarrow import fs
 
-    scheme, _, rest = path.partition(":")
-    uri = path.replace("s3a://", "s3://", 1) if scheme == "s3a" else path
-    if scheme == "file":
-        source, name = fs.LocalFileSystem(), "/" + rest.lstrip("/")
-    else:
-        source, name = fs.FileSystem.from_uri(uri)
-    with source.open_input_stream(name) as stream:
-        head = stream.read(_HEAD)
-    return head.decode("utf-8-sig", errors="replace").splitlines()[0] if head else ""
+        scheme, _, rest = path.partition(":")
+        if scheme == "file":
+            source, name = fs.LocalFileSystem(), "/" + rest.lstrip("/")
+        else:
+            source, name = fs.FileSystem.from_uri(path.replace("s3a://", "s3://", 1))
+        with source.open_input_stream(name) as stream:
+            head = stream.read(1 << 16)
+        return head.decode("utf-8-sig", errors="replace").splitlines()[0] if head else ""
+
+    def read(batches):
+        for batch in batches:
+            yield batch[["path"]].assign(header=batch["path"].map(first_line))
+
+    return read
 
 
 def read_sales(
@@ -192,10 +204,3 @@ def _is_read_failure(failure: Exception) -> bool:
         sign in text
         for sign in ("IOException", "FileNotFoundException", "FAILED_READ_FILE", "UnknownHost", "ConnectException")
     )
-
-
-def _as_bytes(text: str) -> int:
-    """Size setting such as ``128MB`` or ``134217728b`` in bytes."""
-    digits = text.rstrip("bBkKmMgG")
-    unit = text[len(digits) :].lower().rstrip("b")
-    return int(digits) * {"": 1, "k": 1 << 10, "m": 1 << 20, "g": 1 << 30}[unit]
