@@ -133,7 +133,7 @@ def test_stats(spark):
 
 def test_empty_signatures_collide_or_are_dropped(spark):
     notices = spark.createDataFrame([(1, ""), (2, "a"), (3, "some text")], "notice_id bigint, body string")
-    sigs = sim.signatures(sim.trigrams(notices), 400)
+    sigs = sim.signatures(notices, 400)
     kept = lsh.band_table(sigs)
     assert rows(lsh.candidate_pairs(lsh.buckets_of(kept))) == [(1, 2)]
     dropped = lsh.band_table(sigs, empty="drop")
@@ -143,7 +143,7 @@ def test_empty_signatures_collide_or_are_dropped(spark):
 def test_more_bands_give_more_candidates(spark):
     base = "the committee invites sealed tenders for the supply of pipes and fittings to the town "
     notices = spark.createDataFrame([(i, base + str(i) * (i % 4) + "x" * i) for i in range(30)], "notice_id bigint, body string")
-    sigs = sim.signatures(sim.trigrams(notices), 400).cache()
+    sigs = sim.signatures(notices, 400).cache()
     few = set(rows(lsh.candidate_pairs(lsh.buckets_of(lsh.band_table(sigs, 10, 8)))))
     many = set(rows(lsh.candidate_pairs(lsh.buckets_of(lsh.band_table(sigs, 50, 8)))))
     assert few <= many and len(many) > 0

@@ -1,4 +1,4 @@
-"""MinHash base hashes, signatures and band keys."""
+"""Packed trigram sets, MinHash base hashes, signatures and band keys."""
 
 from __future__ import annotations
 
@@ -6,7 +6,6 @@ from hashlib import md5
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import Column, functions as F
 
 # Fixed values of the hash family  h_i(x) = ((i + 1) * x + 137 * i) mod (2^31 - 1).
@@ -15,8 +14,12 @@ SHIFT = 137
 # No residue reaches the modulus, so it marks the slots of a text without trigrams.
 EMPTY_SLOT = MODULUS
 
+# A code point fits 21 bits, three of them one 64-bit number.
+BITS = 21
+LOW = (1 << BITS) - 1
+
 # Tokens worked on together: small enough for the processor cache.
-_TILE = 32_768
+TILE = 32_768
 
 
 def base_hashes(grams: Column) -> Column:
@@ -26,30 +29,65 @@ def base_hashes(grams: Column) -> Column:
     )
 
 
-def signature(grams: Column, k: int = 400) -> Column:
-    """``k`` minima of the hash family over the base hashes of the trigrams, as ``array<int>``.
+def _set_reader():
+    """Function that turns a batch of texts into their sets of packed trigrams.
+
+    Local functions travel to the executors by value, which need no copy of the package.
+    """
+
+    def read(batch):
+        sets = []
+        for raw in batch.cast(pa.large_binary()).to_pylist():
+            text = (raw or b"").decode("utf-8", "replace").encode("utf-32-le")
+            points = np.frombuffer(text, np.uint32).astype(np.int64)
+            sets.append(np.unique(points[:-2] << 2 * BITS | points[1:-1] << BITS | points[2:]))
+        return np.array([len(s) for s in sets], np.int64), np.concatenate(sets)
+
+    return read
+
+
+def gram_codes(text: Column) -> Column:
+    """Distinct trigrams of the lower-cased text as ascending numbers of three code points.
+
+    The numbering is one-to-one, so sets of codes compare exactly like sets of
+    trigrams.  Measured per core it is several times faster than the string form
+    :func:`tillmark.functions.text.trigrams`, whose sets it equals.
+    """
+    read = _set_reader()
+
+    @F.arrow_udf("array<bigint>")
+    def codes(batch: pa.Array) -> pa.Array:
+        lengths, found = read(batch)
+        offsets = np.concatenate(([0], np.cumsum(lengths))).astype(np.int32)
+        return pa.ListArray.from_arrays(pa.array(offsets), pa.array(found))
+
+    return codes(F.lower(text))
+
+
+def signature(text: Column, k: int = 400) -> Column:
+    """``k`` minima of the hash family over the text's trigrams, as ``array<int>``.
 
-    Arrow hands over all trigrams of a batch as one flat vector.  Each distinct one is
-    hashed once per batch.  Neighbouring members of the family differ by ``x + 137``, so
-    each step is one addition and one conditional subtraction over 32-bit lanes instead
-    of a 64-bit division.
+    The trigrams of a batch form one flat vector in which each distinct one is hashed
+    once.  Neighbouring members of the family differ by ``x + 137``, so each step is
+    one addition and one conditional subtraction over 32-bit lanes instead of a
+    64-bit division.
     """
+    read = _set_reader()
 
     @F.arrow_udf("array<int>")
     def minima(batch: pa.Array) -> pa.Array:
-        lengths = pc.fill_null(pc.list_value_length(batch), 0).to_numpy(zero_copy_only=False)
-        encoded = batch.flatten().dictionary_encode()
-        words = encoded.dictionary.to_pylist()
-        digests = (md5(word.encode()).digest() for word in words)
-        bases = np.fromiter((int.from_bytes(d[:4], "big") for d in digests), np.int64, len(words))
-        tokens = (bases % MODULUS).astype(np.uint32)[encoded.indices.to_numpy(zero_copy_only=False)]
+        lengths, found = read(batch)
+        codes, positions = np.unique(found, return_inverse=True)
+        words = (chr(c >> 2 * BITS) + chr(c >> BITS & LOW) + chr(c & LOW) for c in codes.tolist())
+        bases = [int.from_bytes(md5(word.encode()).digest()[:4], "big") % MODULUS for word in words]
+        tokens = np.array(bases, np.uint32)[positions]
         result = np.full((len(lengths), k), EMPTY_SLOT, dtype=np.int32)
         rows = np.flatnonzero(lengths)
-        ends = np.cumsum(lengths[rows], dtype=np.int64)
+        ends = np.cumsum(lengths[rows])
         starts = ends - lengths[rows]
         low = 0
         while low < len(rows):
-            high = max(low + 1, int(np.searchsorted(ends, starts[low] + _TILE, side="right")))
+            high = max(low + 1, int(np.searchsorted(ends, starts[low] + TILE, side="right")))
             current = tokens[starts[low] : ends[high - 1]]
             step = ((current.astype(np.uint64) + SHIFT) % MODULUS).astype(np.uint32)
             cuts = starts[low:high] - starts[low]
@@ -62,7 +100,7 @@ def signature(grams: Column, k: int = 400) -> Column:
         offsets = np.arange(0, (len(lengths) + 1) * k, k, dtype=np.int32)
         return pa.ListArray.from_arrays(pa.array(offsets), pa.array(result.ravel()))
 
-    return minima(grams)
+    return minima(F.lower(text))
 
 
 def slot_agreement(a: Column, b: Column) -> Column:

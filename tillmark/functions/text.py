@@ -111,20 +111,5 @@ def trigrams(text: Column) -> Column:
     return F.array_distinct(windows)
 
 
-def gram_codes(grams: Column) -> Column:
-    """Trigrams as numbers: three code points of 21 bits each.
-
-    One-to-one, so sets of codes compare exactly like sets of trigrams, at half the
-    width and with the primitive hash sets of generated code.
-    """
-
-    def point(gram: Column, position: int) -> Column:
-        return F.ascii(F.substring(gram, position, 1)).cast("bigint")
-
-    return F.transform(
-        grams, lambda g: point(g, 1) * (1 << 42) + point(g, 2) * (1 << 21) + point(g, 3)
-    )
-
-
 def _quoted(phrase: str) -> str:
     return re.sub(r"([^\w\s])", r"\\\1", phrase)

@@ -25,7 +25,7 @@ def trigrams(notices: DataFrame) -> DataFrame:
 
 def gram_sets(notices: DataFrame) -> DataFrame:
     """``notice_id, grams`` with the trigrams as numbers, for exact comparison."""
-    return notices.select(ID, X.gram_codes(X.trigrams(F.col(BODY))).alias("grams"))
+    return notices.select(ID, H.gram_codes(F.col(BODY)).alias("grams"))
 
 
 def jaccard(a: Column, b: Column) -> Column:
@@ -57,9 +57,9 @@ def jaccard_pairs(pairs: DataFrame, grams: DataFrame) -> DataFrame:
     )
 
 
-def signatures(grams: DataFrame, k: int = 400) -> DataFrame:
+def signatures(notices: DataFrame, k: int = 400) -> DataFrame:
     """``notice_id, signature``."""
-    return grams.select(ID, H.signature(F.col("grams"), k).alias("signature"))
+    return notices.select(ID, H.signature(F.col(BODY), k).alias("signature"))
 
 
 def minhash_similarity(pairs: DataFrame, sigs: DataFrame) -> DataFrame:
@@ -99,7 +99,7 @@ def strategy_grams(
     body = F.col(BODY)
     return notices.select(
         ID,
-        *[X.gram_codes(X.trigrams(X.cleaner(s, phrases, span)(body))).alias(s) for s in strategies],
+        *[H.gram_codes(X.cleaner(s, phrases, span)(body)).alias(s) for s in strategies],
     )
 
 

@@ -291,7 +291,7 @@ def evaluate_metric(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def minhash_signature(spark: SparkSession, sf: str) -> DataFrame:
-    sigs = sim.signatures(_grams(spark, sf))
+    sigs = sim.signatures(sim.clean_text(st.notices(spark, sf), "mask_then_strip", st.PHRASES))
     total = F.aggregate("signature", F.lit(0).cast("bigint"), lambda a, x: a + x)
     return sigs.select(
         "notice_id",

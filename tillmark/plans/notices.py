@@ -35,7 +35,7 @@ def staged_bands(
 
     Up to here every notice is handled on its own: texts are never shuffled.
     """
-    sigs = sim.signatures(grams(notices, strategy, phrases), k)
+    sigs = sim.signatures(sim.clean_text(notices, strategy, phrases), k)
     return stage(lsh.band_table(sigs, bands, k // bands, empty), "bands")
 
 
@@ -51,10 +51,11 @@ def staged_sets(
     Written once, because both sides of every pair read them (an action).
     """
     cleaned = sim.clean_text(sim.members(notices, pairs), strategy, phrases)
-    sets = sim.trigrams(cleaned).select(
+    body = F.col(sim.BODY)
+    sets = cleaned.select(
         sim.ID,
-        X.gram_codes(F.col("grams")).alias("grams"),
-        *([H.signature(F.col("grams"), k).alias("signature")] if k else []),
+        H.gram_codes(body).alias("grams"),
+        *([H.signature(body, k).alias("signature")] if k else []),
     )
     return stage(sets, "sets")
 
