@@ -27,10 +27,10 @@ def normalise_timestamp(text: Column) -> Column:
 
     Text needs a full calendar date: a bare year is not one.
     """
-    local = F.when(
-        text.rlike(CALENDAR),
-        F.regexp_replace(text, r"^(\s*\d+)/(\d+)/", "$1-$2-").try_cast("timestamp"),
-    )
+    dashed = F.when(
+        text.contains("/"), F.regexp_replace(text, r"^(\s*\d+)/(\d+)/", "$1-$2-")
+    ).otherwise(text)
+    local = F.when(text.rlike(CALENDAR), dashed.try_cast("timestamp"))
     epoch = F.timestamp_seconds(text.try_cast("bigint"))
     return F.when(text.rlike(EPOCH), epoch).otherwise(local)
 
