@@ -214,3 +214,22 @@ def test_evaluation_flags_inversion(spark):
     )
     got = {r.strategy: r.inverted for r in sim.evaluate_metric(scores).collect()}
     assert got == {"raw": True, "clean": False}
+
+
+def test_a_third_of_all_notices_are_copies(spark):
+    """The copies stay whole, as one member row per band, and no pair of them is listed."""
+    import random
+
+    rng = random.Random(5)
+    own = lambda: "".join(rng.choices("abcdefghijklmnopqrstuvwxyz ", k=200))
+    copy = own()
+    texts = [(i, copy if i % 3 == 0 else own()) for i in range(90)]
+    notices = spark.createDataFrame(texts, "notice_id bigint, body string")
+    got = lsh.lsh_candidates(lsh.buckets_of(near.staged_bands(notices)), 10).collect()
+    copies = [i for i, body in texts if body == copy]
+    members = defaultdict(set)
+    for r in got:
+        assert r.kind == "member"
+        members[r.band_id].add(r.notice_id_a)
+    assert set(members) == set(range(20)) and all(ids == set(copies) for ids in members.values())
+    assert len(got) == 20 * len(copies)
