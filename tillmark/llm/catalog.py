@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from tillmark.llm import quality_rules, secrets, sharding
+from tillmark.llm import bpe, packing, quality_rules, secrets, sharding
 
 QUERIES = {
+    "op6_word_bpe": bpe.op6_word_bpe,
+    "op7_vector_packing": packing.op7_vector_packing,
     "op8_quality_rules": quality_rules.op8_quality_rules,
     "op9_jump_sharding": sharding.op9_jump_sharding,
     "op10_secret_ledger": secrets.op10_secret_ledger,
