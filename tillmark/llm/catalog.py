@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from tillmark.llm import bpe, packing, quality_rules, secrets, sharding
+from tillmark.llm import bpe, packing, quality_rules, secrets, sharding, simhash
 
 QUERIES = {
+    "op3_golay_simhash": simhash.op3_golay_simhash,
     "op6_word_bpe": bpe.op6_word_bpe,
     "op7_vector_packing": packing.op7_vector_packing,
     "op8_quality_rules": quality_rules.op8_quality_rules,
