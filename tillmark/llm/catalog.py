@@ -2,14 +2,15 @@
 
 from __future__ import annotations
 
-from tillmark.llm import bpe, packing, quality_rules, secrets, sharding, simhash
+from tillmark.llm import bpe, packing, quality_rules, secrets, sharding, simhash, substrings
 
 QUERIES = {
     "op3_golay_simhash": simhash.op3_golay_simhash,
+    "op4_super_kmers": substrings.op4_super_kmers,
     "op6_word_bpe": bpe.op6_word_bpe,
     "op7_vector_packing": packing.op7_vector_packing,
     "op8_quality_rules": quality_rules.op8_quality_rules,
     "op9_jump_sharding": sharding.op9_jump_sharding,
     "op10_secret_ledger": secrets.op10_secret_ledger,
 }
-ORACLES = {"op9_jump_sharding": sharding.ORACLE}
+ORACLES = {"op4_super_kmers": substrings.ORACLE, "op9_jump_sharding": sharding.ORACLE}
