@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from tillmark.llm import bpe, packing, quality_rules, secrets, sharding, simhash, substrings
+from tillmark.llm import bpe, neighbours, packing, quality_rules, secrets, sharding, simhash, substrings
 
 QUERIES = {
+    "op2_inverted_multi_index": neighbours.op2_inverted_multi_index,
     "op3_golay_simhash": simhash.op3_golay_simhash,
     "op4_super_kmers": substrings.op4_super_kmers,
     "op6_word_bpe": bpe.op6_word_bpe,
