@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from tillmark.llm import bpe, neighbours, packing, quality_rules, secrets, sharding, simhash, substrings
+from tillmark.llm import bpe, classifier, neighbours, packing, quality_rules, secrets, sharding, simhash, substrings
 
 QUERIES = {
     "op2_inverted_multi_index": neighbours.op2_inverted_multi_index,
     "op3_golay_simhash": simhash.op3_golay_simhash,
     "op4_super_kmers": substrings.op4_super_kmers,
+    "op5_factorisation_machine": classifier.op5_factorisation_machine,
     "op6_word_bpe": bpe.op6_word_bpe,
     "op7_vector_packing": packing.op7_vector_packing,
     "op8_quality_rules": quality_rules.op8_quality_rules,
