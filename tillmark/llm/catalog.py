@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from tillmark.llm import bpe, classifier, neighbours, packing, quality_rules, secrets, sharding, simhash, substrings
+import corpus_pipeline
+from tillmark.llm import bpe, chat, classifier, neighbours, packing, quality_rules, secrets, sharding, simhash, substrings
 
 QUERIES = {
+    "op1_budgeted_windows": chat.op1_budgeted_windows,
     "op2_inverted_multi_index": neighbours.op2_inverted_multi_index,
     "op3_golay_simhash": simhash.op3_golay_simhash,
     "op4_super_kmers": substrings.op4_super_kmers,
@@ -14,5 +16,6 @@ QUERIES = {
     "op8_quality_rules": quality_rules.op8_quality_rules,
     "op9_jump_sharding": sharding.op9_jump_sharding,
     "op10_secret_ledger": secrets.op10_secret_ledger,
+    "pipeline": corpus_pipeline.run,
 }
 ORACLES = {"op4_super_kmers": substrings.ORACLE, "op9_jump_sharding": sharding.ORACLE}
