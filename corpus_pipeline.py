@@ -9,14 +9,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tillmark.llm import bpe, packing, quality_rules, secrets, simhash, substrings
-from tillmark.llm.common import table
+from tillmark.llm.common import set_apart, table
 from tillmark.staging import stage, staging_path
 
 
 def quality_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality rules keep; the references come from these documents."""
-    judged = quality_rules.quality(docs, quality_rules.references(docs), carry=docs.columns)
-    return judged.where("kept").select(*docs.columns)
+    inner, names = set_apart(docs, "text", "lang")
+    judged = quality_rules.quality(inner, quality_rules.references(docs), carry=inner.columns)
+    return judged.where("kept").select(*[F.col(n).alias(c) for c, n in names.items()])
 
 
 def near_duplicate_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -30,14 +31,15 @@ def passage_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     A text that loses nothing stays as it is; of another the kept words remain, joined by one
     space, and ``n_chars`` is set anew. A document that loses all its words goes.
     """
-    made = substrings.deduplicate(docs, carry=docs.columns)
+    inner, names = set_apart(docs, "doc_id", "text")
+    made = substrings.deduplicate(inner, carry=inner.columns)
     cut = F.col("n_removed") > 0
-    return (
-        made.where((F.col("n_removed") < F.col("n_words")) | ~cut)
-        .withColumn("text", F.when(cut, F.col("kept")).otherwise(F.col("text")))
-        .withColumn("n_chars", F.when(cut, F.char_length("kept").cast("long")).otherwise(F.col("n_chars")))
-        .select(*docs.columns)
-    )
+    new = {
+        "text": F.when(cut, F.col("kept")).otherwise(F.col("text")),
+        "n_chars": F.when(cut, F.char_length("kept").cast("long")).otherwise(F.col(names["n_chars"])),
+    }
+    left = made.where((F.col("n_removed") < F.col("n_words")) | ~cut)
+    return left.select(*[new.get(c, F.col(n)).alias(c) for c, n in names.items()])
 
 
 def secret_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

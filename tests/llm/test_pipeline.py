@@ -1,0 +1,104 @@
+import re
+import zlib
+
+import corpus_pipeline as p
+import numpy as np
+import pytest
+from support import documents, odd_rows, prose
+
+from tillmark.llm import bpe, quality_rules, secrets, simhash
+from tillmark.staging import stage
+
+SECRET = "password = hunter2hunter2"
+
+
+def rows():
+    passage = prose(77, 60, 10**6)
+    found = [(100 + i, prose(i, 120, 3000)) for i in range(40)]
+    found += [(200 + i, found[i][1] if i < 5 else found[i][1] + " x") for i in range(10)]
+    found += [(300, prose(300, 80, 3000) + " " + passage), (301, passage + " " + prose(301, 90, 3000)), (302, prose(302, 50, 3000) + " " + SECRET)]
+    return found + [(400, "buy now " * 50), (401, "a b c")] + odd_rows()
+
+
+def brute(spark, table, folder):
+    """Each stage again, in plain Python over its own input."""
+    docs = [r.asDict() for r in table.collect()]
+    known = quality_rules.References(quality_rules.references(table))
+    docs = [d for d in docs if quality_rules.judge(d["text"], d["lang"], known)[6]]
+    yield docs
+    prints = [simhash.fingerprint(d["text"]) for d in docs]
+    label = list(range(len(docs)))
+    for _ in docs:
+        for i in range(len(docs)):
+            for j in range(len(docs)):
+                if (prints[i] ^ prints[j]).bit_count() <= 3:
+                    label[i] = min(label[i], label[j])
+    groups = {}
+    for d, g in zip(docs, label, strict=True):
+        groups.setdefault(g, []).append(d)
+    docs = [min(g, key=lambda d: (d["doc_id"] is None, d["doc_id"] or 0)) for g in groups.values()]
+    yield docs
+    first = {}
+    split = {d["doc_id"]: (d["text"] or "").split() for d in docs}
+    for d in sorted(split, key=lambda x: (x is None, x or 0)):
+        for at in range(len(split[d]) - 49):
+            first.setdefault(tuple(split[d][at : at + 50]), d)
+    out = []
+    for d in docs:
+        w = split[d["doc_id"]]
+        gone = np.zeros(len(w), bool)
+        for at in range(len(w) - 49):
+            if first[tuple(w[at : at + 50])] != d["doc_id"]:
+                gone[at : at + 50] = True
+        text = " ".join(x for x, g in zip(w, gone, strict=True) if not g) if gone.any() else d["text"]
+        if text or not gone.any():
+            out.append(d | {"text": text, "n_chars": len(text)})
+    yield out
+    masked = []
+    for d in out:
+        raw = d["text"].encode()
+        spans = sorted(x for rule in secrets.RULES.values() for x in rule(d["text"], raw))
+        text, at = "", 0
+        for a, b in spans:
+            if b > at:
+                text += (d["text"][at:a] + "[SECRET]") if a >= at else ""
+                at = b
+        text += d["text"][at:]
+        masked.append(d | {"text": text, "n_chars": len(text)})
+    yield masked
+
+
+def test_stages_equal_brute_force(spark):
+    table = documents(spark, rows(), clashes=True)
+    docs = stage(table, "input")
+    for (name, work), want in zip(p.STAGES[:-1], brute(spark, docs, None), strict=True):
+        docs = stage(work(spark, docs, ""), name)
+        assert docs.columns == table.columns
+        got = sorted(((r.doc_id, r.text, r.n_chars) for r in docs.collect()), key=repr)
+        assert got == sorted(((d["doc_id"], d["text"], d["n_chars"]) for d in want), key=repr), name
+    texts = {r.doc_id: r.text for r in docs.collect()}
+    assert {300, 301, 302} <= set(texts) and not {400, 401, 200, 201} & set(texts)
+    assert SECRET not in texts[302] and "[SECRET]" in texts[302] and len(texts[301].split()) == 90
+    library = bpe.encoder(bpe.vocabulary()).library
+    pieces = p.STAGES[-1][1](spark, docs, "").collect()
+    for doc, text in texts.items():
+        ids = np.array(library.encode(text, add_special_tokens=False).ids + [1], "<u4")
+        own = sorted((r for r in pieces if r.doc_id == doc), key=lambda r: r.start)
+        assert sum(r.length for r in own) == len(ids)
+        assert all(r.ids_crc32 == zlib.crc32(ids[r.start : r.start + r.length].tobytes()) for r in own)
+
+
+@pytest.mark.parametrize("name, work", p.STAGES)
+def test_stages_take_odd_and_empty_tables(spark, name, work):
+    assert work(spark, documents(spark, [], clashes=True), "").collect() == []
+    odd = documents(spark, odd_rows(), clashes=True)
+    got = work(spark, odd, "")
+    assert got.columns == odd.columns or name == "packing"
+    got.collect()
+
+
+def test_run(spark, tmp_path):
+    documents(spark, rows()).write.parquet(str(tmp_path / "documents.parquet"))
+    got = p.run(spark, str(tmp_path))
+    assert {"doc_id", "start", "length", "sequence_id"} <= set(got.columns) and got.count() > 20
+    assert re.fullmatch(r"[a-z_]+", p.STAGES[0][0]) and p.ORACLE_SQL is None

@@ -1,0 +1,85 @@
+import zlib
+from collections import Counter
+
+import duckdb
+import pytest
+from support import documents, odd_rows
+
+from tillmark.llm import sharding
+from tests_plan import plan_text
+
+
+def jump(key, shards):
+    """The published loop on Python integers."""
+    at, to = -1, 0
+    while to < shards:
+        at = to
+        key = (key * 2862933555777941757 + 1) % (1 << 64)
+        to = int((at + 1) * ((1 << 31) / ((key >> 33) + 1)))
+    return at
+
+
+@pytest.mark.parametrize("shards", [1, 2, 8, 9, 1000])
+def test_shards_follow_the_published_loop(spark, shards):
+    import hashlib
+
+    df = spark.range(300).selectExpr("id - 150 AS k")
+    got = {r.k: r.s for r in df.select("k", sharding.jump_shard(df.k, shards).alias("s")).collect()}
+    want = {k: jump(int(hashlib.md5(str(k).encode()).hexdigest()[:16], 16), shards) for k in got}
+    assert got == want
+
+
+def test_growth_moves_rows_into_the_new_shard_only(spark):
+    df = spark.range(5000).select("id")
+    rows = sharding.place(df, "id", 8, 9).collect()
+    moved = [r for r in rows if r["shard"] != r.grown_shard]
+    assert {r.grown_shard for r in moved} == {8} and 300 < len(moved) < 800
+
+
+def test_odd_rows_keep_their_number_and_slots_have_no_gap(spark):
+    rows = odd_rows()
+    got = sharding.assign(documents(spark, rows, clashes=True)).collect()
+    assert Counter((r.doc_id, r.size, r.text_crc32) for r in got) == Counter(
+        (i, len((t or "").encode()) + 1, zlib.crc32((t or "").encode())) for i, t in rows
+    )
+    for shard in {r["shard"] for r in got}:
+        slots = sorted(r["slot"] for r in got if r["shard"] == shard)
+        assert slots == list(range(len(slots)))
+    assert len({r["shard"] for r in got if r.doc_id == 5}) == 1
+
+
+def test_a_key_with_most_rows_is_counted_before_the_shuffle(spark):
+    df = documents(spark, [(1, "hot")] * 500 + [(i, "cold") for i in range(2, 60)])
+    got = sharding.assign(df).collect()
+    assert sorted(r.slot for r in got if r["shard"] == jump_of(1)) == list(range(sum(r["shard"] == jump_of(1) for r in got)))
+
+
+def jump_of(key):
+    import hashlib
+
+    return jump(int(hashlib.md5(str(key).encode()).hexdigest()[:16], 16), 8)
+
+
+def test_empty_table(spark):
+    assert sharding.assign(documents(spark, [])).collect() == []
+
+
+def test_no_python_in_the_plan(spark):
+    assert "Python" not in plan_text(sharding.place(documents(spark, odd_rows()), "doc_id", 8, 9))
+
+
+def test_shard_files_hold_all_rows(spark, tmp_path):
+    df = documents(spark, [(i, "t") for i in range(200)])
+    sharding.write_shards(df, "doc_id", 4, str(tmp_path / "shards"))
+    assert spark.read.parquet(str(tmp_path / "shards")).count() == 200
+
+
+def test_sql_twin(spark, tmp_path):
+    rows = [(i, t) for i, t in odd_rows() if t is None or len(t) < 1000]
+    path = str(tmp_path / "documents.parquet")
+    documents(spark, rows).coalesce(1).write.parquet(path)
+    con = duckdb.connect()
+    con.sql(f"CREATE VIEW documents AS SELECT * FROM '{path}/*.parquet'")
+    got = sharding.assign(spark.read.parquet(path))
+    want = con.sql(f"SELECT {', '.join(got.columns)} FROM ({sharding.ORACLE})").fetchall()
+    assert sorted(map(tuple, got.collect()), key=repr) == sorted(want, key=repr)

@@ -29,6 +29,12 @@ def sha(data: bytes | str) -> str:
     return hashlib.sha256(data.encode("utf-8", "surrogatepass") if isinstance(data, str) else data).hexdigest()
 
 
+def set_apart(docs: DataFrame, *kept: str) -> tuple[DataFrame, dict[str, str]]:
+    """``docs`` with all columns but ``kept`` under names that clash with nothing, and the name of each column."""
+    names = {c: c if c in kept else f"__{i}" for i, c in enumerate(docs.columns)}
+    return docs.withColumnsRenamed({c: n for c, n in names.items() if c != n}), names
+
+
 def shipped(work: Callable) -> Callable:
     """``work`` in a form that tasks can load where the package lies only beside the driver's script."""
     packed, root = cloudpickle.dumps(work), _ROOT

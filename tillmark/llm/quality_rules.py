@@ -230,7 +230,9 @@ def quality(docs: DataFrame, known: dict, limits: Limits = Limits(), carry: Sequ
     names = [f.split()[0] for f in STATISTICS.split(", ")]
     kinds = ", ".join(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in carry)
     slim = docs.select(
-        *[F.col(f"`{c}`") for c in carry], F.col("text").cast("string").alias("__text"), F.col("lang").cast("string").alias("__lang")
+        *[F.col(f"`{c}`") for c in carry if c != "text"],
+        F.col("text").cast("string").alias("__text"),
+        F.col("lang").cast("string").alias("__lang"),
     )
 
     def work(batches: Batches) -> Iterator[dict]:
@@ -238,7 +240,8 @@ def quality(docs: DataFrame, known: dict, limits: Limits = Limits(), carry: Sequ
         for batch in batches:
             pairs = zip(batch.column("__text").to_pylist(), batch.column("__lang").to_pylist(), strict=True)
             if rows := [judge(text, lang, held, limits) for text, lang in pairs]:
-                yield {c: batch.column(c) for c in carry} | dict(zip(names, zip(*rows, strict=True), strict=True))
+                kept = {c: batch.column("__text" if c == "text" else c) for c in carry}
+                yield kept | dict(zip(names, zip(*rows, strict=True), strict=True))
 
     return map_batches(slim, work, f"{kinds}, {STATISTICS}")
 

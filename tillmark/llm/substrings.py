@@ -154,7 +154,7 @@ _SPANS = "array<struct<start:int,stop:int>>"
 def _base(docs: DataFrame, carry: Sequence[str], key: str, text: str) -> tuple[DataFrame, str]:
     """``key, text_hash, text`` and the carried columns under numbers, so that no name can clash; their types."""
     body = F.col(f"`{text}`").cast("string")
-    kept = [F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(carry)]
+    kept = [F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(carry) if c != text]
     base = docs.select(F.col(f"`{key}`").alias("key"), F.xxhash64(body).alias("text_hash"), body.alias("text"), *kept)
     return base, base.schema["key"].dataType.simpleString()
 
@@ -232,12 +232,12 @@ def deduplicate(
     spans = _spans_of(named, kind, shape)
     joined = named.join(spans, (F.col("key") == F.col("own")) & (F.col("text_hash") == F.col("own_hash")), "left")
     nameless = base.where(F.col("key").isNull()).withColumn("spans", F.lit(None).cast(_SPANS))
-    columns = ["text", "spans", *[f"c{i}" for i in range(len(carry))]]
+    columns = ["text", "spans", *[f"c{i}" for i, c in enumerate(carry) if c != text]]
     kinds = [f"c{i} {docs.schema[c].dataType.simpleString()}" for i, c in enumerate(carry)]
 
     def work(batches: Batches) -> Iterator[dict]:
         for batch in batches:
-            out: dict = {f"c{i}": batch.column(f"c{i}") for i in range(len(carry))}
+            out: dict = {f"c{i}": batch.column("text" if c == text else f"c{i}") for i, c in enumerate(carry)}
             out |= {"n_words": [], "n_removed": [], "kept": []}
             for body, gaps in zip(batch.column("text").to_pylist(), batch.column("spans").to_pylist(), strict=True):
                 found = words(body)
