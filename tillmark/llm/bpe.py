@@ -13,6 +13,7 @@ import json
 import re
 from collections.abc import Iterable, Iterator
 from functools import cache
+from itertools import pairwise
 
 import numpy as np
 import regex
@@ -29,7 +30,9 @@ _PIECES = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|[^\p{White_Space}
 #: Below this code point no character composes with another, and lower case is context-free.
 _PLAIN = "ɐ"
 _SEGMENT = 1 << 22
-_GENERATION = 300_000
+_GENERATION = 800_000
+_SHORT = 64
+_NONE = 1 << 40
 
 
 def vocabulary(name: str = VOCABULARY) -> str:
@@ -83,20 +86,22 @@ class WordBpe:
         # How each token is formed: its two parts and the rank of the merge, -1 for single bytes.
         self.left, self.right = np.zeros(size, np.int64), np.zeros(size, np.int64)
         self.formed = np.full(size, -1, np.int64)
-        self.ranks: dict[tuple[int, int], tuple[int, int]] = {}
+        self.rank_of: dict[int, int] = {}  # by first token * size + second
+        self.made: list[int] = []
         ids = model["vocab"]
         for rank, merge in enumerate(model["merges"]):
             a, b = merge if isinstance(merge, list) else merge.split(" ")
             made = ids[a + b]
-            self.ranks[ids[a], ids[b]] = (rank, made)
+            self.rank_of[ids[a] * size + ids[b]] = rank
+            self.made.append(made)
             self.left[made], self.right[made], self.formed[made] = ids[a], ids[b], rank
-        codes = np.array([a * size + b for a, b in self.ranks], np.int64)
+        codes = np.array(list(self.rank_of), np.int64)
         order = np.argsort(codes)
-        self.codes, self.code_ranks = codes[order], np.array([r for r, _ in self.ranks.values()], np.int64)[order]
+        self.codes, self.code_ranks = codes[order], np.array(list(self.rank_of.values()), np.int64)[order]
         self.size = size
-        self.reach: dict[int, int] = {}
+        self.reach: dict[bytes, int] = {}  # by the first three bytes: length of the longest token
         for token in self.inner:
-            self.reach[token[0]] = max(len(token), self.reach.get(token[0], 0))
+            self.reach[token[:3]] = max(len(token), self.reach.get(token[:3], 0))
         self.kind = np.uint16 if size <= 1 << 16 else np.uint32
         self.young: dict[bytes, bytes] = {}
         self.old: dict[bytes, bytes] = {}
@@ -117,10 +122,10 @@ class WordBpe:
     def greedy(self, piece: bytes) -> list[int]:
         """Longest-match tokens of a word; the last carries the word's end."""
         out, at, n = [], 0, len(piece)
-        inner, reach = self.inner, self.reach
-        while (last := self.final.get(piece[at:])) is None:
-            for stop in range(min(n - 1, at + reach[piece[at]]), at, -1):
-                if (token := inner.get(piece[at:stop])) is not None:
+        inner, final, reach = self.inner.get, self.final.get, self.reach.get
+        while (last := final(piece[at:])) is None:
+            for stop in range(min(n - 1, at + reach(piece[at : at + 3], 2)), at, -1):
+                if (token := inner(piece[at:stop])) is not None:
                     out.append(token)
                     at = stop
                     break
@@ -130,23 +135,44 @@ class WordBpe:
     def merged(self, piece: bytes) -> list[int]:
         """Exact encoding: the merge of lowest rank, leftmost first, until none applies."""
         row = [self.inner[piece[i : i + 1]] for i in range(len(piece) - 1)] + [self.final[piece[-1:]]]
-        n, ranks = len(row), self.ranks
+        if len(row) > _SHORT:
+            return self._merged_long(row)
+        size, rank_of, made = self.size, self.rank_of, self.made
+        ranks = [rank_of.get(a * size + b, _NONE) for a, b in pairwise(row)]
+        while ranks and (low := min(ranks)) != _NONE:
+            i = ranks.index(low)
+            row[i : i + 2] = [made[low]]
+            del ranks[i]
+            if i:
+                ranks[i - 1] = rank_of.get(row[i - 1] * size + row[i], _NONE)
+            if i < len(ranks):
+                ranks[i] = rank_of.get(row[i] * size + row[i + 1], _NONE)
+        return row
+
+    def _merged_long(self, row: list[int]) -> list[int]:
+        """The same for a long word, in n log n steps: open merges in a heap, tokens in a linked list."""
+        n, size, rank_of = len(row), self.size, self.rank_of
         after, before = list(range(1, n + 1)), list(range(-1, n - 1))
-        heap = [(r[0], i, row[i], row[i + 1]) for i in range(n - 1) if (r := ranks.get((row[i], row[i + 1])))]
-        heapq.heapify(heap)
+        heap: list[tuple[int, int, int, int]] = []
+
+        def offer(i: int, j: int) -> None:
+            if (rank := rank_of.get(row[i] * size + row[j])) is not None:
+                heapq.heappush(heap, (rank, i, row[i], row[j]))
+
+        for i in range(n - 1):
+            offer(i, i + 1)
         while heap:
-            _, i, a, b = heapq.heappop(heap)
+            rank, i, a, b = heapq.heappop(heap)
             j = after[i] if row[i] == a else n
             if j >= n or row[j] != b:
                 continue
-            row[i], row[j] = ranks[a, b][1], -1
+            row[i], row[j] = self.made[rank], -1
             after[i] = after[j]
             if after[i] < n:
                 before[after[i]] = i
-                if r := ranks.get((row[i], row[after[i]])):
-                    heapq.heappush(heap, (r[0], i, row[i], row[after[i]]))
-            if (h := before[i]) >= 0 and (r := ranks.get((row[h], row[i]))):
-                heapq.heappush(heap, (r[0], h, row[h], row[i]))
+                offer(i, after[i])
+            if before[i] >= 0:
+                offer(before[i], i)
         return [x for x in row if x >= 0]
 
     def _rank(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -194,31 +220,41 @@ class WordBpe:
     # Texts ------------------------------------------------------------------
 
     def _learn(self, chunks: set[bytes]) -> dict[bytes, bytes]:
-        """Encodings of stretches without white space, as packed ids."""
-        parts: dict[bytes, list] = {}
-        needed: dict[bytes, int] = {}
+        """Encodings of stretches without white space, and of the words in them, as packed ids."""
+        parts: dict[bytes, list[bytes]] = {}
+        needed: set[bytes] = set()
         for chunk in chunks:
-            row: list = []
+            row: list[bytes] = []
             for part in self.split_special.split(chunk) if b"<|" in chunk else (chunk,):
                 if part in self.special:
-                    row.append(-1 - self.special[part])
+                    row.append(part)
                 elif part:
-                    row += [needed.setdefault(p, len(needed)) for p in self.pieces(part)]
+                    row += self.pieces(part)
             parts[chunk] = row
-        coded = [np.array(r, self.kind).tobytes() for r in self.encode_words(list(needed))] if needed else []
-        own = {i: np.array([i], self.kind).tobytes() for i in self.special.values()}
-        return {c: b"".join([coded[k] if k >= 0 else own[-1 - k] for k in row]) for c, row in parts.items()}
+            needed.update(row)
+        known = {i: np.array([n], self.kind).tobytes() for i, n in self.special.items()}
+        young, old = self.young, self.old
+        for p in needed:
+            if p not in known and (code := young.get(p) or old.get(p)):
+                known[p] = code
+        fresh = [p for p in needed if p not in known]
+        coded = [np.array(r, self.kind).tobytes() for r in self.encode_words(fresh)] if fresh else []
+        known.update(zip(fresh, coded, strict=True))
+        return dict(zip(fresh, coded, strict=True)) | {c: b"".join([known[p] for p in row]) for c, row in parts.items()}
 
     def _look_up(self, lists: list[list[bytes]]) -> list[bytes]:
         """Packed ids of lists of stretches. Two generations of known ones bound the memory."""
         young, old = self.young, self.old
-        fresh = set()
-        for w in set().union(*lists):
-            if w not in young:
-                if (code := old.get(w)) is None:
-                    fresh.add(w)
-                else:
-                    young[w] = code
+        fresh: set[bytes] = set()
+        for found in lists:
+            codes = list(map(young.get, found))
+            if None in codes:
+                for w, code in zip(found, codes, strict=True):
+                    if code is None:
+                        if (code := old.get(w)) is None:
+                            fresh.add(w)
+                        else:
+                            young[w] = code
         if fresh:
             young.update(self._learn(fresh))
         out = [b"".join(map(young.__getitem__, found)) for found in lists]
