@@ -6,9 +6,10 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry_points
+from tillmark.plans.catalog import QUERIES
+from tillmark.plans.oracles import ORACLES
 
 FOLDER = "/root/testdata/sf0.001"
-QUERIES, ORACLES = entry_points.queries(), entry_points.oracle_sql()
 
 
 @pytest.fixture(scope="module")
@@ -37,6 +38,7 @@ def test_query_equals_sql(spark, con, name):
 
 def test_every_query_has_sql():
     assert set(QUERIES) == set(ORACLES)
+    assert set(QUERIES) <= set(entry_points.queries()) and set(ORACLES) <= set(entry_points.oracle_sql())
 
 
 def test_entry(spark):

@@ -60,9 +60,19 @@ def test_candidates_lose_nothing(spark):
     assert pairs | brute_pairs(dense) == brute_pairs(MEMBERS)
 
 
-def test_limit_beyond_the_group_limit_is_refused(spark):
+def test_limit_beyond_the_group_limit(spark):
+    members = MEMBERS | {(5, "wide"): list(range(1000, 2200))}
+    got = {tuple(r)[:2] for r in lsh.prune_dense_buckets(table(spark, members), 1100).collect()}
+    assert got == {k for k, v in members.items() if 1 < len(v) <= 1100}
     with pytest.raises(ValueError, match="max_bucket"):
-        lsh.candidate_pairs(table(spark, MEMBERS), 5000)
+        lsh.candidate_pairs(table(spark, MEMBERS), 0)
+
+
+@pytest.mark.parametrize("block", [256, 7, 1])
+def test_block_pairs_lose_nothing(spark, block):
+    got = rows(lsh.block_pairs(table(spark, {k: v[:40] for k, v in MEMBERS.items()}), block))
+    assert len(got) == len(set(got))
+    assert set(got) == brute_pairs({k: v[:40] for k, v in MEMBERS.items()})
 
 
 def test_prune_keeps_colliding_bounded_buckets(spark):
@@ -95,6 +105,8 @@ def test_lookup(spark):
     queries = table(spark, {(0, "two"): [2], (1, "again"): [2], (2, "hot"): [2], (0, "single"): [900]})
     got = set(rows(lsh.lookup_notices(queries, buckets, M)))
     assert got == {(2, 3, 2), (2, None, 1), (900, 1, 1)}
+    whole = set(rows(lsh.lookup_notices(queries, buckets)))
+    assert whole == {(2, 3, 2), (900, 1, 1)} | {(2, i, 1) for i in range(100, 400)}
 
 
 def banded(spark, keys):
@@ -122,13 +134,19 @@ def test_recall_without_same_pairs_is_null(spark):
 
 
 def test_stats(spark):
-    table_ = banded(spark, KEYS)
-    stats = lsh.lsh_stats(lsh.buckets_of(table_), table_, 3).first()
-    assert (stats.notices, stats.possible_pairs, stats.listed_pairs) == (7, 21, 1)
-    assert (stats.dense_buckets, stats.dense_pairs) == (1, 6)
+    stats = lsh.lsh_stats(banded(spark, KEYS), 3).first()
+    assert (stats.notices, stats.possible_pairs, stats.candidate_pairs, stats.dense_buckets) == (7, 21, 7, 1)
     assert stats.reduction_pct == pytest.approx(100 * (1 - 7 / 21))
-    one = banded(spark, {1: "abc"})
-    assert lsh.lsh_stats(lsh.buckets_of(one), one).first().reduction_pct is None
+    assert lsh.lsh_stats(banded(spark, {1: "abc"})).first().reduction_pct is None
+
+
+def test_stats_count_each_pair_once(spark):
+    """60 equal notices share every bucket, others some: the share stays between 0 and 100."""
+    keys = {i: "abcd" for i in range(60)} | {100 + i: "ab" + "xy"[i % 2] + str(i) for i in range(40)}
+    stats = lsh.lsh_stats(banded(spark, keys)).first()
+    want = sum(any(x == y for x, y in zip(keys[i], keys[j])) for i, j in itertools.combinations(keys, 2))
+    assert stats.candidate_pairs == want and stats.dense_buckets == 4
+    assert stats.reduction_pct == pytest.approx(100 * (1 - want / stats.possible_pairs))
 
 
 def test_empty_signatures_collide_or_are_dropped(spark):
@@ -159,28 +177,74 @@ def test_s_curve(spark):
     assert math.isclose(curve[200].probability, 1 - (1 - s**20) ** 20)
 
 
+def brute_near(texts, threshold):
+    """All pairs of ids whose trigram sets reach the threshold, from the texts alone."""
+    import re
+
+    def grams(text):
+        low = re.sub(r"\d+", "<NUM>", text).lower()
+        return frozenset(low[i : i + 3] for i in range(len(low) - 2))
+
+    sets = {i: grams(t) for i, t in texts.items()}
+    out = {}
+    for a, b in itertools.combinations(sorted(texts), 2):
+        x, y = sets[a], sets[b]
+        score = len(x & y) / len(x | y) if x | y else 0.0
+        if score >= threshold:
+            out[a, b] = score
+    return out
+
+
+def expanded(found):
+    """Pairs of notices that follow from pair and member rows."""
+    groups = defaultdict(set)
+    for r in found:
+        if r.kind == "member":
+            groups[r.notice_id_a].add(r.notice_id_b)
+    out = {}
+    for head, rest in groups.items():
+        out |= {p: 1.0 for p in itertools.combinations(sorted({head, *rest}), 2)}
+    for r in found:
+        if r.kind == "pair":
+            for a in {r.notice_id_a, *groups[r.notice_id_a]}:
+                for b in {r.notice_id_b, *groups[r.notice_id_b]}:
+                    out[min(a, b), max(a, b)] = r.jaccard
+    return out
+
+
 def test_pipeline_equals_brute_force(spark):
     base = "notice of tender for the construction of a bridge over the river near the old mill "
     texts = {i: base + ("again " * (i % 3)) + ("appendix %d" % (i // 4)) for i in range(24)}
-    texts[50], texts[51] = "something entirely different in this text", "ab"
+    texts[50], texts[51], texts[52], texts[53] = "something entirely different in this text", "ab", "", "ab"
     notices = spark.createDataFrame(list(texts.items()), "notice_id bigint, body string")
+    assert expanded(near.near_duplicates(notices, 0.9).collect()) == brute_near(texts, 0.9)
 
-    def grams(text):
-        import re
-
-        low = re.sub(r"\d+", "<NUM>", text).lower()
-        return {low[i : i + 3] for i in range(len(low) - 2)}
 
-    banded_ = near.staged_bands(notices)
-    candidates = {tuple(r) for r in lsh.candidate_pairs(lsh.buckets_of(banded_)).collect()}
-    expected = {}
-    for a, b in candidates:
-        x, y = grams(texts[a]), grams(texts[b])
-        score = len(x & y) / len(x | y) if x | y else 0.0
-        if score >= 0.9:
-            expected[(a, b)] = score
-    got = {(r.notice_id_a, r.notice_id_b): r.jaccard for r in near.near_duplicates(notices, 0.9).collect()}
-    assert got == expected and len(got) > 10
+@pytest.mark.parametrize("copies", [60, 500])
+def test_large_groups_of_copies_are_complete(spark, copies):
+    words = "the municipal board invites sealed bids for repair of drains and culverts in ward"
+    texts = {i: words for i in range(copies)} | {1000 + i: words + " " + "abcdefgh"[i % 8] * (i + 1) for i in range(70)}
+    notices = spark.createDataFrame(list(texts.items()), "notice_id bigint, body string")
+    found = near.near_duplicates(notices, 0.95).collect()
+    members = {r.notice_id_b for r in found if r.kind == "member" and r.notice_id_a == 0}
+    assert members == set(range(1, copies))
+    want, got = brute_near(texts, 0.95), expanded(found)
+    assert set(got.items()) <= set(want.items())
+    assert {p for p, s in want.items() if s == 1.0} <= set(got)
+    assert len(found) < copies + 70 * 70
+
+
+def test_repeated_ids_never_pair_with_themselves(spark):
+    notices = spark.createDataFrame([("x", "the same text twice"), ("x", "the same text twice"), ("y", "the same text twice")], "notice_id string, body string")
+    assert rows(near.near_duplicates(notices, 0.8)) == [("member", "x", "y", 1.0)]
+    versions = spark.createDataFrame([("x", "an old text", "2024-01-01"), ("x", "a new text here", "2024-02-01"), ("y", "an old text", None)], "notice_id string, body string, published_at string")
+    assert rows(near.near_duplicates(versions, 0.8, latest="published_at")) == []
+
+
+def test_asked_for_limit_still_prunes(spark):
+    words = "tender for supply of pipes and fittings to the town "
+    notices = spark.createDataFrame([(i, words + "z" * (i + 3)) for i in range(12)], "notice_id bigint, body string")
+    assert near.near_duplicates(notices, 0.8, max_bucket=3).where("kind = 'pair'").count() < near.near_duplicates(notices, 0.8).where("kind = 'pair'").count() + 1
 
 
 def test_unique_notices(spark):

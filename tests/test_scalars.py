@@ -14,6 +14,8 @@ def values(spark, texts, function):
 def test_numbers_that_do_not_parse_become_null(spark):
     texts = ["3", " -2.5e1 ", "3d", "2f", "", "x", None, ".5", "1.", "+7", "1,000"]
     assert values(spark, texts, S.try_number) == [3.0, -25.0, None, None, None, None, None, 0.5, 1.0, 7.0, None]
+    hostile = ["1e30", "-1e30", "inf", "-Infinity", "nan", "1e9", "1000000001", "1e999"]
+    assert values(spark, hostile, S.try_number) == [None] * 5 + [1e9, None, None]
 
 
 def test_timestamps_epoch_text_and_garbage(spark):
@@ -25,6 +27,23 @@ def test_timestamps_epoch_text_and_garbage(spark):
                    "1970-01-01 00:33:44", None, None, None, None, None, None]
 
 
+@pytest.mark.parametrize("digits", ["1704067200000", "20240101120000", "123456789012345678", "9223372036854775807", "9" * 19, "9" * 20])
+def test_long_digit_texts_are_no_timestamps(spark, digits):
+    assert values(spark, [digits], S.normalise_timestamp) == [None]
+
+
+def test_rejected_values_are_counted(spark):
+    from tillmark.operators.normalise import normalise_lines, rejected_values
+
+    raw = spark.createDataFrame(
+        [("b1", "1", "2", "1e30", "20240101120000"), ("b2", "1", "inf", "5", "1704067200"), ("b3", "1", None, None, None)],
+        "bill_no string, line_no string, qty string, rate string, ts string",
+    )
+    assert {r["columns"]: r["rows"] for r in rejected_values(raw).collect()} == {"quantity": 1, "unit_price": 1, "timestamp": 1}
+    lines = normalise_lines(raw)
+    assert lines.count() == 3 and lines.selectExpr("sum(quantity * unit_price)").first()[0] is None
+
+
 def test_file_names(spark):
     names = ["in/SALES_S01_20240131.csv", "SALES_S12_20240229.parquet", "SALES_S1_2024.csv", "other.csv"]
     assert values(spark, names, S.file_store) == ["S01", "S12", "", ""]

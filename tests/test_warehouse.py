@@ -112,6 +112,53 @@ def test_fallback_covers_failures_while_reading(spark, tmp_path):
     assert files.read_with_fallback(run, str(bad), str(good)) == 10
 
 
+def test_a_failing_write_does_not_fall_back(spark, tmp_path):
+    good = tmp_path / "good"
+    spark.range(5).write.parquet(str(good))
+    seen = []
+
+    def read(path):
+        seen.append(path)
+        return spark.read.parquet(path)
+
+    def write(df):
+        raise OSError("No space left on device: java.io.IOException")
+
+    with pytest.raises(OSError, match="No space"):
+        files.read_with_fallback(read, str(good), "mirror", write)
+    assert seen == [str(good)]
+
+
+def test_unreadable_files_found_while_writing_fall_back(spark, tmp_path):
+    good, bad = tmp_path / "good", tmp_path / "bad"
+    for folder, n in ((good, 5), (bad, 3)):
+        spark.range(n).write.parquet(str(folder))
+    for part in bad.glob("*.parquet"):
+        part.write_bytes(b"PAR1 broken")
+    for crc in bad.glob(".*.crc"):
+        crc.unlink()
+    read = lambda path: spark.read.schema("id bigint").parquet(path)
+    assert files.read_with_fallback(read, str(bad), str(good), lambda df: df.agg(F.sum("id")).first()[0]) == 10
+
+
+def test_long_and_quoted_headers(spark, tmp_path):
+    names = [f"column_{i:05d}_{'x' * 30}" for i in range(5000)]
+    (tmp_path / "long.csv").write_text(",".join(names) + "\n" + ",".join("7" for _ in names) + "\n")
+    (tmp_path / "quoted.csv").write_text('"bill\nno","line, no",rate\n"a\nb",2,3\n')
+    (tmp_path / "empty.csv").write_text("")
+    df = files.read_union_by_name(spark, str(tmp_path))
+    assert set(names) < set(df.columns) and {"bill\nno", "line, no", "rate"} < set(df.columns)
+    got = df.select(names[-1], F.col("`bill\nno`"), F.col("`line, no`"), "rate").collect()
+    assert sorted(map(tuple, got), key=repr) == [("7", None, None, None), (None, "a\nb", "2", "3")]
+
+
+def test_plan_does_not_depend_on_size(spark, tmp_path):
+    for name, n in (("small", 10), ("large", 300_000)):
+        spark.range(n).write.parquet(str(tmp_path / name))
+    plans = [plan_of(files.read_spread(spark, str(tmp_path / n), "id", "id")) for n in ("small", "large")]
+    assert all("Exchange" not in p for p in plans)
+
+
 def test_land_partitioned(spark, sales_root, tmp_path):
     target = str(tmp_path / "landed")
     counts = landing.land_partitioned(spark, sales_root, target)
@@ -244,19 +291,19 @@ def test_federated_counts_reissued_codes_twice(spark):
 
 def test_period_revenue(spark):
     fact = spark.createDataFrame(
-        [(1, D(2023, 10, 12), 2.0, "SALE"), (1, D(2023, 10, 13), 1.0, "SALE"), (1, D(2023, 10, 13), 1.0, "VOID"), (None, D(2023, 10, 13), 1.0, "SALE"),
-         (1, D(2023, 11, 30), 1.5, "SALE")],
+        [(1, D(2019, 7, 17), 2.0, "SALE"), (1, D(2019, 7, 18), 1.0, "SALE"), (1, D(2019, 7, 18), 1.0, "VOID"), (None, D(2019, 7, 18), 1.0, "SALE"),
+         (1, D(2019, 9, 2), 1.5, "SALE")],
         "product_sk bigint, business_date date, quantity double, line_type string",
     )
     revisions = spark.createDataFrame(
-        [(1, Decimal("87.95"), D(2022, 1, 1), D(2023, 10, 12)), (1, Decimal("97.55"), D(2023, 10, 13), None)],
+        [(1, Decimal("61.40"), D(2016, 3, 5), D(2019, 7, 17)), (1, Decimal("70.10"), D(2019, 7, 18), None)],
         "product_sk bigint, selling_price decimal(12,2), effective_from date, effective_to date",
     )
-    periods = [("Oct", D(2023, 10, 1), D(2023, 10, 31)), ("Both", D(2023, 10, 13), D(2023, 11, 30)), ("None", D(2020, 1, 1), D(2020, 1, 2))]
+    periods = [("Jul", D(2019, 7, 1), D(2019, 7, 31)), ("Both", D(2019, 7, 18), D(2019, 9, 2)), ("None", D(2020, 1, 1), D(2020, 1, 2))]
     half = {r[0]: r[1] for r in reports.period_revenue(fact, revisions, periods).collect()}
     closed = {r[0]: r[1] for r in reports.period_revenue(fact, revisions, periods, "[]").collect()}
-    assert half == {"Oct": Decimal("97.55"), "Both": Decimal("243.875"), "None": None}
-    assert closed == {"Oct": Decimal("273.45"), "Both": Decimal("243.875"), "None": None}
+    assert half == {"Jul": Decimal("70.10"), "Both": Decimal("175.25"), "None": None}
+    assert closed == {"Jul": Decimal("192.90"), "Both": Decimal("175.25"), "None": None}
 
 
 def test_quality(spark):
@@ -294,22 +341,22 @@ def test_star_build_inventory_and_dashboard(spark, sales_root):
 
 
 def test_masters_finance_dims_and_object_store(spark, tmp_path, monkeypatch):
-    (tmp_path / "stores.csv").write_text("store_id,store_name,address_line,city,state,region,floor_area_sqft,opened_on\nS01,One,\"1, Road\",B,K,South,8200,2011-01-01\n")
-    (tmp_path / "product_categories.csv").write_text("category_id,category_name,department,gst_rate\nC01,Snacks,Food,0.18\n")
-    (tmp_path / "products.csv").write_text("product_sk,product_code,product_name,category_id,brand,pack_size,uom,valid_from,valid_to,is_current\n1001,P1,Juice,C01,X,1L,EA,2019-04-01,9999-12-31,TRUE\n")
-    (tmp_path / "price_revisions.csv").write_text("revision_id,product_sk,mrp,selling_price,effective_from,effective_to\n5,1001,98.50,87.95,2022-01-01,2023-10-12\n")
+    (tmp_path / "stores.csv").write_text("store_id,store_name,address_line,city,state,region,floor_area_sqft,opened_on\nS07,Seven,\"7, Lane\",Q,Z,Island,431,2018-02-27\n")
+    (tmp_path / "product_categories.csv").write_text("category_id,category_name,department,gst_rate\nK9,Bread,Bakery,0.075\n")
+    (tmp_path / "products.csv").write_text("product_sk,product_code,product_name,category_id,brand,pack_size,uom,valid_from,valid_to,is_current\n77,Q5,Rusk,K9,Y,9U,PK,2017-06-08,9999-12-31,TRUE\n")
+    (tmp_path / "price_revisions.csv").write_text("revision_id,product_sk,mrp,selling_price,effective_from,effective_to\n3,77,12.75,11.10,2017-06-08,2018-05-31\n")
     masters = external.load_masters(spark, str(tmp_path))
     assert set(masters) == set(schemas.MASTERS)
-    assert masters["stores"].first().opened_on == D(2011, 1, 1)
-    assert masters["product_categories"].first().gst_rate == Decimal("0.180")
+    assert masters["stores"].first().opened_on == D(2018, 2, 27)
+    assert masters["product_categories"].first().gst_rate == Decimal("0.075")
     assert masters["products"].first().is_current is True
-    assert masters["price_revisions"].first().selling_price == Decimal("87.95")
+    assert masters["price_revisions"].first().selling_price == Decimal("11.10")
 
     masters["stores"].write.parquet(str(tmp_path / "db" / "stores"))
     assert external.read_dim(spark, str(tmp_path / "db"), "stores").count() == 1
 
-    (tmp_path / "finance.csv").write_text("month,revenue_inr\n2024-01,38446071.33\n")
-    assert tuple(files.read_finance(spark, str(tmp_path / "finance.csv")).first()) == ("2024-01", Decimal("38446071.33"))
+    (tmp_path / "finance.csv").write_text("month,revenue_inr\n2018-03,9173.64\n")
+    assert tuple(files.read_finance(spark, str(tmp_path / "finance.csv")).first()) == ("2018-03", Decimal("9173.64"))
 
     monkeypatch.setenv("AWS_ENDPOINT_URL", "http://store:9000")
     external.configure_object_store(spark, ssl=False)
@@ -320,7 +367,7 @@ def test_masters_finance_dims_and_object_store(spark, tmp_path, monkeypatch):
 def test_notices_from_csv_and_parquet(spark, tmp_path):
     (tmp_path / "a.csv").write_text('portal_id,notice_id,body\nP1,N1,"line one\nline ""two"", end"\nP1,N3,\n')
     spark.createDataFrame([("N2", "text", "P2")], "notice_id string, body string, portal_id string").write.parquet(str(tmp_path / "b"))
-    assert rows(files.read_notices(spark, str(tmp_path))) == [("N1", 'line one\nline "two", end'), ("N2", "text")]
+    assert rows(files.read_notices(spark, str(tmp_path))) == [("N1", 'line one\nline "two", end', "P1", None), ("N2", "text", "P2", None)]
     (tmp_path / "labels.csv").write_text("notice_id_a,notice_id_b,label\nN1,N2,same\n")
     assert rows(files.read_labelled_pairs(spark, str(tmp_path / "labels.csv"))) == [("N1", "N2", "same")]
 

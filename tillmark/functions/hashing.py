@@ -64,6 +64,20 @@ def gram_codes(text: Column) -> Column:
     return codes(F.lower(text))
 
 
+def gram_digest(text: Column) -> Column:
+    """``size`` and ``digest`` of the trigram set: equal digests mean equal sets."""
+    read = _set_reader()
+
+    @F.arrow_udf("struct<size:int,digest:string>")
+    def digests(batch: pa.Array) -> pa.Array:
+        lengths, found = read(batch)
+        ends = np.cumsum(lengths)
+        sums = [md5(found[e - n : e].tobytes()).hexdigest() for e, n in zip(ends.tolist(), lengths.tolist(), strict=True)]
+        return pa.StructArray.from_arrays([pa.array(lengths.astype(np.int32)), pa.array(sums, pa.string())], ["size", "digest"])
+
+    return digests(F.lower(text))
+
+
 def signature(text: Column, k: int = 400) -> Column:
     """``k`` minima of the hash family over the text's trigrams, as ``array<int>``.
 

@@ -12,26 +12,34 @@ SALES_FILE = r"SALES_(S\d+)_(\d{4})(\d{2})(\d{2})\.(csv|parquet)"
 
 # Money is summed exactly: a double line value becomes this before any sum.
 MONEY = "decimal(24,4)"
+# Quantities and prices beyond this are no such things; products and sums of the rest fit MONEY.
+LARGEST = 1e9
+# Epoch seconds up to the end of the year 9999.
+LAST_SECOND = 253_402_300_799
 
 
 def try_number(text: Column) -> Column:
-    """Text to DOUBLE, NULL where it is no number.
+    """Text to DOUBLE, NULL where it is no number or one beyond ``LARGEST``, infinite or NaN.
 
-    The shape test keeps out Java literals such as ``3d`` that Spark would accept.
+    The shape test keeps out Java literals such as ``3d`` that Spark would accept.  What is
+    rejected here is counted by ``operators.normalise.rejected_values``.
     """
-    return F.when(text.rlike(NUMBER), text.try_cast("double"))
+    value = text.try_cast("double")
+    return F.when(text.rlike(NUMBER) & (F.abs(value) <= F.lit(LARGEST)), value)
 
 
 def normalise_timestamp(text: Column) -> Column:
     """All-digit text is epoch seconds, other text a local timestamp, the rest NULL.
 
-    Text needs a full calendar date: a bare year is not one.
+    Text needs a full calendar date: a bare year is not one.  Numbers beyond the year 9999
+    (milliseconds, ``yyyyMMddHHmmss``) are no epoch seconds: NULL.
     """
     dashed = F.when(
         text.contains("/"), F.regexp_replace(text, r"^(\s*\d+)/(\d+)/", "$1-$2-")
     ).otherwise(text)
     local = F.when(text.rlike(CALENDAR), dashed.try_cast("timestamp"))
-    epoch = F.timestamp_seconds(text.try_cast("bigint"))
+    seconds = text.try_cast("bigint")
+    epoch = F.timestamp_seconds(F.when(seconds <= F.lit(LAST_SECOND), seconds))
     return F.when(text.rlike(EPOCH), epoch).otherwise(local)
 
 

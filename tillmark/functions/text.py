@@ -9,6 +9,8 @@ from pyspark.sql import Column, functions as F
 
 # The two preamble phrases that the aggregator portals paste.
 PHRASES = ("NATIONAL PROCUREMENT AGGREGATION SERVICE", "STATE PROCUREMENT CELL")
+# Openings of the footers that portals add.
+FOOTERS = ("DISCLAIMER", "This is a system generated notice")
 MASK = "<NUM>"
 
 # Forms of money, dates and reference numbers seen in notices.
@@ -54,13 +56,14 @@ def strip_blocks(
     span: int = 1400,
     footers: Sequence[str] = (),
 ) -> Column:
-    """Remove the block a phrase opens: up to the next blank line, ``span`` characters at most.
+    """Remove the block a phrase opens, up to a blank line at most ``span`` characters on.
 
-    Footer phrases open a block that runs to the end of the text.
+    Without one in reach only the phrase goes: what follows may be the tender itself.  Footer
+    phrases open a block that runs to the end of the text.
     """
     for phrase in phrases:
         start = "(?is)" + _quoted(phrase)
-        text = F.regexp_replace(text, f"{start}(?:.{{0,{span}}}?\\n[ \\t]*\\n|.{{0,{span}}})", "")
+        text = F.regexp_replace(text, f"{start}(?:.{{0,{span}}}?\\n[ \\t]*\\n)?", "")
     for phrase in footers:
         text = F.regexp_replace(text, "(?is)" + _quoted(phrase) + ".*", "")
     return text
@@ -85,7 +88,7 @@ def mask_typed(
 
 
 def cleaner(
-    strategy: str, phrases: Sequence[str] = PHRASES, span: int = 1400
+    strategy: str, phrases: Sequence[str] = PHRASES, span: int = 1400, footers: Sequence[str] = FOOTERS
 ) -> Callable[[Column], Column]:
     """Cleaning by name.  Strip-then-mask and mask-then-strip differ on a phrase between digits."""
     known: dict[str, Callable[[Column], Column]] = {
@@ -94,6 +97,7 @@ def cleaner(
         "mask_then_strip": lambda c: strip_phrases(mask_digits(c), phrases),
         "greedy_block": lambda c: wipe_if_phrase(mask_digits(c), phrases),
         "block": lambda c: mask_digits(strip_blocks(c, phrases, span)),
+        "block_and_footer": lambda c: mask_digits(strip_blocks(c, phrases, span, footers)),
         "typed": lambda c: strip_punctuation(mask_digits(mask_typed(strip_phrases(c, phrases)))),
     }
     if strategy not in known:

@@ -1,9 +1,10 @@
 """Banding, buckets, candidate pairs, pruning, lookup and recall.
 
 A bucket that boilerplate or a large group of copies fills may hold a large share of
-all notices; listing its pairs would be quadratic.  Pairs are therefore listed only
-for buckets of at most ``max_bucket`` notices, and a denser bucket is represented by
-its member rows: linear in size, and every pair can still be derived from them.
+all notices; listing its pairs would be quadratic.  Where all pairs are needed, equal
+notices are folded first and ``block_pairs`` deals what is left of a bucket in small
+squares.  Pruning - ``max_bucket`` - happens only where the caller asks for it;
+``lsh_candidates`` then shows a denser bucket by its member rows, linear in size.
 """
 
 from __future__ import annotations
@@ -71,8 +72,12 @@ def bounded_groups(buckets: DataFrame, max_bucket: int = DENSE) -> DataFrame:
     the scan tasks already, so a dense bucket is cut down before the shuffle; a bucket
     that reaches the extra row is dense and left out.
     """
-    if not 0 < max_bucket < GROUP_LIMIT:
-        raise ValueError(f"max_bucket must be below {GROUP_LIMIT}, beyond it no limit runs before the shuffle")
+    if max_bucket < 1:
+        raise ValueError("max_bucket must be positive")
+    if max_bucket >= GROUP_LIMIT:  # no limit would run before the shuffle: drop dense buckets by their size
+        small = bucket_sizes(buckets).where(F.col("size") <= max_bucket).select(*BUCKET)
+        kept = buckets.join(small, list(BUCKET), "left_semi")
+        return kept.groupBy(*BUCKET).agg(F.sort_array(F.collect_list(ID)).alias("members"))
     ranked = Window.partitionBy(*BUCKET).orderBy(ID)
     return (
         buckets.withColumn("_n", F.row_number().over(ranked))
@@ -132,29 +137,52 @@ def lsh_candidates(buckets: DataFrame, max_bucket: int = DENSE) -> DataFrame:
     return pairs.unionByName(members)
 
 
-def lsh_stats(buckets: DataFrame, notices: DataFrame, max_bucket: int = DENSE) -> DataFrame:
-    """Candidates against all possible pairs.
+def block_pairs(buckets: DataFrame, block: int = 256, condition: Column | None = None) -> DataFrame:
+    """Distinct pairs that share a bucket, smaller id first, whatever the bucket's size.
 
-    ``dense_pairs`` counts the pairs of dense buckets band by band; added to the listed
-    pairs it bounds the candidate count from above, and equals it without dense buckets.
+    A bucket of n notices is dealt by hash into ``n / block`` blocks and its pairs into squares of
+    two blocks, so no task holds a dense bucket.  Other columns of ``buckets`` come along, suffixed
+    ``_a`` and ``_b``, and may occur in ``condition``, which is checked before pairs are shuffled.
     """
-    pairs = F.expr("size * (size - 1) div 2")
-    dense = (
-        bucket_sizes(buckets)
-        .where(F.col("size") > max_bucket)
-        .agg(F.count("*").alias("n"), F.coalesce(F.sum(pairs), F.lit(0)).alias("pairs"))
+    sizes = bucket_sizes(buckets).where("size > 1").withColumnRenamed("size", "_size")
+    sized = buckets.join(sizes, list(BUCKET))
+    parts = F.ceil(F.col("_size") / F.lit(block)).cast("int")
+    dealt = sized.withColumn("_parts", parts).withColumn("_own", F.pmod(F.hash(ID), F.col("_parts")))
+    rest = [c for c in buckets.columns if c not in (*BUCKET, ID)]
+
+    def side(name: str, others: Column, row: str, column: str) -> DataFrame:
+        return dealt.select(
+            *BUCKET, F.col(ID).alias(f"{ID}_{name}"), *[F.col(c).alias(f"{c}_{name}") for c in rest],
+            F.col("_own").alias(row), F.explode(others).alias(column),
+        )
+
+    left = side("a", F.sequence(F.lit(0), F.col("_parts") - 1), "_row", "_column")
+    right = side("b", F.sequence(F.lit(0), F.col("_parts") - 1), "_column", "_row")
+    smaller = F.col(PAIR[0]) < F.col(PAIR[1])
+    met = left.join(right, [*BUCKET, "_row", "_column"]).where(smaller if condition is None else smaller & condition)
+    return met.select(*PAIR).distinct()
+
+
+def lsh_stats(banded: DataFrame, max_bucket: int = DENSE) -> DataFrame:
+    """Distinct candidate pairs against all possible pairs; no pair is dropped or counted twice.
+
+    Notices with the same bands in all places form a class.  Pairs inside a class are counted,
+    pairs of classes that share a bucket weigh the product of their sizes.
+    """
+    classes = banded.groupBy("bands").agg(F.min(ID).alias(ID), F.count("*").alias("n"))
+    within = classes.agg(F.coalesce(F.sum(F.expr("n * (n - 1) div 2")), F.lit(0)).alias("pairs"))
+    sizes = classes.select(ID, "n")
+    between = attach(block_pairs(buckets_of(classes)), sizes).agg(
+        F.coalesce(F.sum(F.col("n_a") * F.col("n_b")), F.lit(0)).alias("pairs")
     )
-    listed = candidate_pairs(buckets, max_bucket).agg(F.count("*").alias("n"))
-    total = notices.agg(F.count("*").alias("notices"))
-    possible = F.expr("notices * (notices - 1) div 2")
-    counted = total.select(
+    dense = bucket_sizes(buckets_of(banded)).where(F.col("size") > max_bucket).agg(F.count("*").alias("n"))
+    counted = banded.agg(F.count("*").alias("notices")).select(
         "notices",
-        possible.alias("possible_pairs"),
-        listed.scalar().alias("listed_pairs"),
-        dense.select("n").scalar().alias("dense_buckets"),
-        dense.select("pairs").scalar().alias("dense_pairs"),
+        F.expr("notices * (notices - 1) div 2").alias("possible_pairs"),
+        (within.scalar() + between.scalar()).alias("candidate_pairs"),
+        dense.scalar().alias("dense_buckets"),
     )
-    share = F.try_divide(F.col("listed_pairs") + F.col("dense_pairs"), F.col("possible_pairs"))
+    share = F.try_divide("candidate_pairs", "possible_pairs")
     return counted.withColumn("reduction_pct", 100 * (1 - share))
 
 
@@ -179,13 +207,17 @@ def bucket_lookup(buckets: DataFrame, band_id: int, bucket_hash: str) -> DataFra
     return buckets.where((F.col("band_id") == band_id) & (F.col("bucket_hash") == bucket_hash)).select(ID)
 
 
-def lookup_notices(queries: DataFrame, buckets: DataFrame, max_bucket: int = DENSE) -> DataFrame:
+def lookup_notices(queries: DataFrame, buckets: DataFrame, max_bucket: int | None = None) -> DataFrame:
     """For each query notice the stored notices it shares a bucket with, and in how many bands.
 
-    Dense buckets are not expanded: for them ``match_id`` is NULL and ``bands`` counts
-    the dense buckets the query falls into.
+    All of them, however dense the bucket.  Only with ``max_bucket`` are denser buckets not
+    expanded: for them ``match_id`` is NULL and ``bands`` counts those the query falls into.
     """
     wanted = queries.select(*BUCKET, F.col(ID).alias("query_id"))
+    if max_bucket is None:
+        hits = wanted.join(buckets.select(*BUCKET, F.col(ID).alias("match_id")), list(BUCKET)).select("query_id", "match_id")
+        hits = hits.where(F.col("match_id") != F.col("query_id"))
+        return hits.groupBy("query_id", "match_id").agg(F.count("*").alias("bands"))
     small = bounded_groups(buckets, max_bucket)
     hits = wanted.join(small, list(BUCKET)).select("query_id", F.explode("members").alias("match_id"))
     hits = hits.where(F.col("match_id") != F.col("query_id"))

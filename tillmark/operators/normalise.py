@@ -41,3 +41,12 @@ def normalise_lines(raw: DataFrame, line_no_type: str = "string") -> DataFrame:
     if "file_path" in raw.columns:
         columns.append(F.col("file_path"))
     return raw.select(*columns)
+
+
+def rejected_values(raw: DataFrame) -> DataFrame:
+    """``columns, rows``: texts of quantity, price and timestamp that became NULL, one pass, a row each."""
+    readers = {"quantity": S.try_number, "unit_price": S.try_number, "timestamp": S.normalise_timestamp}
+    texts = {name: coalesce_columns(raw, name) for name in readers}
+    counts = raw.agg(*[F.count_if(t.isNotNull() & readers[n](t).isNull()).alias(n) for n, t in texts.items()])
+    entries = F.array(*[F.struct(F.lit(n).alias("columns"), F.col(n).alias("rows")) for n in readers])
+    return counts.select(F.explode(entries).alias("e")).select("e.columns", "e.rows")

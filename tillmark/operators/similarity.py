@@ -51,12 +51,36 @@ def attach(pairs: DataFrame, values: DataFrame) -> DataFrame:
 
 
 def jaccard_pairs(pairs: DataFrame, grams: DataFrame) -> DataFrame:
-    """Pairs with their exact similarity."""
-    return attach(pairs, grams.select(ID, "grams")).select(
-        *pairs.columns, jaccard(F.col("grams_a"), F.col("grams_b")).alias("jaccard")
+    """Pairs with their exact similarity.
+
+    Where ``grams`` has ``size`` and ``digest`` (see ``set_table``), pairs of equal digests are
+    settled by these alone: 1.0, or 0.0 for empty sets.  Only the sets of the others move.
+    """
+    score = jaccard(F.col("grams_a"), F.col("grams_b")).alias("jaccard")
+    if "digest" not in grams.columns:
+        return attach(pairs, grams.select(ID, "grams")).select(*pairs.columns, score)
+    slim = attach(pairs, grams.select(ID, "size", "digest"))
+    same = F.col("digest_a") == F.col("digest_b")
+    equal = F.when(F.col("size_a") > 0, 1.0).otherwise(0.0).alias("jaccard")
+    settled = slim.where(same).select(*pairs.columns, equal)
+    others = slim.where(~same).select(*pairs.columns)
+    return settled.union(attach(others, grams.select(ID, "grams")).select(*pairs.columns, score))
+
+
+def set_table(notices: DataFrame) -> DataFrame:
+    """``notice_id, grams, size, digest``."""
+    body = F.col(BODY)
+    return notices.select(ID, H.gram_codes(body).alias("grams"), H.gram_digest(body).alias("_d")).select(
+        ID, "grams", "_d.size", "_d.digest"
     )
 
 
+def size_bound(threshold: float) -> Column:
+    """Whether two sets of ``size_a`` and ``size_b`` elements can reach the threshold."""
+    low, high = F.least("size_a", "size_b"), F.greatest("size_a", "size_b")
+    return low >= F.lit(threshold) * high - F.lit(1e-9)
+
+
 def signatures(notices: DataFrame, k: int = 400) -> DataFrame:
     """``notice_id, signature``."""
     return notices.select(ID, H.signature(F.col(BODY), k).alias("signature"))

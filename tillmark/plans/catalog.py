@@ -3,17 +3,19 @@
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql.types import StructType
 
 from tillmark.operators import lsh, quality, reports, similarity as sim
-from tillmark.operators.dedup import load_checksum
+from tillmark.operators.dedup import dedup_latest as dedup, load_checksum
 from tillmark.operators.facts import revenue_lines, star_fact
-from tillmark.operators.normalise import normalise_lines
+from tillmark.operators.normalise import normalise_lines, rejected_values
 from tillmark.plans import notices as near, standins as st
-from tillmark.plans.warehouse import sales_lines
+from tillmark.plans.warehouse import LINE_KEY, sales_lines
 from tillmark.sources import files, landing, tables
 from tillmark.staging import stage, staging_path
 
@@ -59,15 +61,39 @@ def dedup_latest(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def checksum(spark: SparkSession, sf: str) -> DataFrame:
-    """The load over the files sent once, twice and three times."""
-    raw = st.raw_sales(spark, sf)
-    runs = []
-    for n in (1, 2, 3):
-        resent = reduce(DataFrame.unionAll, [raw] * n)
-        runs.append(load_checksum(sales_lines(resent)).select(F.lit(n).alias("times_sent"), "*"))
+    """The load over the files sent once, twice and three times.
+
+    The first load is stored.  Keep-latest over what is stored and what comes again gives the
+    same as over all files at once, so the later loads start from it.
+    """
+    raw = stage(normalise_lines(st.raw_sales(spark, sf)), "raw")
+    loaded = [stage(dedup(raw, LINE_KEY, "timestamp"), "load")]
+    for _ in range(2):
+        loaded.append(dedup(loaded[0].unionAll(raw), LINE_KEY, "timestamp"))
+    runs = [load_checksum(lines).select(F.lit(n + 1).alias("times_sent"), "*") for n, lines in enumerate(loaded)]
     return reduce(DataFrame.unionAll, runs)
 
 
+def rejected(spark: SparkSession, sf: str) -> DataFrame:
+    """Lines with numbers and timestamps out of range: counted, and no end of the load."""
+    order = F.col("l_orderkey")
+    quantity = F.col("l_quantity").cast("string")
+    raw = st.table(spark, sf, "lineitem").select(
+        st.bill_no(order).alias("bill_no"),
+        F.col("l_linenumber").cast("string").alias("line_no"),
+        F.when(order % 10 == 0, "1e30").when(order % 10 == 1, "inf").when(order % 10 == 2, "nan")
+        .when(order % 10 == 3, F.concat(quantity, F.lit(" pcs"))).otherwise(quantity).alias("qty"),
+        F.when(order % 11 == 0, "1e12").otherwise(F.col("l_extendedprice").cast("string")).alias("rate"),
+        F.when(order % 13 == 0, "20240101120000").when(order % 13 == 1, "1704067200000")
+        .when(order % 13 == 2, "99999999999999999999").when(order % 13 == 3, "pending")
+        .otherwise(F.date_format("l_shipdate", "yyyy-MM-dd")).alias("ts"),
+    )
+    lines = normalise_lines(raw)
+    value = F.sum((F.col("quantity") * F.col("unit_price")).cast("decimal(24,4)")).cast("double")
+    kept = lines.agg(F.lit("kept value").alias("columns"), value.alias("rows"))
+    return rejected_values(raw).select("columns", F.col("rows").cast("double").alias("rows")).union(kept)
+
+
 def union_by_name(spark: SparkSession, sf: str) -> DataFrame:
     """Lines written as CSV files of two header variants and read back by name."""
     raw = st.raw_sales(spark, sf)
@@ -77,14 +103,79 @@ def union_by_name(spark: SparkSession, sf: str) -> DataFrame:
     for name, columns in (("a", first), ("b", second)):
         part = raw.where(F.col(columns[-1]).isNotNull())
         part.select(columns).write.option("header", "true").csv(f"{root}/{name}")
-    lines = normalise_lines(files.read_union_by_name(spark, root))
-    return lines.groupBy("line_type").agg(
-        F.count("*").alias("lines"),
-        F.count("product_code").alias("products"),
-        F.sum(F.col("quantity").cast("decimal(24,6)")).cast("double").alias("quantity"),
-        F.sum(F.col("unit_price").cast("decimal(24,4)")).cast("double").alias("unit_price"),
-        F.count("timestamp").alias("timestamps"),
+    lines = normalise_lines(files.read_union_by_name(spark, root)).drop("file_path")
+    return lines.withColumn("timestamp", _text("timestamp"))
+
+
+def land_files(spark: SparkSession, sf: str) -> DataFrame:
+    """Yearly store files written, landed by the names they carry, and counted from the landed tree."""
+    order, year = F.col("l_orderkey"), F.date_format("l_shipdate", "yyyy")
+    line = st.table(spark, sf, "lineitem").select(
+        st.bill_no(order).alias("bill_no"), F.col("l_linenumber").alias("line_no"),
+        F.concat(F.when(order % 7 == 0, "DRAFT_").otherwise("SALES_"), st.store_id(order), F.lit("_"), year, F.lit("0101.csv")).alias("file"),
     )
+    source = staging_path(spark, "inbox")
+    line.repartition("file").write.option("header", "true").partitionBy("file").csv(source)
+    landed = landing.land_partitioned(spark, source, staging_path(spark, "landed"), ("csv",))
+    return landed.select("year", "month", "store", "files", "lines")
+
+
+def partition_filter(spark: SparkSession, sf: str) -> DataFrame:
+    """One store-month read from a tree of store-months."""
+    order, day = F.col("o_orderkey"), F.col("o_orderdate")
+    tree = staging_path(spark, "tree")
+    split = st.table(spark, sf, "orders").select(
+        "o_orderkey", F.year(day).alias("year"), F.month(day).alias("month"), st.store_id(order).alias("store")
+    )
+    split.hint("rebalance", "year", "month", "store").write.partitionBy("year", "month", "store").parquet(tree)
+    return files.filter_partition(spark.read.parquet(tree), "S03", 1996, 5).select("o_orderkey", "store", "year", "month")
+
+
+def finance_file(spark: SparkSession, sf: str) -> DataFrame:
+    """The finance control written as CSV and read back typed."""
+    path = staging_path(spark, "finance")
+    st.finance(spark, sf).write.option("header", "true").csv(path)
+    return files.read_finance(spark, path).select("month", *_double("revenue_inr"))
+
+
+def replaced_table(spark: SparkSession, sf: str) -> DataFrame:
+    """A table replaced by a later load; only that remains."""
+    name = f"replaced_{uuid.uuid4().hex}"
+    for month in ("1996-01", "1996-02"):
+        bills = st.table(spark, sf, "orders").where(F.date_format("o_orderdate", "yyyy-MM") == month)
+        kept = tables.create_or_replace(bills.select("o_orderkey", "o_totalprice"), name)
+    return kept
+
+
+def masters_files(spark: SparkSession, sf: str) -> DataFrame:
+    """The product master written as the dump's CSV and read back with its types."""
+    from tillmark.sources import external, schemas
+
+    root = staging_path(spark, "masters")
+    have = {"products": st.products(spark, sf), "stores": st.stores(spark, sf), "product_categories": st.categories(spark, sf)}
+    for name, schema in schemas.MASTERS.items():
+        df = have.get(name, st.price_revisions(spark, sf))
+        fields = StructType.fromDDL(schema).fieldNames()
+        columns = [F.col(f) if f in df.columns else F.lit(None).cast("string").alias(f) for f in fields]
+        df.select(*columns).write.option("header", "true").csv(f"{root}/{name}.csv")
+    read = external.load_masters(spark, root)
+    product, revision = read["products"], read["price_revisions"]
+    prices = revision.groupBy("product_sk").agg(F.count("*").alias("revisions"), F.max("selling_price").cast("double").alias("highest"))
+    shown = product.join(read["product_categories"].select("category_id", "category_name"), "category_id", "left").join(prices, "product_sk", "left")
+    return shown.select("product_sk", "product_code", "category_name", _text("valid_from", "yyyy-MM-dd"), "revisions", "highest")
+
+
+def federated_files(spark: SparkSession, sf: str) -> DataFrame:
+    """The federated report over a CSV tree and dimension tables of a folder, in one plan."""
+    from tillmark.sources import external
+
+    lines, dims = staging_path(spark, "lines"), staging_path(spark, "dims")
+    st.raw_sales(spark, sf).write.option("header", "true").csv(lines)
+    st.products(spark, sf).write.parquet(f"{dims}/products")
+    st.categories(spark, sf).write.parquet(f"{dims}/product_categories")
+    product, category = (external.read_dim(spark, dims, t) for t in ("products", "product_categories"))
+    revenue = reports.federated_category(files.read_union_by_name(spark, lines), product, category)
+    return revenue.select("category_name", *_double("total_revenue"))
 
 
 def land_partitions(spark: SparkSession, sf: str) -> DataFrame:
@@ -319,7 +410,7 @@ def _candidates(max_bucket: int) -> Query:
 
 def lsh_stats(spark: SparkSession, sf: str) -> DataFrame:
     banded = _bands(spark, sf)
-    stats = lsh.lsh_stats(lsh.buckets_of(banded), banded)
+    stats = lsh.lsh_stats(banded)
     return stats.withColumn("reduction_pct", F.round("reduction_pct", 6))
 
 
@@ -365,6 +456,30 @@ def s_curve(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def notices_load(spark: SparkSession, sf: str) -> DataFrame:
+    """Notices in CSV and Parquet parts, some ids sent again with a later text; one text per id remains."""
+    root = staging_path(spark, "notices")
+    docs = st.table(spark, sf, "documents", "doc_id", "text", "source")
+    sent = docs.select(
+        F.col("source").alias("portal_id"), F.col("doc_id").alias("notice_id"),
+        F.lit("2024-01-01").alias("published_at"), F.col("text").alias("body"),
+    )
+    again = sent.where("notice_id % 10 = 0").withColumn("published_at", F.lit("2024-02-01")).withColumn("body", F.concat(F.lit("AMENDED "), "body"))
+    sent.where("notice_id % 2 = 0").write.option("header", "true").option("escape", '"').csv(f"{root}/csv")
+    sent.where("notice_id % 2 = 1").unionByName(again).select("notice_id", "body", "portal_id", "published_at").write.parquet(f"{root}/parquet")
+    settled = near.unique_notices(files.read_notices(spark, root), "published_at")
+    return settled.select("notice_id", "portal_id", "published_at", F.md5(F.trim(F.regexp_replace("body", r"\s+", " ")).cast("binary")).alias("digest"))
+
+
+def stored_lookup(spark: SparkSession, sf: str) -> DataFrame:
+    """Buckets of the first notice of each repeated text, looked up in the stored, hashed table."""
+    banded = _bands(spark, sf)
+    stored = tables.write_buckets(lsh.buckets_of(banded), f"buckets_{uuid.uuid4().hex}", 8)
+    heads = _pairs(spark, sf).where("label = 'same'").select(F.col("notice_id_a").alias("notice_id")).distinct()
+    asked = lsh.buckets_of(banded.join(heads, "notice_id", "left_semi")).where("band_id = 0").select(*lsh.BUCKET).distinct()
+    return stored.join(asked, list(lsh.BUCKET), "left_semi").select(*lsh.BUCKET, "notice_id")
+
+
 def portal_volume(spark: SparkSession, sf: str) -> DataFrame:
     docs = st.table(spark, sf, "documents").select(F.col("source").alias("portal_id"))
     return sim.portal_volume(docs)
@@ -374,7 +489,14 @@ QUERIES: dict[str, Query] = {
     "normalise_lines": normalise,
     "dedup_latest": dedup_latest,
     "load_checksum": checksum,
+    "rejected_values": rejected,
     "union_by_name": union_by_name,
+    "land_files": land_files,
+    "partition_filter": partition_filter,
+    "finance_file": finance_file,
+    "replaced_table": replaced_table,
+    "masters_files": masters_files,
+    "federated_files": federated_files,
     "land_partitions": land_partitions,
     "validity_join": validity_join,
     "validity_join_gaps": validity_join_gaps,
@@ -392,7 +514,7 @@ QUERIES: dict[str, Query] = {
     "key_violations": key_violations,
     "table_inventory": table_inventory,
     "dashboard_json": dashboard_json,
-    **{f"clean_{s}": _clean(s) for s in (*STRATEGIES, "block", "typed")},
+    **{f"clean_{s}": _clean(s) for s in (*STRATEGIES, "block", "block_and_footer", "typed")},
     "trigram_counts": trigram_counts,
     "labelled_pairs": labelled_pairs,
     "first_pairs": first_pairs,
@@ -412,5 +534,7 @@ QUERIES: dict[str, Query] = {
     "bucket_lookup": bucket_lookup,
     "verify_candidates": verify_candidates,
     "s_curve": s_curve,
+    "notices_load": notices_load,
+    "stored_lookup": stored_lookup,
     "portal_volume": portal_volume,
 }

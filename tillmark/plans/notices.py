@@ -12,9 +12,9 @@ from tillmark.operators.dedup import dedup_latest
 from tillmark.staging import stage
 
 
-def unique_notices(notices: DataFrame, latest: str) -> DataFrame:
-    """One text per notice id, the one with the greatest ``latest``."""
-    return dedup_latest(notices, [sim.ID], latest)
+def unique_notices(notices: DataFrame, latest: str | None = None) -> DataFrame:
+    """One text per notice id: the one with the greatest ``latest``, by default the greatest body."""
+    return dedup_latest(notices, [sim.ID], latest or sim.BODY)
 
 
 def grams(
@@ -52,11 +52,10 @@ def staged_sets(
     """
     cleaned = sim.clean_text(sim.members(notices, pairs), strategy, phrases)
     body = F.col(sim.BODY)
-    sets = cleaned.select(
-        sim.ID,
-        H.gram_codes(body).alias("grams"),
-        *([H.signature(body, k).alias("signature")] if k else []),
-    )
+    if k:
+        sets = cleaned.select(sim.ID, H.gram_codes(body).alias("grams"), H.signature(body, k).alias("signature"))
+    else:
+        sets = sim.set_table(cleaned)
     return stage(sets, "sets")
 
 
@@ -98,9 +97,33 @@ def near_duplicates(
     threshold: float = 0.8,
     strategy: str = "mask_then_strip",
     phrases: Sequence[str] = X.PHRASES,
-    max_bucket: int = lsh.DENSE,
+    max_bucket: int | None = None,
+    latest: str | None = None,
 ) -> DataFrame:
-    """Verified near-duplicate pairs with their exact similarity."""
-    banded = staged_bands(notices, strategy, phrases)
-    pairs = stage(lsh.candidate_pairs(lsh.buckets_of(banded), max_bucket), "candidates")
-    return sim.verify_candidates(pairs, staged_sets(notices, pairs, strategy, phrases), threshold)
+    """Near-duplicates as ``kind, notice_id_a, notice_id_b, jaccard`` (an action).
+
+    One text per id is settled first.  Notices with the same trigram set fold into a group
+    named by its smallest id: ``kind = 'member'`` rows list the others, similarity 1.0, linear
+    in the group.  ``kind = 'pair'`` rows are all pairs of groups that share a bucket and reach
+    the threshold; any pair of notices follows from the two.  Nothing is dropped unless the
+    caller passes ``max_bucket``.  Texts without trigrams are similar to none.
+    """
+    settled = unique_notices(notices, latest)
+    cleaned = sim.clean_text(settled, strategy, phrases)
+    body = F.col(sim.BODY)
+    known = cleaned.select(sim.ID, H.gram_digest(body).alias("_d"), H.signature(body, 400).alias("signature")).select(
+        sim.ID, "_d.size", "_d.digest", H.band_keys(F.col("signature"), 20, 20).alias("bands")
+    )
+    known = stage(known.where("size > 0"), "bands")
+    heads = known.groupBy("digest").agg(F.min(sim.ID).alias("head"))
+    members = known.join(heads, "digest").where(F.col(sim.ID) != F.col("head"))
+    groups = known.join(heads.select(F.col("head").alias(sim.ID)), sim.ID, "left_semi")
+    buckets = groups.select(F.posexplode("bands").alias(*lsh.BUCKET), sim.ID, "size")
+    if max_bucket is None:
+        found = lsh.block_pairs(buckets, condition=sim.size_bound(threshold))
+    else:
+        found = lsh.candidate_pairs(buckets, max_bucket)
+    pairs = stage(found, "candidates")
+    verified = sim.verify_candidates(pairs, staged_sets(settled, pairs, strategy, phrases), threshold)
+    folded = members.select(F.lit("member").alias("kind"), F.col("head").alias(sim.PAIR[0]), F.col(sim.ID).alias(sim.PAIR[1]), F.lit(1.0).alias("jaccard"))
+    return verified.select(F.lit("pair").alias("kind"), *sim.PAIR, "jaccard").union(folded)

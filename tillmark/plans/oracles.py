@@ -2,10 +2,24 @@
 
 from __future__ import annotations
 
-from tillmark.functions.text import AMOUNTS, DATES, REFERENCES
-from tillmark.plans.catalog import PERIODS, SMALL, SPAN, STRATEGIES, THRESHOLD
+from tillmark.plans.catalog import PERIODS, SMALL, STRATEGIES, THRESHOLD
 from tillmark.plans.standins import PHRASES
 
+# Written out here once more, so that a wrong pattern in the library shows.
+SPAN = 600
+MONTHS = "(?:Jan|Feb|Mar|Apr|May|Jun|Jul|Aug|Sep|Oct|Nov|Dec)[a-z]*"
+TYPED = (
+    r"\b[A-Za-z]{2,5}[-/][0-9]{4}(-[0-9]{2})?[-/]([A-Z]/)?[0-9]{4,7}\b",
+    r"\b[A-Za-z]{2,5}-[0-9]{6}/[0-9]{4}\b",
+    r"\b0[0-9]{7}\b",
+    r"\b[0-9]{1,2}[-/.][0-9]{1,2}[-/.][0-9]{4}\b",
+    r"\b[0-9]{4}-[0-9]{2}-[0-9]{2}\b",
+    r"\b[0-9]{1,2}[- ]" + MONTHS + r"[- ][0-9]{2,4}\b",
+    r"\b" + MONTHS + r" [0-9]{1,2}, [0-9]{4}\b",
+    r"(?i)\b(rs\.?|inr|rupees)\s*[0-9][0-9,]*(\.[0-9]+)?(\s*(lakh|crore|cr|only)\b)?(/-)?",
+    r"\b[0-9]{7,}\b",
+)
+
 K, BANDS, ROWS, MODULUS = 400, 20, 20, 2147483647
 
 # Warehouse -----------------------------------------------------------------
@@ -160,10 +174,32 @@ _WAREHOUSE = {
       {TIME.format('"timestamp"')} AS "timestamp" FROM sales""",
     "load_checksum": f"WITH {SALES} " + " UNION ALL ".join(_CHECKSUM.format(n=n) for n in (1, 2, 3)),
     "union_by_name": f"""WITH {SALES}
-    SELECT line_type, count(*) AS lines, count(product_code) AS products,
-      CAST(sum(CAST(quantity AS DECIMAL(24,6))) AS DOUBLE) AS quantity,
-      CAST(sum(CAST(unit_price AS DECIMAL(24,4))) AS DOUBLE) AS unit_price, count("timestamp") AS timestamps
-    FROM raw_lines GROUP BY 1""",
+    SELECT bill_no, line_no, product_code, quantity, unit_price, line_type,
+      {TIME.format('"timestamp"')} AS "timestamp" FROM raw_lines""",
+    "rejected_values": """WITH texts AS (
+      SELECT CASE l_orderkey % 10 WHEN 0 THEN '1e30' WHEN 1 THEN 'inf' WHEN 2 THEN 'nan' WHEN 3 THEN 'x' END AS bad_quantity,
+        l_orderkey % 11 = 0 AS bad_price, l_orderkey % 13 < 4 AS bad_time, l_quantity, l_extendedprice FROM lineitem)
+    SELECT 'quantity' AS columns, CAST(count(bad_quantity) AS DOUBLE) AS rows FROM texts
+    UNION ALL SELECT 'unit_price', count(*) FROM texts WHERE bad_price
+    UNION ALL SELECT 'timestamp', count(*) FROM texts WHERE bad_time
+    UNION ALL SELECT 'kept value', CAST(sum(CAST(l_quantity * l_extendedprice AS DECIMAL(24,4))) AS DOUBLE)
+    FROM texts WHERE bad_quantity IS NULL AND NOT bad_price""",
+    "land_files": f"""WITH sent AS (
+      SELECT CAST(year(l_shipdate) AS INTEGER) AS year, 1 AS month, {STORE.format(key='l_orderkey')} AS store
+      FROM lineitem WHERE l_orderkey % 7 <> 0)
+    SELECT year, month, store, 1 AS files, count(*) AS lines FROM sent GROUP BY ALL""",
+    "partition_filter": f"""SELECT o_orderkey, {STORE.format(key='o_orderkey')} AS store, 1996 AS year, 5 AS month FROM orders
+    WHERE strftime(o_orderdate, '%Y-%m') = '1996-05' AND {STORE.format(key='o_orderkey')} = 'S03'""",
+    "finance_file": f"""WITH {FINANCE} SELECT month, CAST(revenue AS DOUBLE) AS revenue_inr FROM finance""",
+    "replaced_table": "SELECT o_orderkey, o_totalprice FROM orders WHERE strftime(o_orderdate, '%Y-%m') = '1996-02'",
+    "masters_files": f"""WITH {PRODUCTS}, {REVISIONS},
+    prices AS (SELECT product_sk, count(*) AS revisions, CAST(max(selling_price) AS DOUBLE) AS highest FROM revisions GROUP BY 1)
+    SELECT p.product_sk, product_code, category_name, strftime(valid_from, '%Y-%m-%d') AS valid_from, revisions, highest
+    FROM products p LEFT JOIN categories USING (category_id) LEFT JOIN prices ON p.product_sk = prices.product_sk""",
+    "federated_files": f"""WITH {SALES}, {PRODUCTS}
+    SELECT c.category_name, CAST(sum(CAST(r.quantity * r.unit_price AS DECIMAL(24,4))) AS DOUBLE) AS total_revenue
+    FROM raw_lines r JOIN products p ON r.product_code = p.product_code
+    JOIN categories c ON p.category_id = c.category_id WHERE r.even_order GROUP BY 1""",
     "land_partitions": f"""WITH names AS (
       SELECT DISTINCT {STORE.format(key='o_orderkey')} AS store, CAST(o_orderdate AS DATE) AS day,
         o_orderkey % 3 = 0 AS columnar
@@ -261,12 +297,18 @@ def _wipe(text: str) -> str:
 def _block(text: str) -> str:
     for phrase in PHRASES:
         start = "(?is)" + phrase.replace(".", "\\.").replace(",", "\\,")
-        text = f"regexp_replace({text}, '{start}(?:.{{0,{SPAN}}}?\\n[ \\t]*\\n|.{{0,{SPAN}}})', '', 'g')"
+        text = f"regexp_replace({text}, '{start}(?:.{{0,{SPAN}}}?\\n[ \\t]*\\n)?', '', 'g')"
+    return text
+
+
+def _footer(text: str) -> str:
+    for phrase in ("DISCLAIMER", "This is a system generated notice"):
+        text = f"regexp_replace({text}, '(?is){phrase}.*', '', 'g')"
     return text
 
 
 def _typed(text: str) -> str:
-    for pattern in (*REFERENCES, *DATES, *AMOUNTS):
+    for pattern in TYPED:
         text = f"regexp_replace({text}, '{pattern}', '<NUM>', 'g')"
     return text
 
@@ -277,6 +319,7 @@ _CLEANED = {
     "mask_then_strip": _strip(_mask("text")),
     "greedy_block": _wipe(_mask("text")),
     "block": _mask(_block("text")),
+    "block_and_footer": _mask(_footer(_block("text"))),
     "typed": f"regexp_replace({_mask(_typed(_strip('text')))}, '[[:punct:]]', '', 'g')",
 }
 
@@ -414,13 +457,15 @@ _NOTICES = {
     "lsh_buckets": f"WITH {BUCKETS} SELECT band_id, bucket_hash, notice_id FROM buckets",
     "lsh_candidates": _mixed(50),
     "lsh_candidates_dense": _mixed(SMALL),
-    "lsh_stats": f"""WITH {BUCKETS}, {_candidates(50)},
+    "lsh_stats": f"""WITH {BUCKETS},
+    pairs AS (
+      SELECT DISTINCT a.notice_id AS x, b.notice_id AS y FROM buckets a JOIN buckets b
+      ON a.band_id = b.band_id AND a.bucket_hash = b.bucket_hash AND a.notice_id < b.notice_id),
     counted AS (
-      SELECT (SELECT count(*) FROM documents) AS notices, (SELECT count(*) FROM pairs) AS listed_pairs,
-        (SELECT count(*) FROM sizes WHERE size > 50) AS dense_buckets,
-        (SELECT CAST(coalesce(sum(size * (size - 1) // 2), 0) AS BIGINT) FROM sizes WHERE size > 50) AS dense_pairs)
+      SELECT (SELECT count(*) FROM documents) AS notices, (SELECT count(*) FROM pairs) AS candidate_pairs,
+        (SELECT count(*) FROM sizes WHERE size > 50) AS dense_buckets)
     SELECT *, notices * (notices - 1) // 2 AS possible_pairs,
-      round(100 * (1 - (listed_pairs + dense_pairs) / CAST(notices * (notices - 1) // 2 AS DOUBLE)), 6) AS reduction_pct
+      round(100 * (1 - candidate_pairs / CAST(notices * (notices - 1) // 2 AS DOUBLE)), 6) AS reduction_pct
     FROM counted""",
     "bucket_histogram": f"""WITH {BUCKETS}
     SELECT band_id, size, count(*) AS buckets FROM sizes GROUP BY ALL""",
@@ -438,21 +483,32 @@ _NOTICES = {
       CAST(found_after AS DOUBLE) / same_pairs AS recall_after,
       100 * (CAST(found_before AS DOUBLE) / same_pairs - CAST(found_after AS DOUBLE) / same_pairs) AS recall_loss_pct
     FROM counted""",
-    "bucket_lookup": f"""WITH {LABELS}, {BUCKETS},
-    wanted AS (
-      SELECT b.band_id, b.bucket_hash, b.notice_id AS query_id, s.size FROM buckets b
-      JOIN sizes s USING (band_id, bucket_hash)
-      WHERE b.notice_id IN (SELECT notice_id_a FROM labels_ WHERE label = 'same'))
-    SELECT query_id, b.notice_id AS match_id, count(*) AS bands FROM wanted w
-    JOIN buckets b ON w.band_id = b.band_id AND w.bucket_hash = b.bucket_hash AND b.notice_id <> w.query_id
-    WHERE w.size <= 50 GROUP BY ALL
+    "bucket_lookup": f"""WITH {LABELS}, {BUCKETS}
+    SELECT a.notice_id AS query_id, b.notice_id AS match_id, count(*) AS bands FROM buckets a
+    JOIN buckets b ON a.band_id = b.band_id AND a.bucket_hash = b.bucket_hash AND b.notice_id <> a.notice_id
+    WHERE a.notice_id IN (SELECT notice_id_a FROM labels_ WHERE label = 'same') GROUP BY ALL""",
+    "verify_candidates": f"""WITH {BUCKETS},
+    folds AS (SELECT notice_id, md5(string_agg(gram, '' ORDER BY gram)) AS fold FROM grams GROUP BY 1),
+    heads AS (SELECT fold, min(notice_id) AS head FROM folds GROUP BY 1),
+    own AS (SELECT b.* FROM buckets b JOIN heads ON b.notice_id = head),
+    pairs AS (
+      SELECT DISTINCT a.notice_id AS notice_id_a, b.notice_id AS notice_id_b FROM own a JOIN own b
+      ON a.band_id = b.band_id AND a.bucket_hash = b.bucket_hash AND a.notice_id < b.notice_id),
+    {_scored('pairs')}
+    SELECT 'pair' AS kind, notice_id_a, notice_id_b, jaccard FROM scored WHERE jaccard >= {THRESHOLD}
     UNION ALL
-    SELECT query_id, NULL, count(*) FROM wanted WHERE size > 50 GROUP BY ALL""",
-    "verify_candidates": f"""WITH {BUCKETS}, {_candidates(50)}, {_scored('pairs')}
-    SELECT * FROM scored WHERE jaccard >= {THRESHOLD}""",
+    SELECT 'member', head, notice_id, 1.0 FROM folds JOIN heads USING (fold) WHERE notice_id <> head""",
     "s_curve": f"""WITH {LABELS}, {BUCKETS}, {_hits(50)}, {_scored('hits')}
     SELECT notice_id_a, notice_id_b, label, round(1 - pow(1 - pow(jaccard, 20), 20), 6) AS b20_r20,
       round(1 - pow(1 - pow(jaccard, 8), 50), 6) AS b50_r8, shared_buckets > 0 AS is_candidate FROM scored""",
+    "notices_load": """SELECT CAST(doc_id AS VARCHAR) AS notice_id, source AS portal_id,
+      CASE WHEN doc_id % 10 = 0 THEN '2024-02-01' ELSE '2024-01-01' END AS published_at,
+      md5(trim(regexp_replace(CASE WHEN doc_id % 10 = 0 THEN 'AMENDED ' ELSE '' END || text, '\\s+', ' ', 'g'))) AS digest
+    FROM documents""",
+    "stored_lookup": f"""WITH {LABELS}, {BUCKETS},
+    asked AS (SELECT DISTINCT band_id, bucket_hash FROM buckets WHERE band_id = 0
+      AND notice_id IN (SELECT notice_id_a FROM labels_ WHERE label = 'same'))
+    SELECT band_id, bucket_hash, notice_id FROM buckets SEMI JOIN asked USING (band_id, bucket_hash)""",
     "portal_volume": """SELECT source AS portal_id, count(*) AS notices FROM documents
     GROUP BY 1 ORDER BY 2 DESC, 1 LIMIT 15""",
 }

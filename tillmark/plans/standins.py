@@ -15,14 +15,15 @@ from tillmark.staging import stage
 PHRASES = ("Licensed under the Apache License, Version 2.0.", "Released under the MIT License.")
 
 
-# Key to spread a table by, where it is too small to fill the cores by itself.
+# Key to deal a table by: each test table is a single row group, that is a single task.
 SPREAD = {"lineitem": "l_orderkey", "orders": "o_orderkey", "documents": "doc_id", "events": "event_id"}
 
 
 def table(spark: SparkSession, sf: str, name: str, *columns: str) -> DataFrame:
     path = f"{sf}/{name}.parquet"
     if name in SPREAD:
-        return read_spread(spark, path, SPREAD[name], *(columns or ("*",)))
+        parts = 2 * spark.sparkContext.defaultParallelism
+        return read_spread(spark, path, SPREAD[name], *(columns or ("*",)), parts=parts)
     return spark.read.parquet(path).select(*(columns or ("*",)))
 
 

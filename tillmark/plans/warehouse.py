@@ -32,10 +32,13 @@ def load_sales(
     Running it again over the same or re-sent files gives the same table.
     """
 
-    def load(source: str) -> DataFrame:
-        return tables.create_or_replace(sales_lines(files.read_sales(spark, source, tuple(formats))), table)
+    def read(source: str) -> DataFrame:
+        return sales_lines(files.read_sales(spark, source, tuple(formats)))
 
-    loaded = files.read_with_fallback(load, root, mirror) if mirror else load(root)
+    def write(lines: DataFrame) -> DataFrame:
+        return tables.create_or_replace(lines, table)
+
+    loaded = files.read_with_fallback(read, root, mirror, write) if mirror else write(read(root))
     return load_checksum(loaded)
 
 

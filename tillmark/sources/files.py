@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-import csv
+import json
 from collections.abc import Callable, Iterator
 from functools import reduce
 from typing import TypeVar
@@ -15,10 +15,7 @@ from pyspark.sql.types import StringType, StructField, StructType
 
 from tillmark.sources import schemas
 
-R = TypeVar("R")
-
-# Inputs below this size per core are worth a shuffle to reach all cores.
-SMALL_PER_CORE = 16 << 20
+R, T = TypeVar("R"), TypeVar("T")
 
 
 def list_files(spark: SparkSession, root: str, pattern: str = "*.csv") -> DataFrame:
@@ -42,68 +39,77 @@ def _listing(spark: SparkSession, root: str, pattern: str) -> DataFrame:
     )
 
 
-def total_bytes(spark: SparkSession, root: str, pattern: str = "*") -> int:
-    return _listing(spark, root, pattern).agg(F.coalesce(F.sum("length"), F.lit(0))).first()[0]
-
+def read_spread(spark: SparkSession, path: str, key: str, *columns: str, parts: int | None = None) -> DataFrame:
+    """Parquet columns; with ``parts`` dealt into so many tasks by ``key``.
 
-def read_spread(spark: SparkSession, path: str, key: str, *columns: str) -> DataFrame:
-    """Parquet columns, re-spread by ``key`` only when the input is too small for the cores.
-
-    Large inputs split into enough tasks and are not shuffled; a small one may sit in
-    a single row group, that is in one task.
+    Only the caller knows whether a table sits in too few row groups to use the cores, as the
+    single-group test tables do; large tables split by themselves and need no shuffle.
     """
     df = spark.read.parquet(path).select(*columns)
-    cores = spark.sparkContext.defaultParallelism
-    if total_bytes(spark, path) < cores * SMALL_PER_CORE:
-        df = df.repartition(2 * cores, key)
-    return df
+    return df.repartition(parts, key) if parts else df
 
 
 def read_union_by_name(spark: SparkSession, root: str, pattern: str = "*.csv") -> DataFrame:
     """All CSV files below ``root`` as text columns, matched by header name.
 
-    A column that a file lacks is NULL there.  Files are grouped by their header line
-    and each group is read with its own schema, since one CSV scan maps columns by
-    position.  Empty files are skipped.  Reads the head of every file on the executors (an action); the list of
-    paths per header is the only thing that reaches the driver.
+    A column that a file lacks is NULL there.  Files are grouped by their header record, which
+    may be of any length and hold quoted line breaks, and each group is read with its own
+    schema, since one CSV scan maps columns by position.  Empty files are skipped.  Reads the
+    first record of every file on the executors (an action); paths per header are the only
+    thing that reaches the driver.
     """
     found = list_files(spark, root, pattern).select("path")
-    heads = found.mapInPandas(_header_reader(), "path string, header string")
+    settings = {k: v for k in ("endpoint", "connection.ssl.enabled") if (v := spark.conf.get(f"fs.s3a.{k}", None))}
+    heads = found.mapInPandas(_header_reader(settings), "path string, header string")
     groups: dict[str, list[str]] = {}
-    for row in heads.where("header <> ''").orderBy("path").toLocalIterator():
+    for row in heads.where("header is not null").orderBy("path").toLocalIterator():
         groups.setdefault(row.header, []).append(row.path)
     parts = []
     for header, paths in groups.items():
-        names = [name.strip() for name in next(csv.reader([header]))]
-        schema = StructType([StructField(name, StringType()) for name in names])
-        part = spark.read.schema(schema).option("header", "true").csv(paths)
-        parts.append(part.withColumn("file_path", F.col("_metadata.file_path")))
+        names = json.loads(header)
+        schema = StructType([StructField(name.strip(), StringType()) for name in names])
+        reader = spark.read.schema(schema).option("header", "true")
+        if any("\n" in name or "\r" in name for name in names):
+            reader = reader.option("multiLine", "true").option("escape", '"')
+        parts.append(reader.csv(paths).withColumn("file_path", F.col("_metadata.file_path")))
     if not parts:
         raise FileNotFoundError(f"only empty {pattern} files below {root}")
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
 
 
-def _header_reader() -> Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]]:
-    """Function that reads the first line of each file on the executors.
+def _header_reader(settings: dict[str, str]) -> Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]]:
+    """Function that reads the first record of each file on the executors, as JSON.
 
     It is local to this one, so Spark ships its code: executors need no copy of the package.
+    ``settings`` are those of the session's object store.
     """
 
-    def first_line(path):
+    def first_record(path):
+        import csv
+        import io
+        import json
+        from urllib.parse import unquote
+
         from pyarrow import fs
 
         scheme, _, rest = path.partition(":")
         if scheme == "file":
-            source, name = fs.LocalFileSystem(), "/" + rest.lstrip("/")
+            source, name = fs.LocalFileSystem(), unquote("/" + rest.lstrip("/"))
+        elif scheme in ("s3", "s3a") and settings.get("endpoint"):
+            plain = settings.get("connection.ssl.enabled") == "false"
+            host = settings["endpoint"].partition("://")[2] or settings["endpoint"]
+            source = fs.S3FileSystem(endpoint_override=host, scheme="http" if plain else "https")
+            name = rest.lstrip("/")
         else:
             source, name = fs.FileSystem.from_uri(path.replace("s3a://", "s3://", 1))
         with source.open_input_stream(name) as stream:
-            head = stream.read(1 << 16)
-        return head.decode("utf-8-sig", errors="replace").splitlines()[0] if head else ""
+            text = io.TextIOWrapper(stream, "utf-8-sig", errors="replace", newline="")
+            record = next(csv.reader(text), None)
+        return json.dumps(record) if record else None
 
     def read(batches):
         for batch in batches:
-            yield batch[["path"]].assign(header=batch["path"].map(first_line))
+            yield batch[["path"]].assign(header=batch["path"].map(first_record))
 
     return read
 
@@ -150,8 +156,15 @@ def read_labelled_pairs(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(schemas.LABELLED_PAIRS).option("header", "true").csv(path)
 
 
+NOTICE = ("notice_id", "body", "portal_id", "published_at")
+
+
 def read_notices(spark: SparkSession, root: str) -> DataFrame:
-    """``notice_id, body`` of all CSV and Parquet parts; bodies that are NULL are left out."""
+    """``notice_id, body, portal_id, published_at`` of all CSV and Parquet parts, as text.
+
+    A part may lack the portal or the date: NULL there.  Bodies that are NULL are left out.
+    One id may occur more than once; ``plans.notices.unique_notices`` settles that.
+    """
     parts = []
     for suffix in ("csv", "parquet"):
         try:
@@ -172,8 +185,9 @@ def _notice_part(spark: SparkSession, root: str, suffix: str) -> DataFrame:
         reader = reader.option("header", "true").option("multiLine", "true").option("escape", '"')
         part = reader.csv(root)
     else:
-        part = reader.parquet(root)
-    return part.select(F.col("notice_id").cast("string"), F.col("body").cast("string"))
+        part = reader.option("mergeSchema", "true").parquet(root)
+    have = [F.col(c) if c in part.columns else F.lit(None) for c in NOTICE]
+    return part.select(*[c.cast("string").alias(name) for c, name in zip(have, NOTICE, strict=True)])
 
 
 def filter_partition(df: DataFrame, store: str, year: int, month: int) -> DataFrame:
@@ -181,26 +195,41 @@ def filter_partition(df: DataFrame, store: str, year: int, month: int) -> DataFr
     return df.where((F.col("year") == year) & (F.col("month") == month) & (F.col("store") == store))
 
 
-def read_with_fallback(run: Callable[[str], R], primary: str, mirror: str) -> R:
-    """``run(primary)``, or ``run(mirror)`` when the primary cannot be read.
+def read_with_fallback(
+    read: Callable[[str], R], primary: str, mirror: str, use: Callable[[R], T] | None = None
+) -> R | T:
+    """``read(primary)``, or ``read(mirror)`` when the primary cannot be read.
 
-    ``run`` must hold the Spark action: a lazy plan fails only later.
+    ``use`` is what is done with the result, a write for one.  A file that turns out to be
+    unreadable while ``use`` runs leads to the mirror too; any other failure in it, such as a
+    full target, is raised: it says nothing about the source.
     """
     try:
-        return run(primary)
+        found = read(primary)
     except (PySparkException, Py4JJavaError, OSError) as failure:
         if not _is_read_failure(failure):
             raise
-        return run(mirror)
+        found = read(mirror)
+        return use(found) if use else found
+    if use is None:
+        return found
+    try:
+        return use(found)
+    except (PySparkException, Py4JJavaError) as failure:
+        if not _is_unreadable_file(failure):
+            raise
+        return use(read(mirror))
+
+
+def _is_unreadable_file(failure: Exception) -> bool:
+    """Spark's error class for a source file, under whatever exception it arrives."""
+    return "[FAILED_READ_FILE" in str(failure)
 
 
 def _is_read_failure(failure: Exception) -> bool:
-    if isinstance(failure, OSError):
+    if isinstance(failure, OSError) or _is_unreadable_file(failure):
         return True
     if isinstance(failure, AnalysisException):
         return failure.getCondition() in {"PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"}
-    text = str(failure)
-    return any(
-        sign in text
-        for sign in ("IOException", "FileNotFoundException", "FAILED_READ_FILE", "UnknownHost", "ConnectException")
-    )
+    causes = ("java.io.FileNotFoundException", "java.net.UnknownHostException", "java.net.ConnectException")
+    return any(cause in str(failure) for cause in causes)

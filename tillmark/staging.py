@@ -7,7 +7,6 @@ statistics for the stages that read it.
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -16,13 +15,15 @@ _KEY = "spark.checkpoint.dir"
 
 
 def staging_root(spark: SparkSession) -> str:
-    """Folder named by ``spark.checkpoint.dir``; a private one in local mode only."""
+    """Folder named by ``spark.checkpoint.dir``; an error on a cluster that names none.
+
+    A session on this machine alone, as in tests, uses a folder in its warehouse then.
+    """
     root = spark.conf.get(_KEY, None)
     if not root:
-        master = spark.conf.get("spark.master", "")
-        if not master.startswith("local"):
+        if spark.conf.get("spark.master", "").partition("[")[0] != "local":
             raise ValueError(f"set {_KEY} to a folder that all executors can reach")
-        root = tempfile.mkdtemp(prefix="tillmark-")
+        root = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_checkpoints"
         spark.conf.set(_KEY, root)
     return root.rstrip("/")
 
