@@ -40,7 +40,7 @@ class Limits:
     word_divergence: float = 0.11
     char_divergence: float = 0.035
     word_slack: float = 10.0
-    char_slack: float = 10.0
+    char_slack: float = 20.0
 
 
 @cache
