@@ -320,6 +320,19 @@ def test_quality(spark):
     ]
 
 
+def test_key_counts_equal_the_single_checks(spark):
+    child = spark.createDataFrame([(1, 1), (1, 2), (2, 2), (3, 9), (4, 9), (5, None), (5, None)], "id int, parent int")
+    parent = spark.createDataFrame([(1,), (2,)], "id int")
+    counts = quality.KeyCounts(child, "child", ["id"], ["parent"], ["id", "parent"])
+    parents = quality.KeyCounts(parent, "parent", ["id"])
+    for got, want in (
+        (counts.repeated(["id"]), quality.repeated_keys(child, "child", ["id"])),
+        (counts.repeated(["id", "parent"]), quality.repeated_keys(child, "child", ["id", "parent"])),
+        (counts.orphans("parent", parents, "id"), quality.orphans(child, "child", "parent", parent, "id")),
+    ):
+        assert rows(got) == rows(want)
+
+
 def test_star_build_inventory_and_dashboard(spark, sales_root):
     spark.sql("CREATE DATABASE IF NOT EXISTS shop")
     warehouse.load_sales(spark, sales_root, "sales_fact")

@@ -78,6 +78,24 @@ def gram_digest(text: Column) -> Column:
     return digests(F.lower(text))
 
 
+def gram_totals(text: Column) -> Column:
+    """``trigrams`` and ``hash_sum``: size of the trigram set and the sum of its base hashes."""
+    read = _set_reader()
+
+    @F.arrow_udf("struct<trigrams:int,hash_sum:bigint>")
+    def totals(batch: pa.Array) -> pa.Array:
+        lengths, found = read(batch)
+        codes, positions = np.unique(found, return_inverse=True)
+        words = (chr(c >> 2 * BITS) + chr(c >> BITS & LOW) + chr(c & LOW) for c in codes.tolist())
+        bases = np.array([int.from_bytes(md5(word.encode()).digest()[:4], "big") for word in words], np.int64)
+        running = np.concatenate(([0], np.cumsum(bases[positions])))
+        ends = np.cumsum(lengths)
+        sums = running[ends] - running[ends - lengths]
+        return pa.StructArray.from_arrays([pa.array(lengths.astype(np.int32)), pa.array(sums)], ["trigrams", "hash_sum"])
+
+    return totals(F.lower(text))
+
+
 def signature(text: Column, k: int = 400) -> Column:
     """``k`` minima of the hash family over the text's trigrams, as ``array<int>``.
 

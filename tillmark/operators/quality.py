@@ -7,6 +7,8 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, functions as F
 
+from tillmark.staging import stage
+
 
 def repeated_keys(df: DataFrame, table: str, keys: Sequence[str]) -> DataFrame:
     """Keys that occur more than once and the rows they hold."""
@@ -26,6 +28,38 @@ def orphans(df: DataFrame, table: str, key: str, parent: DataFrame, parent_key:
     ).select(*_label("reference", table, key), "keys", "rows")
 
 
+class KeyCounts:
+    """Rows per value of several column groups of one table, counted in one scan and stored (an action)."""
+
+    def __init__(self, df: DataFrame, table: str, *groups: Sequence[str]):
+        self.table = table
+        self.columns = sorted({c for g in groups for c in g})
+        sets = [[F.col(c) for c in g] for g in groups]
+        counted = df.groupingSets(sets, *self.columns).agg(
+            F.count("*").alias("n"), F.grouping_id(*self.columns).alias("_set")
+        )
+        self.counts = stage(counted, f"keys-{table}")
+
+    def of(self, group: Sequence[str]) -> DataFrame:
+        """``group`` columns and ``n``; columns outside the group set a bit of the id, the first the highest."""
+        own = sum(1 << i for i, c in enumerate(reversed(self.columns)) if c not in group)
+        return self.counts.where(F.col("_set") == own).select(*group, "n")
+
+    def repeated(self, group: Sequence[str]) -> DataFrame:
+        found = self.of(group).where("n > 1")
+        return _summed(found).select(*_label("primary key", self.table, ",".join(group)), "keys", "rows")
+
+    def orphans(self, key: str, parent: KeyCounts, parent_key: str) -> DataFrame:
+        parents = parent.of([parent_key]).select(F.col(parent_key).alias("_parent"))
+        values = self.of([key]).where(F.col(key).isNotNull())
+        lost = values.join(parents, F.col(key) == F.col("_parent"), "left_anti")
+        return _summed(lost).select(*_label("reference", self.table, key), "keys", "rows")
+
+
+def _summed(counts: DataFrame) -> DataFrame:
+    return counts.agg(F.count("*").alias("keys"), F.coalesce(F.sum("n"), F.lit(0)).alias("rows"))
+
+
 def missing_values(df: DataFrame, table: str, columns: Sequence[str]) -> DataFrame:
     """NULL counts of all ``columns`` in one pass."""
     counted = df.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in columns])

@@ -279,17 +279,26 @@ def federated_category_validity(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def key_violations(spark: SparkSession, sf: str) -> DataFrame:
-    line, order, part = (st.table(spark, sf, t) for t in ("lineitem", "orders", "part"))
-    customer, nation = (st.table(spark, sf, t) for t in ("customer", "nation"))
+    counted = {
+        name: quality.KeyCounts(st.table(spark, sf, name), name, *groups)
+        for name, groups in {
+            "lineitem": (["l_orderkey", "l_linenumber"], ["l_orderkey"], ["l_partkey"]),
+            "orders": (["o_orderkey"], ["o_custkey"]),
+            "part": (["p_partkey"],),
+            "customer": (["c_custkey"], ["c_nationkey"]),
+            "nation": (["n_nationkey"],),
+        }.items()
+    }
+    line, order, customer = counted["lineitem"], counted["orders"], counted["customer"]
     return quality.violations(
         [
-            quality.repeated_keys(line, "lineitem", ["l_orderkey", "l_linenumber"]),
-            quality.repeated_keys(order, "orders", ["o_orderkey"]),
-            quality.repeated_keys(part, "part", ["p_partkey"]),
-            quality.orphans(line, "lineitem", "l_orderkey", order, "o_orderkey"),
-            quality.orphans(line, "lineitem", "l_partkey", part, "p_partkey"),
-            quality.orphans(order, "orders", "o_custkey", customer, "c_custkey"),
-            quality.orphans(customer, "customer", "c_nationkey", nation, "n_nationkey"),
+            line.repeated(["l_orderkey", "l_linenumber"]),
+            order.repeated(["o_orderkey"]),
+            counted["part"].repeated(["p_partkey"]),
+            line.orphans("l_orderkey", order, "o_orderkey"),
+            line.orphans("l_partkey", counted["part"], "p_partkey"),
+            order.orphans("o_custkey", customer, "c_custkey"),
+            customer.orphans("c_nationkey", counted["nation"], "n_nationkey"),
             quality.missing_values(_lines(spark, sf), "sales", ["bill_no", "quantity", "timestamp"]),
         ]
     )
@@ -349,10 +358,10 @@ def _pairs(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def trigram_counts(spark: SparkSession, sf: str) -> DataFrame:
-    from tillmark.functions.hashing import base_hashes
+    from tillmark.functions.hashing import gram_totals
 
-    total = F.aggregate(base_hashes(F.col("grams")), F.lit(0).cast("bigint"), lambda a, x: a + x)
-    return _grams(spark, sf).select("notice_id", F.size("grams").alias("trigrams"), total.alias("hash_sum"))
+    cleaned = sim.clean_text(st.notices(spark, sf), "mask_then_strip", st.PHRASES)
+    return cleaned.select("notice_id", gram_totals(F.col("body")).alias("t")).select("notice_id", "t.trigrams", "t.hash_sum")
 
 
 def labelled_pairs(spark: SparkSession, sf: str) -> DataFrame:
