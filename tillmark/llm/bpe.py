@@ -29,8 +29,14 @@ NEVER = np.int64(1) << 40
 _PIECES = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|[^\p{White_Space}\p{L}\p{N}]+")
 #: Below this code point no character composes with another, and lower case is context-free.
 _PLAIN = "ɐ"
+#: ASCII marks that make one word where they stand together; the apostrophe may open a word.
+_MARKS = b".,;:!?"
+#: What stands against preparing a text as a whole.
+_BEYOND = re.compile("[\u0250-\U0010ffff\u0130]|<\\|")
+#: A letter before a mark that ends a stretch: a blank between them changes no word.
+_BREAK = re.compile("([a-z\u00df-\u00f6\u00f8-\u024f])(?=[.,;:!?](?:[ \t\n\r\x0b\x0c]|$))")
 _SEGMENT = 1 << 22
-_GENERATION = 800_000
+_GENERATION = 500_000
 _SHORT = 64
 _NONE = 1 << 40
 
@@ -61,6 +67,16 @@ def segments(raw: bytes, size: int = _SEGMENT) -> Iterator[bytes]:
     yield raw[at:]
 
 
+def prepared(text: str) -> bytes:
+    """UTF-8 of a text with the same words but fewer different stretches: in lower case, marks set apart.
+
+    Only where lower case is context-free and no special token can occur.
+    """
+    if not _BEYOND.search(text):
+        text = _BREAK.sub(r"\1 ", text.lower())
+    return text.encode("utf-8", "surrogatepass")
+
+
 class WordBpe:
     """Encoder and decoder for a vocabulary file with word ends."""
 
@@ -103,6 +119,7 @@ class WordBpe:
         for token in self.inner:
             self.reach[token[:3]] = max(len(token), self.reach.get(token[:3], 0))
         self.kind = np.uint16 if size <= 1 << 16 else np.uint32
+        self.packed = [self.kind(i).tobytes() for i in range(size)]
         self.young: dict[bytes, bytes] = {}
         self.old: dict[bytes, bytes] = {}
 
@@ -112,9 +129,12 @@ class WordBpe:
         """Normalised words of a stretch without white space that holds no special token."""
         if chunk.isalpha():  # ASCII letters only
             return [chunk.lower()]
+        if (core := chunk.rstrip(_MARKS)).isalpha():  # and marks after them
+            return [core.lower(), chunk[len(core) :]]
         text = chunk.decode("utf-8", "replace")
         if max(text) < _PLAIN:
-            return [p.encode("utf-8") for p in _PIECES.findall(text.lower())]
+            text = text.lower()
+            return [text.encode("utf-8")] if text.isalpha() else [p.encode("utf-8") for p in _PIECES.findall(text)]
         text = self.library.normalizer.normalize_str(text)  # its edition of Unicode decides
         found = self.library.pre_tokenizer.pre_tokenize_str(text)
         return [bytes(map(self.to_byte.__getitem__, p)) for p, _ in found]
@@ -220,7 +240,7 @@ class WordBpe:
     # Texts ------------------------------------------------------------------
 
     def _learn(self, chunks: set[bytes]) -> dict[bytes, bytes]:
-        """Encodings of stretches without white space, and of the words in them, as packed ids."""
+        """Encodings of stretches without white space, as packed ids."""
         parts: dict[bytes, list[bytes]] = {}
         needed: set[bytes] = set()
         for chunk in chunks:
@@ -232,22 +252,25 @@ class WordBpe:
                     row += self.pieces(part)
             parts[chunk] = row
             needed.update(row)
-        known = {i: np.array([n], self.kind).tobytes() for i, n in self.special.items()}
+        packed = self.packed.__getitem__
+        known = {i: packed(n) for i, n in self.special.items()}
         young, old = self.young, self.old
         for p in needed:
             if p not in known and (code := young.get(p) or old.get(p)):
                 known[p] = code
         fresh = [p for p in needed if p not in known]
-        coded = [np.array(r, self.kind).tobytes() for r in self.encode_words(fresh)] if fresh else []
-        known.update(zip(fresh, coded, strict=True))
-        return dict(zip(fresh, coded, strict=True)) | {c: b"".join([known[p] for p in row]) for c, row in parts.items()}
+        if fresh:
+            known.update(zip(fresh, [b"".join(map(packed, r)) for r in self.encode_words(fresh)], strict=True))
+        return {c: known[r[0]] if len(r) == 1 else b"".join(map(known.__getitem__, r)) for c, r in parts.items()}
 
     def _look_up(self, lists: list[list[bytes]]) -> list[bytes]:
         """Packed ids of lists of stretches. Two generations of known ones bound the memory."""
         young, old = self.young, self.old
         fresh: set[bytes] = set()
+        every: list[list[bytes | None]] = []
         for found in lists:
             codes = list(map(young.get, found))
+            every.append(codes)
             if None in codes:
                 for w, code in zip(found, codes, strict=True):
                     if code is None:
@@ -257,7 +280,10 @@ class WordBpe:
                             young[w] = code
         if fresh:
             young.update(self._learn(fresh))
-        out = [b"".join(map(young.__getitem__, found)) for found in lists]
+        out = [
+            b"".join(map(young.__getitem__, found) if None in codes else codes)
+            for found, codes in zip(lists, every, strict=True)
+        ]
         if len(young) > _GENERATION:
             self.old, self.young = young, {}
         return out
@@ -272,7 +298,7 @@ class WordBpe:
                 yield np.frombuffer(code, self.kind)
 
         for text in texts:
-            raw = (text or "").encode("utf-8", "surrogatepass")
+            raw = prepared(text or "")
             if held + len(raw) > _SEGMENT and group:
                 yield from done()
                 group, held = [], 0
