@@ -121,14 +121,15 @@ def land_files(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def partition_filter(spark: SparkSession, sf: str) -> DataFrame:
-    """One store-month read from a tree of store-months."""
+    """One store-quarter, named by its first month, read from a tree of them."""
     order, day = F.col("o_orderkey"), F.col("o_orderdate")
+    first = (F.quarter(day) * 3 - 2).alias("month")
     tree = staging_path(spark, "tree")
     split = st.table(spark, sf, "orders").select(
-        "o_orderkey", F.year(day).alias("year"), F.month(day).alias("month"), st.store_id(order).alias("store")
+        "o_orderkey", F.year(day).alias("year"), first, st.store_id(order).alias("store")
     )
     split.hint("rebalance", "year", "month", "store").write.partitionBy("year", "month", "store").parquet(tree)
-    return files.filter_partition(spark.read.parquet(tree), "S03", 1996, 5).select("o_orderkey", "store", "year", "month")
+    return files.filter_partition(spark.read.parquet(tree), "S03", 1996, 4).select("o_orderkey", "store", "year", "month")
 
 
 def finance_file(spark: SparkSession, sf: str) -> DataFrame:

@@ -188,8 +188,8 @@ _WAREHOUSE = {
       SELECT CAST(year(l_shipdate) AS INTEGER) AS year, 1 AS month, {STORE.format(key='l_orderkey')} AS store
       FROM lineitem WHERE l_orderkey % 7 <> 0)
     SELECT year, month, store, 1 AS files, count(*) AS lines FROM sent GROUP BY ALL""",
-    "partition_filter": f"""SELECT o_orderkey, {STORE.format(key='o_orderkey')} AS store, 1996 AS year, 5 AS month FROM orders
-    WHERE strftime(o_orderdate, '%Y-%m') = '1996-05' AND {STORE.format(key='o_orderkey')} = 'S03'""",
+    "partition_filter": f"""SELECT o_orderkey, {STORE.format(key='o_orderkey')} AS store, 1996 AS year, 4 AS month FROM orders
+    WHERE strftime(o_orderdate, '%Y-%m') BETWEEN '1996-04' AND '1996-06' AND {STORE.format(key='o_orderkey')} = 'S03'""",
     "finance_file": f"""WITH {FINANCE} SELECT month, CAST(revenue AS DOUBLE) AS revenue_inr FROM finance""",
     "replaced_table": "SELECT o_orderkey, o_totalprice FROM orders WHERE strftime(o_orderdate, '%Y-%m') = '1996-02'",
     "masters_files": f"""WITH {PRODUCTS}, {REVISIONS},
