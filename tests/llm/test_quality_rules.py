@@ -3,7 +3,7 @@ from collections import Counter
 
 import numpy as np
 import pytest
-from support import documents, odd_rows, prose
+from support import DOCUMENT, documents, odd_rows, prose
 
 from tillmark.llm import quality_rules as q
 
@@ -54,6 +54,28 @@ def test_clean_texts_stay_and_junk_goes(spark):
     assert kept == {i for i, _ in clean} | set()
 
 
+def tagged(spark, rows):
+    return spark.createDataFrame([(i, t, lang, None, len(t)) for i, (t, lang) in enumerate(rows)], DOCUMENT)
+
+
+def plain(seed, usual, n=200):
+    """Lower-case words, of which 40 % are ``usual`` ones."""
+    rng = np.random.default_rng(seed)
+    letters = np.array(list("abcdefghijklmnopqrstuvwxyz"))
+    return " ".join(str(rng.choice(usual)) if rng.random() < 0.4 else "".join(rng.choice(letters, 7)) for _ in range(n))
+
+
+def test_every_language_gets_a_reference_and_rare_tags_exempt_nothing(spark):
+    usual = ["the", "of", "and", "to", "in", "is"]
+    rows = [(plain(100 * k + i, usual), f"l{k:02}") for k in range(70) for i in range(3)]
+    junk = " ".join(f"{x}%$#" for x in range(200))
+    known = q.references(tagged(spark, [*rows, (junk, "rare")]), least=3)
+    assert set(known) == {f"l{k:02}" for k in range(70)}
+    more = tagged(spark, [*rows, (junk, "l69"), (junk, "rare"), (junk, None), (plain(9999, usual), "rare")])
+    lost = {r.doc_id for r in q.quality(more, known).where("not kept").collect()}
+    assert lost == {210, 211, 212}
+
+
 def test_divergence_has_its_bounds():
     p, r = np.array([[1.0, 0.0]]), np.array([[0.0, 1.0]])
     assert q.divergence(p, r)[0] == pytest.approx(1) and q.divergence(p, p)[0] == 0

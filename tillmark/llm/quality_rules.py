@@ -107,13 +107,13 @@ def _spellings(word: bytes) -> list[bytes]:
     return [x + m for x in {word, word.capitalize(), word.upper()} for m in [b"", *(bytes([c]) for c in _MARKS)]]
 
 
-def references(docs: DataFrame, common: int = 60, longest: int = 5, languages: int = 64, least: int = 20) -> dict:
+def references(docs: DataFrame, common: int = 60, longest: int = 5, least: int = 20) -> dict:
     """``{language: (class shares, {word: share})}`` over all documents and whole texts (an action).
 
-    Counts are summed per batch before the shuffle. What reaches the driver is bounded: the
-    ``languages`` languages with the most documents, ``common`` words of at most ``longest``
-    bytes each; the number of such short words is bounded by the alphabet. Languages of fewer
-    than ``least`` documents, and documents without language or words, give no reference.
+    Counts are summed per batch before the shuffle. Every language of ``least`` documents or
+    more gives a reference; each brings its class shares and ``common`` words of at most
+    ``longest`` bytes to the driver, no more. Rarer languages, and documents without language
+    or words, give none: their documents are compared with the references of the others.
     """
 
     def gather(batch: pa.RecordBatch) -> dict[str, list]:
@@ -142,7 +142,7 @@ def references(docs: DataFrame, common: int = 60, longest: int = 5, languages: i
     size = F.max(F.when(F.col("kind") == "documents", F.col("n")))
     rows = top.groupBy("lang").agg(F.collect_list(F.struct("kind", "rank", "name", "n")).alias("rows"), size.alias("size"))
     out = {}
-    for lang, held, _ in rows.where(F.col("size") >= least).orderBy(F.desc("size"), "lang").limit(languages).collect():
+    for lang, held, _ in rows.where(F.col("size") >= least).orderBy(F.desc("size"), "lang").collect():
         classes = {r.name: r.n for r in held if r.kind == "class"}
         total = next(r.n for r in held if r.kind == "words")
         shares = np.array([classes.get(c, 0) for c in CLASSES], float)
@@ -204,14 +204,17 @@ STATISTICS = (
 
 
 def judge(text: str | None, lang: str | None, known: References, limits: Limits = Limits()) -> tuple:
-    """The columns ``STATISTICS`` of one text; no text counts as an empty one."""
+    """The columns ``STATISTICS`` of one text; no text counts as an empty one.
+
+    The nearest reference counts whatever ``lang`` says: a rare or mistyped one exempts nothing.
+    """
     text = text or ""
     found = words(text)
     n, classes, again = len(found), class_counts(text), repeated_words(found)
     failed = n < 10 or 100 * again > 20 * n
     chars = apart = None
     kept = not failed
-    if n and known.languages and (lang is None or lang in known.languages):
+    if n and known.languages:
         chars, apart = known.apart(found, classes)
         if n >= limits.min_words and apart > limits.word_divergence + limits.word_slack / n:
             kept = False
@@ -223,8 +226,8 @@ def judge(text: str | None, lang: str | None, known: References, limits: Limits
 def quality(docs: DataFrame, known: dict, limits: Limits = Limits(), carry: Sequence[str] = ("doc_id",)) -> DataFrame:
     """``carry`` columns and ``STATISTICS`` of every row, one pass over the whole texts without shuffle.
 
-    NULL and empty texts have no words and fail. A text whose language has no reference is
-    judged by the base rules alone; one without language by the nearest reference. ``carry``
+    NULL and empty texts have no words and fail. Texts of any language, or none, are judged by
+    the nearest reference; the base rules decide alone only where ``known`` is empty. ``carry``
     may name any columns but those in ``STATISTICS``; equal rows stay as many as they are.
     """
     names = [f.split()[0] for f in STATISTICS.split(", ")]
