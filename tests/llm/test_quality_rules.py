@@ -76,6 +76,18 @@ def test_every_language_gets_a_reference_and_rare_tags_exempt_nothing(spark):
     assert lost == {210, 211, 212}
 
 
+def test_common_words_of_any_script_and_length_count(spark):
+    usual = ["который", "только", "нельзя", "между"]
+    rows = [(plain(i, usual), "ru") for i in range(30)] + [(plain(99, ["zwischen", "dergleichen"]), "de")] * 20
+    known = q.references(tagged(spark, rows))
+    assert {w.encode() for w in usual} <= set(known["ru"][1])
+    assert {b"zwischen", b"dergleichen"} <= set(known["de"][1])
+    every = Counter(w for t, lang in rows if lang == "ru" for w in t.split())
+    assert [known["ru"][1][w.encode()] for w in usual] == pytest.approx([every[w] / every.total() for w in usual])
+    salad = plain(7, [f"ню{x}ню" for x in range(400)])
+    assert q.judge(salad, "ru", q.References({"ru": known["ru"]}))[6] is False
+
+
 def test_divergence_has_its_bounds():
     p, r = np.array([[1.0, 0.0]]), np.array([[0.0, 1.0]])
     assert q.divergence(p, r)[0] == pytest.approx(1) and q.divergence(p, p)[0] == 0

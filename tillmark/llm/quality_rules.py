@@ -1,7 +1,7 @@
 """Quality rules: base statistics of a text and its divergence from language references.
 
 The references come from the corpus: for each language the mean, over its documents, of the
-histogram of character classes and of the most common short words. A document is compared
+histogram of character classes and of the most common words. A document is compared
 with every reference by Jensen-Shannon divergence (base 2, 0 to 1); the nearest counts.
 """
 
@@ -107,18 +107,18 @@ def _spellings(word: bytes) -> list[bytes]:
     return [x + m for x in {word, word.capitalize(), word.upper()} for m in [b"", *(bytes([c]) for c in _MARKS)]]
 
 
-def references(docs: DataFrame, common: int = 60, longest: int = 5, least: int = 20) -> dict:
+def references(docs: DataFrame, common: int = 60, least: int = 20) -> dict:
     """``{language: (class shares, {word: share})}`` over all documents and whole texts (an action).
 
     Counts are summed per batch before the shuffle. Every language of ``least`` documents or
-    more gives a reference; each brings its class shares and ``common`` words of at most
-    ``longest`` bytes to the driver, no more. Rarer languages, and documents without language
-    or words, give none: their documents are compared with the references of the others.
+    more gives a reference; each brings its class shares and its ``common`` most frequent words,
+    of any length and script, to the driver, no more. Rarer languages, and documents without
+    language or words, give none: their documents are compared with the references of the others.
     """
 
     def gather(batch: pa.RecordBatch) -> dict[str, list]:
         sums: Counter = Counter()
-        short: dict[str, Counter] = defaultdict(Counter)
+        held: dict[str, Counter] = defaultdict(Counter)
         for lang, text in zip(batch.column("lang").to_pylist(), batch.column("text").to_pylist(), strict=True):
             found = words(text)
             if lang is None or not found:
@@ -127,10 +127,10 @@ def references(docs: DataFrame, common: int = 60, longest: int = 5, least: int =
             sums[lang, "words", ""] += len(found)
             for name, n in zip(CLASSES, class_counts(text).tolist(), strict=True):
                 sums[lang, "class", name] += n
-            short[lang].update([w for w in found if len(w) <= longest + 1])
-        for lang, held in short.items():
-            for word, n in held.items():
-                if 0 < len(plain := _plain(word)) <= longest:
+            held[lang].update(found)
+        for lang, counts in held.items():
+            for word, n in counts.items():
+                if plain := _plain(word):
                     sums[lang, "word", plain.decode("utf-8", "replace")] += n
         keys = list(sums)
         return {"lang": [k[0] for k in keys], "kind": [k[1] for k in keys], "name": [k[2] for k in keys], "n": [sums[k] for k in keys]}
