@@ -88,6 +88,24 @@ def test_common_words_of_any_script_and_length_count(spark):
     assert q.judge(salad, "ru", q.References({"ru": known["ru"]}))[6] is False
 
 
+@pytest.mark.parametrize("n", [40, 60, 100, 1000])
+@pytest.mark.parametrize("share", [0.36, 0.1])
+def test_text_without_common_words_goes_as_soon_as_chance_allows(n, share):
+    usual = {f"c{i}".encode(): share * (60 - i) / 1830 for i in range(60)}
+    known = q.References({"xx": (q.class_counts(plain(0, ["abc"])) / len(plain(0, ["abc"])), usual)})
+    rng = np.random.default_rng(n)
+    weights = [*usual.values(), 1 - share]
+    salad = plain(n, ["zzzzzzz"], 4 * n).replace("zzzzzzz ", "").split()[:n]
+    assert len(salad) == n
+    expected = (1 - share / 2) ** n > q.Limits().chance  # so rare a language leaves short texts without any
+    assert expected is (share == 0.1 and n < 135)
+    assert q.judge(" ".join(salad), "xx", known)[6] is expected
+    for _ in range(200):
+        drawn = rng.choice(61, n, p=weights)
+        held = sum(1 for k in drawn if k < 60)
+        assert not q.too_few(n, held / n, share, q.Limits())
+
+
 def test_divergence_has_its_bounds():
     p, r = np.array([[1.0, 0.0]]), np.array([[0.0, 1.0]])
     assert q.divergence(p, r)[0] == pytest.approx(1) and q.divergence(p, p)[0] == 0
