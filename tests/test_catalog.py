@@ -41,5 +41,10 @@ def test_every_query_has_sql():
     assert set(QUERIES) <= set(entry_points.queries()) and set(ORACLES) <= set(entry_points.oracle_sql())
 
 
+def test_whole_table_is_replaced(spark, con):
+    kept = QUERIES["replaced_table_whole"](spark, FOLDER)
+    assert kept.count() == con.execute("SELECT count(*) FROM orders").fetchone()[0]
+
+
 def test_entry(spark):
     assert entry_points.entry(spark).count() > 0

@@ -148,6 +148,15 @@ def replaced_table(spark: SparkSession, sf: str) -> DataFrame:
     return kept
 
 
+def replaced_table_whole(spark: SparkSession, sf: str) -> DataFrame:
+    """All orders loaded with earlier prices, then replaced by all orders as they are."""
+    name = f"replaced_{uuid.uuid4().hex}"
+    bills, price = st.table(spark, sf, "orders"), F.col("o_totalprice")
+    for shown in (F.round(price * 0.9, 2), price):
+        kept = tables.create_or_replace(bills.select("o_orderkey", shown.alias("o_totalprice")), name)
+    return kept
+
+
 def masters_files(spark: SparkSession, sf: str) -> DataFrame:
     """The product master written as the dump's CSV and read back with its types."""
     from tillmark.sources import external, schemas
@@ -505,6 +514,7 @@ QUERIES: dict[str, Query] = {
     "partition_filter": partition_filter,
     "finance_file": finance_file,
     "replaced_table": replaced_table,
+    "replaced_table_whole": replaced_table_whole,
     "masters_files": masters_files,
     "federated_files": federated_files,
     "land_partitions": land_partitions,

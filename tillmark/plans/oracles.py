@@ -192,6 +192,7 @@ _WAREHOUSE = {
     WHERE strftime(o_orderdate, '%Y-%m') BETWEEN '1996-04' AND '1996-06' AND {STORE.format(key='o_orderkey')} = 'S03'""",
     "finance_file": f"""WITH {FINANCE} SELECT month, CAST(revenue AS DOUBLE) AS revenue_inr FROM finance""",
     "replaced_table": "SELECT o_orderkey, o_totalprice FROM orders WHERE strftime(o_orderdate, '%Y-%m') = '1996-02'",
+    "replaced_table_whole": "SELECT o_orderkey, o_totalprice FROM orders",
     "masters_files": f"""WITH {PRODUCTS}, {REVISIONS},
     prices AS (SELECT product_sk, count(*) AS revisions, CAST(max(selling_price) AS DOUBLE) AS highest FROM revisions GROUP BY 1)
     SELECT p.product_sk, product_code, category_name, strftime(valid_from, '%Y-%m-%d') AS valid_from, revisions, highest
