@@ -46,5 +46,10 @@ def test_whole_table_is_replaced(spark, con):
     assert kept.count() == con.execute("SELECT count(*) FROM orders").fetchone()[0]
 
 
+def test_stored_lookup_meets_all_bands(spark):
+    found = QUERIES["stored_lookup_bands"](spark, FOLDER)
+    assert {r.band_id for r in found.select("band_id").distinct().collect()} == set(range(20))
+
+
 def test_entry(spark):
     assert entry_points.entry(spark).count() > 0

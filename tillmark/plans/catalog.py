@@ -499,6 +499,15 @@ def stored_lookup(spark: SparkSession, sf: str) -> DataFrame:
     return stored.join(asked, list(lsh.BUCKET), "left_semi").select(*lsh.BUCKET, "notice_id")
 
 
+def stored_lookup_bands(spark: SparkSession, sf: str) -> DataFrame:
+    """As ``stored_lookup``, with the buckets of all bands."""
+    banded = _bands(spark, sf)
+    stored = tables.write_buckets(lsh.buckets_of(banded), f"buckets_{uuid.uuid4().hex}", 8)
+    heads = _pairs(spark, sf).where("label = 'same'").select(F.col("notice_id_a").alias("notice_id")).distinct()
+    asked = lsh.buckets_of(banded.join(heads, "notice_id", "left_semi")).select(*lsh.BUCKET).distinct()
+    return stored.join(asked, list(lsh.BUCKET), "left_semi").select(*lsh.BUCKET, "notice_id")
+
+
 def portal_volume(spark: SparkSession, sf: str) -> DataFrame:
     docs = st.table(spark, sf, "documents").select(F.col("source").alias("portal_id"))
     return sim.portal_volume(docs)
@@ -556,5 +565,6 @@ QUERIES: dict[str, Query] = {
     "s_curve": s_curve,
     "notices_load": notices_load,
     "stored_lookup": stored_lookup,
+    "stored_lookup_bands": stored_lookup_bands,
     "portal_volume": portal_volume,
 }

@@ -510,6 +510,10 @@ _NOTICES = {
     asked AS (SELECT DISTINCT band_id, bucket_hash FROM buckets WHERE band_id = 0
       AND notice_id IN (SELECT notice_id_a FROM labels_ WHERE label = 'same'))
     SELECT band_id, bucket_hash, notice_id FROM buckets SEMI JOIN asked USING (band_id, bucket_hash)""",
+    "stored_lookup_bands": f"""WITH {LABELS}, {BUCKETS},
+    asked AS (SELECT DISTINCT band_id, bucket_hash FROM buckets
+      WHERE notice_id IN (SELECT notice_id_a FROM labels_ WHERE label = 'same'))
+    SELECT band_id, bucket_hash, notice_id FROM buckets SEMI JOIN asked USING (band_id, bucket_hash)""",
     "portal_volume": """SELECT source AS portal_id, count(*) AS notices FROM documents
     GROUP BY 1 ORDER BY 2 DESC, 1 LIMIT 15""",
 }
