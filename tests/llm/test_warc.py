@@ -1,0 +1,115 @@
+import gzip
+import hashlib
+import base64
+import zlib
+
+import pytest
+from support import CLASHES
+from pyspark.sql import functions as F
+
+from tillmark.llm import warc
+
+SCHEMA = "page_id long, url string, html string"
+
+
+def pages(spark, rows):
+    return spark.createDataFrame(rows, SCHEMA)
+
+
+def brute(rows):
+    first = {}
+    for i, _, html in rows:
+        if i is not None:
+            first[html or ""] = min(i, first.get(html or "", i))
+    out = []
+    for i, _, html in rows:
+        raw = (html or "").encode()
+        head = first.get(html or "")
+        again = head is not None and head != i
+        digest = base64.b32encode(hashlib.sha1(raw).digest()).decode()
+        out.append((i, len(raw), digest, "revisit" if again else "response", head if again else None))
+    return sorted(out, key=repr)
+
+
+def odd():
+    long = "".join(chr(97 + i % 26) + "é🙂\r\n\r\nWARC/1.0\r\n" for i in range(150000))
+    rows = [(i, f"http://a.example/{i}", f"<p>{i % 7}") for i in range(60)]
+    rows += [(100, None, None), (101, "x\r\nWARC-Type: evil\r\n\r\n", ""), (102, "ü  ", long), (99, "", long)]
+    return rows + [(None, "n", "only here"), (None, "n", "<p>3"), (5, "a", "<p>5"), (5, "a", "<p>5"), (5, "b", "again five"), (None, "n", None), (-3, "m", "<p>1")]
+
+
+def test_equals_brute_force(spark):
+    df = pages(spark, odd()).repartition(3)
+    assert sorted(map(tuple, warc.archived(df).collect()), key=repr) == brute(odd())
+
+
+def test_hot_payload(spark):
+    rows = [(i, "u", "same") for i in range(3000)] + [(5000 + i, "u", f"own {i}") for i in range(300)]
+    assert sorted(map(tuple, warc.archived(pages(spark, rows)).collect()), key=repr) == brute(rows)
+
+
+def test_clashing_columns_and_empty_table(spark):
+    names = ("key", "digest", "payload", "size", "archive", "offset", "refers_to", "uri", *CLASHES)
+    df = pages(spark, odd()[:70]).select("*", *[F.lit("x").alias(c) for c in dict.fromkeys(names)])
+    assert sorted(map(tuple, warc.archived(df).collect()), key=repr) == brute(odd()[:70])
+    assert warc.archived(pages(spark, [])).collect() == []
+
+
+def test_small_payloads_are_no_revisits(spark):
+    rows = [(1, "u", "abc"), (2, "u", "abc"), (3, "u", "abcd"), (4, "u", "abcd")]
+    got = {r.page_id: r.refers_to for r in warc.archived(pages(spark, rows), least=4).collect()}
+    assert got == {1: None, 2: None, 3: None, 4: 3}
+
+
+def test_files(spark, tmp_path):
+    """Whole files are one member; rewritten ones one a record, at the offsets of the index; texts are equal."""
+    rows = [(i, f"http://a/{i}", f"page {i} " * (1 + i % 40)) for i in range(400)]
+    df = pages(spark, rows).selectExpr("page_id as key", "url as uri", "cast(html as binary) as payload").coalesce(1)
+    written = warc.write_monolithic(df, f"{tmp_path}/whole", most=40000)
+    index = warc.normalise(written, f"{tmp_path}/whole", f"{tmp_path}/members").orderBy("archive", "offset").collect()
+    names = sorted(r.archive for r in written.collect())
+    assert len(names) > 2 and sum(r.records for r in written.collect()) == len(index) == 400 + len(names)
+    for name in names:
+        whole = (tmp_path / "whole" / name).read_bytes()
+        one = zlib.decompressobj(31)
+        text = one.decompress(whole)
+        assert one.eof and not one.unused_data
+        members = (tmp_path / "members" / name).read_bytes()
+        assert gzip.decompress(members) == text
+        at = 0
+        for r in (r for r in index if r.archive == name):
+            assert r.offset == at
+            own = zlib.decompressobj(31)
+            record = own.decompress(members[r.offset : r.offset + r.length])
+            assert own.eof and not own.unused_data and r.record_id.encode() in record
+            at += r.length
+        assert at == len(members)
+    assert not list(tmp_path.rglob("*.part"))
+    found = warc.read(spark.read.parquet(f"{tmp_path}/members/index"), f"{tmp_path}/members", payload=True, run=4096)
+    pages_ = {r.record_id.split(":")[2]: r for r in found.where("record_type = 'response'").collect()}
+    assert {int(k): v.payload.decode() for k, v in pages_.items()} == {i: t for i, _, t in rows}
+    assert all(v.declared == v.payload_digest for v in pages_.values())
+
+
+def test_foreign_archives(tmp_path):
+    """Members, a record larger than a piece, no HTTP block, padding; a truncated file is an error."""
+    body = b"x\r\n\r\n" * 500000
+    record = b"WARC/1.0\r\nWARC-Type: resource\r\ncontent-length:  %d\r\n\r\n" % len(body) + body + b"\r\n\r\n"
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in" / "a").write_bytes(gzip.compress(record) + gzip.compress(record + record) + b"\0\0")
+    rows = [r for part in warc.normalise_file(f"file:{tmp_path}/in", str(tmp_path / "out"), "a") for r in zip(part["offset"], part["length"], part["record_type"])]
+    assert len(rows) == 3 and {r[2] for r in rows} == {"resource"}
+    assert gzip.decompress((tmp_path / "out" / "a").read_bytes()) == record * 3
+    (tmp_path / "in" / "b").write_bytes(gzip.compress(record)[:-20])
+    with pytest.raises((ValueError, zlib.error)):
+        list(warc.normalise_file(str(tmp_path / "in"), str(tmp_path / "out"), "b"))
+    assert not (tmp_path / "out" / "b").exists()
+    (tmp_path / "in" / "c").write_bytes(gzip.compress(record[:-1000]))
+    with pytest.raises(ValueError, match="inside a record"):
+        list(warc.normalise_file(str(tmp_path / "in"), str(tmp_path / "out"), "c"))
+
+
+def test_registered_query(spark, tmp_path):
+    rows = [(i, "u", f"<p>{i % 9}") for i in range(50)]
+    pages(spark, rows).write.parquet(str(tmp_path / "pages.parquet"))
+    assert sorted(map(tuple, warc.op11_gzip_normaliser(spark, str(tmp_path)).collect()), key=repr) == brute(rows)

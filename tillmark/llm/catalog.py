@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import corpus_pipeline
-from tillmark.llm import bpe, chat, classifier, neighbours, packing, quality_rules, secrets, sharding, simhash, substrings
+from tillmark.llm import bpe, chat, classifier, neighbours, packing, quality_rules, secrets, sharding, simhash, substrings, warc
 
 QUERIES = {
     "op1_budgeted_windows": chat.op1_budgeted_windows,
@@ -16,6 +16,11 @@ QUERIES = {
     "op8_quality_rules": quality_rules.op8_quality_rules,
     "op9_jump_sharding": sharding.op9_jump_sharding,
     "op10_secret_ledger": secrets.op10_secret_ledger,
+    "op11_gzip_normaliser": warc.op11_gzip_normaliser,
     "pipeline": corpus_pipeline.run,
 }
-ORACLES = {"op4_super_kmers": substrings.ORACLE, "op9_jump_sharding": sharding.ORACLE}
+ORACLES = {
+    "op4_super_kmers": substrings.ORACLE,
+    "op9_jump_sharding": sharding.ORACLE,
+    "op11_gzip_normaliser": warc.ORACLE,
+}
