@@ -1,0 +1,106 @@
+import math
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+from support import CLASHES
+
+from tillmark.llm import hard_negatives as h
+from tillmark.llm.hard_negatives import Index
+
+SCHEMA = "vec_id long, embedding array<double>, label int"
+
+
+def table(spark, rows):
+    return spark.createDataFrame([(i, None if v is None else [None if x is None else float(x) for x in v], c) for i, v, c in rows], SCHEMA)
+
+
+def brute(rows, every, positives=5, negatives=10, low=30, high=90, scale=256):
+    good = set()
+    for i, v, c in rows:
+        if i is not None and c is not None and v and all(x is not None and math.isfinite(x) and abs(x) <= h.LARGEST / scale for x in v):
+            good.add((i, tuple(math.floor(scale * x) for x in v), c))
+    sizes = [len(v) for _, v, _ in good]
+    size = min(sizes, key=lambda n: (-sizes.count(n), n))
+    good = [r for r in good if len(r[1]) == size]
+    out = []
+    for a, v, c in good:
+        if a % every:
+            continue
+        scored = sorted((-sum(x * y for x, y in zip(v, w, strict=True)), i, d) for i, w, d in good)
+        for s, p in [(-s, i) for s, i, d in scored if d == c and i != a][:positives]:
+            fits = [(-t, i) for t, i, d in scored if d != c and low * s <= -100 * t <= high * s][:negatives]
+            out += [(a, p, n + 1, i, s, t) for n, (t, i) in enumerate(fits)]
+    return sorted(out)
+
+
+def clustered(seed, n, size=8, spread=0.2):
+    rng = np.random.default_rng(seed)
+    centres = rng.normal(size=(12, size))
+    return [(i, (centres[i % 12] + spread * rng.normal(size=size)).tolist(), int(rng.integers(4))) for i in range(n)]
+
+
+def grid(seed, n, size=5):
+    """Few distinct values: ties and equal vectors are many."""
+    rng = np.random.default_rng(seed)
+    return [(i, (rng.integers(-2, 4, size) / 256).tolist(), int(rng.integers(3))) for i in range(n)]
+
+
+def got(df):
+    return sorted(map(tuple, df.collect()))
+
+
+@pytest.mark.parametrize("rows", [clustered(1, 600), grid(2, 500)], ids=["clustered", "ties"])
+def test_equals_brute_force(spark, rows):
+    small = Index(least=20, block=37, searches=5, sample=200)
+    want = brute(rows, 20)
+    assert got(h.mine(table(spark, rows), 20, index=small)) == want and len(want) > 300
+
+
+def test_hot_vector(spark):
+    rows = clustered(3, 150) + [(1000 + i, [0.5] * 8, i % 2) for i in range(300)] + [(1400, [0.5] * 8, 0), (1400, [0.5] * 8, 0), (1400, [0.25] * 8, 1)]
+    assert got(h.mine(table(spark, rows), 10)) == brute(rows, 10)
+
+
+def test_odd_rows(spark):
+    nan, inf = float("nan"), float("inf")
+    rows = grid(4, 80, 3) + [(100, None, 1), (120, [], 1), (140, [nan, 1, 1], 0), (160, [1.0, -inf, 0], 0), (180, [1.0, None, 2], 0), (200, [1.0, 2], 0)]
+    rows += [(None, [1.0, 1, 1], 0), (220, [1.0, 1, 1], None), (240, [0.0, 0, 0], 1), (260, [1e300, 0, 0], 1), (280, [5e5, -5e5, 5e5], 1), (281, [5e5, -4e5, 5e5], 1), (282, [4e5, -4e5, 1e5], 2)]
+    want = brute(rows, 20)
+    assert any(r[0] == 280 for r in want) and max(r[5] for r in want) > 1 << 53
+    df = table(spark, rows).select("*", *[F.lit("x").alias(c) for c in dict.fromkeys(("id", "vector", "entry", "search", "rows", "rank", *CLASHES)) if c != "label"])
+    assert got(h.mine(df, 20)) == want
+    assert h.mine(table(spark, []), 20).collect() == []
+    assert h.mine(table(spark, [(0, [1.0], 1)]), 20).collect() == []
+    assert got(h.mine(table(spark, [(i, [float(i + 1)], i % 2) for i in range(8)]), 2)) == brute([(i, [float(i + 1)], i % 2) for i in range(8)], 2)
+
+
+def test_walk_is_bounded_and_certified():
+    rng = np.random.default_rng(6)
+    vectors = np.floor(256 * rng.normal(size=(400, 6)))
+    books = [vectors[:5, :3], vectors[5:9, 3:]]
+    at = [h.quantise(vectors[:, :3], books[0]), h.quantise(vectors[:, 3:], books[1])]
+    radii = [np.array([np.sqrt(((part[a == i] - book[i]) ** 2).sum(axis=1)).max(initial=0) for i in range(len(book))]) for part, a, book in ((vectors[:, :3], at[0], books[0]), (vectors[:, 3:], at[1], books[1]))]
+    held = np.zeros((5, 4), int)
+    np.add.at(held, (at[0], at[1]), 1)
+    cells = h.Cells(books, radii, held, np.ones(5, int))
+    for ask in vectors[:20]:
+        walked = list(cells.walk(ask, math.inf))
+        bounds = [b for b, _, _ in walked]
+        assert bounds == sorted(bounds, reverse=True) and {(i, j) for _, i, j in walked} == set(zip(*np.nonzero(held)))
+        score = vectors @ ask
+        for b, i, j in walked:
+            assert score[(at[0] == i) & (at[1] == j)].max() <= b
+        mark = np.sort(score)[-10]
+        seen = set(cells.best(ask, 30, -math.inf, math.inf)) | set(cells.further(ask, 30, -math.inf, math.inf, mark))
+        assert {(at[0][k], at[1][k]) for k in np.flatnonzero(score >= mark)} <= seen
+        ceiling = float(np.median(score))
+        kept = {(i, j) for _, i, j in cells.walk(ask, ceiling)}
+        assert {(at[0][k], at[1][k]) for k in np.flatnonzero(score <= ceiling)} <= kept
+
+
+def test_registered_query(spark, tmp_path):
+    rows = clustered(7, 420)
+    table(spark, rows).write.parquet(str(tmp_path / "embeddings.parquet"))
+    moved = [(i, v, (c + 1) % 10 if i % 7 == 0 else c) for i, v, c in rows]
+    assert got(h.op12_inverted_multi_index_negatives(spark, str(tmp_path))) == brute(moved, 100)

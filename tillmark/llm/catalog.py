@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import corpus_pipeline
-from tillmark.llm import bpe, chat, classifier, neighbours, packing, quality_rules, secrets, sharding, simhash, substrings, variants, warc
+from tillmark.llm import bpe, chat, classifier, hard_negatives, neighbours, packing, quality_rules, secrets, sharding, simhash, substrings, variants, warc
 
 QUERIES = {
     "op1_budgeted_windows": chat.op1_budgeted_windows,
@@ -17,6 +17,7 @@ QUERIES = {
     "op9_jump_sharding": sharding.op9_jump_sharding,
     "op10_secret_ledger": secrets.op10_secret_ledger,
     "op11_gzip_normaliser": warc.op11_gzip_normaliser,
+    "op12_inverted_multi_index_negatives": hard_negatives.op12_inverted_multi_index_negatives,
     "op13_sorted_scan": variants.op13_sorted_scan,
     "pipeline": corpus_pipeline.run,
 }
@@ -24,5 +25,6 @@ ORACLES = {
     "op4_super_kmers": substrings.ORACLE,
     "op9_jump_sharding": sharding.ORACLE,
     "op11_gzip_normaliser": warc.ORACLE,
+    "op12_inverted_multi_index_negatives": hard_negatives.ORACLE,
     "op13_sorted_scan": variants.ORACLE,
 }
