@@ -29,7 +29,7 @@ def base_hashes(grams: Column) -> Column:
     )
 
 
-def _set_reader():
+def set_reader():
     """Function that turns a batch of texts into their sets of packed trigrams.
 
     Local functions travel to the executors by value, which need no copy of the package.
@@ -53,7 +53,7 @@ def gram_codes(text: Column) -> Column:
     trigrams.  Measured per core it is several times faster than the string form
     :func:`tillmark.functions.text.trigrams`, whose sets it equals.
     """
-    read = _set_reader()
+    read = set_reader()
 
     @F.arrow_udf("array<bigint>")
     def codes(batch: pa.Array) -> pa.Array:
@@ -66,7 +66,7 @@ def gram_codes(text: Column) -> Column:
 
 def gram_digest(text: Column) -> Column:
     """``size`` and ``digest`` of the trigram set: equal digests mean equal sets."""
-    read = _set_reader()
+    read = set_reader()
 
     @F.arrow_udf("struct<size:int,digest:string>")
     def digests(batch: pa.Array) -> pa.Array:
@@ -80,7 +80,7 @@ def gram_digest(text: Column) -> Column:
 
 def gram_totals(text: Column) -> Column:
     """``trigrams`` and ``hash_sum``: size of the trigram set and the sum of its base hashes."""
-    read = _set_reader()
+    read = set_reader()
 
     @F.arrow_udf("struct<trigrams:int,hash_sum:bigint>")
     def totals(batch: pa.Array) -> pa.Array:
@@ -104,7 +104,7 @@ def signature(text: Column, k: int = 400) -> Column:
     one addition and one conditional subtraction over 32-bit lanes instead of a
     64-bit division.
     """
-    read = _set_reader()
+    read = set_reader()
 
     @F.arrow_udf("array<int>")
     def minima(batch: pa.Array) -> pa.Array:

@@ -39,6 +39,17 @@ def buckets_of(banded: DataFrame) -> DataFrame:
     return banded.select(F.posexplode("bands").alias(*BUCKET), ID)
 
 
+def buckets_with_prior(banded: DataFrame) -> DataFrame:
+    """Bucket rows with ``prior``, the keys of all earlier bands, and the other columns of ``banded``.
+
+    Two members of a bucket meet there for the first time if no entry of ``prior`` is equal in both.
+    """
+    keys = F.transform("bands", lambda key: F.unhex(key))
+    rest = [c for c in banded.columns if c not in (ID, "bands")]
+    rows = banded.select(F.posexplode("bands").alias(*BUCKET), ID, *rest, keys.alias("_keys"))
+    return rows.withColumn("prior", F.slice("_keys", 1, F.col("band_id"))).drop("_keys")
+
+
 def bucket_sizes(buckets: DataFrame) -> DataFrame:
     return buckets.groupBy(*BUCKET).agg(F.count("*").alias("size"))
 
@@ -137,12 +148,14 @@ def lsh_candidates(buckets: DataFrame, max_bucket: int = DENSE) -> DataFrame:
     return pairs.unionByName(members)
 
 
-def block_pairs(buckets: DataFrame, block: int = 256, condition: Column | None = None) -> DataFrame:
-    """Distinct pairs that share a bucket, smaller id first, whatever the bucket's size.
+def met_in_blocks(buckets: DataFrame, block: int = 256, condition: Column | None = None) -> DataFrame:
+    """Pairs that share a bucket, smaller id first, whatever the bucket's size, with the other columns of both.
 
     A bucket of n notices is dealt by hash into ``n / block`` blocks and its pairs into squares of
     two blocks, so no task holds a dense bucket.  Other columns of ``buckets`` come along, suffixed
-    ``_a`` and ``_b``, and may occur in ``condition``, which is checked before pairs are shuffled.
+    ``_a`` and ``_b``, and may occur in ``condition``, which is checked as pairs are made.  With
+    ``prior`` (see ``buckets_with_prior``) a pair is made in the first band that both share and in
+    no other; without it once for each.
     """
     sizes = bucket_sizes(buckets).where("size > 1").withColumnRenamed("size", "_size")
     sized = buckets.join(sizes, list(BUCKET))
@@ -158,21 +171,56 @@ def block_pairs(buckets: DataFrame, block: int = 256, condition: Column | None =
 
     left = side("a", F.sequence(F.lit(0), F.col("_parts") - 1), "_row", "_column")
     right = side("b", F.sequence(F.lit(0), F.col("_parts") - 1), "_column", "_row")
-    smaller = F.col(PAIR[0]) < F.col(PAIR[1])
-    met = left.join(right, [*BUCKET, "_row", "_column"]).where(smaller if condition is None else smaller & condition)
-    return met.select(*PAIR).distinct()
+    wanted = F.col(PAIR[0]) < F.col(PAIR[1])
+    if condition is not None:
+        wanted &= condition
+    met = left.join(right, [*BUCKET, "_row", "_column"]).where(wanted)
+    if "prior" in rest:
+        earlier = F.exists(F.zip_with("prior_a", "prior_b", lambda x, y: x == y), lambda same: same)
+        met = met.where(~earlier).drop("prior_a", "prior_b")
+    return met.drop(*BUCKET, "_row", "_column")
+
+
+def block_pairs(buckets: DataFrame, block: int = 256, condition: Column | None = None) -> DataFrame:
+    """Distinct pairs that share a bucket; see ``met_in_blocks``. Rows with ``prior`` need no shuffle of the pairs."""
+    pairs = met_in_blocks(buckets, block, condition).select(*PAIR)
+    return pairs if "prior" in buckets.columns else pairs.distinct()
+
+
+def kept_buckets(buckets: DataFrame) -> DataFrame:
+    """``band_id, bucket_hash, size`` of the buckets in which notices collide, but one of those with the same members.
+
+    Members are told apart by their number and two hashes of 64 bits. The first band that two
+    notices share is never left out: an earlier bucket with the same members would hold both.
+    """
+    marks = [F.bit_xor(F.xxhash64(*seed, ID)).alias(f"_m{n}") for n, seed in enumerate(((), (F.lit(1),)))]
+    sized = buckets.groupBy(*BUCKET).agg(F.count("*").alias("size"), *marks).where("size > 1")
+    return sized.groupBy("size", "_m0", "_m1").agg(F.min(F.struct(*BUCKET)).alias("b")).select("b.*", "size")
+
+
+def squares_of(buckets: DataFrame, block: int = 256) -> DataFrame:
+    """Bucket rows dealt into squares of two blocks: ``square``, ``diagonal``, ``own`` beside the other columns.
+
+    A member of a bucket of n notices goes to ``n / block`` squares; each holds two blocks at most.
+    """
+    sized = buckets.join(kept_buckets(buckets).withColumnRenamed("size", "_size"), list(BUCKET))
+    parts = F.ceil(F.col("_size") / F.lit(block)).cast("int")
+    dealt = sized.withColumn("_parts", parts).withColumn("own", F.pmod(F.hash(ID), F.col("_parts")))
+    spread = dealt.withColumn("_other", F.explode(F.sequence(F.lit(0), F.col("_parts") - 1)))
+    row, column = F.least("own", "_other"), F.greatest("own", "_other")
+    named = spread.withColumns({"square": F.concat_ws("/", *BUCKET, row, column), "diagonal": row == column})
+    return named.drop(*BUCKET, "_size", "_parts", "_other")
 
 
 def lsh_stats(banded: DataFrame, max_bucket: int = DENSE) -> DataFrame:
     """Distinct candidate pairs against all possible pairs; no pair is dropped or counted twice.
 
-    Notices with the same bands in all places form a class.  Pairs inside a class are counted,
-    pairs of classes that share a bucket weigh the product of their sizes.
+    Notices with the same bands in all places form a class.  Pairs inside a class are counted;
+    pairs of classes weigh the product of their sizes, added up where they meet first.
     """
     classes = banded.groupBy("bands").agg(F.min(ID).alias(ID), F.count("*").alias("n"))
     within = classes.agg(F.coalesce(F.sum(F.expr("n * (n - 1) div 2")), F.lit(0)).alias("pairs"))
-    sizes = classes.select(ID, "n")
-    between = attach(block_pairs(buckets_of(classes)), sizes).agg(
+    between = met_in_blocks(buckets_with_prior(classes)).agg(
         F.coalesce(F.sum(F.col("n_a") * F.col("n_b")), F.lit(0)).alias("pairs")
     )
     dense = bucket_sizes(buckets_of(banded)).where(F.col("size") > max_bucket).agg(F.count("*").alias("n"))

@@ -461,6 +461,11 @@ def verify_candidates(spark: SparkSession, sf: str) -> DataFrame:
     return near.near_duplicates(st.notices(spark, sf), THRESHOLD, phrases=st.PHRASES)
 
 
+def near_groups(spark: SparkSession, sf: str) -> DataFrame:
+    """Group and number of links of every notice, without a list of pairs."""
+    return near.near_groups(st.notices(spark, sf), THRESHOLD, phrases=st.PHRASES)[0].drop("head")
+
+
 def s_curve(spark: SparkSession, sf: str) -> DataFrame:
     """Survival probability at the exact similarity of each labelled pair, beside what happened."""
     pairs = _pairs(spark, sf)
@@ -562,6 +567,7 @@ QUERIES: dict[str, Query] = {
     "pruning_recall": pruning_recall,
     "bucket_lookup": bucket_lookup,
     "verify_candidates": verify_candidates,
+    "near_groups": near_groups,
     "s_curve": s_curve,
     "notices_load": notices_load,
     "stored_lookup": stored_lookup,

@@ -7,8 +7,10 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, functions as F
 
 from tillmark.functions import hashing as H, text as X
-from tillmark.operators import lsh, similarity as sim
+from tillmark.operators import blocks, lsh, similarity as sim
+from tillmark.operators.components import components
 from tillmark.operators.dedup import dedup_latest
+from tillmark.operators.skew import join_unique
 from tillmark.staging import stage
 
 
@@ -39,24 +41,10 @@ def staged_bands(
     return stage(lsh.band_table(sigs, bands, k // bands, empty), "bands")
 
 
-def staged_sets(
-    notices: DataFrame,
-    pairs: DataFrame,
-    strategy: str = "mask_then_strip",
-    phrases: Sequence[str] = X.PHRASES,
-    k: int | None = None,
-) -> DataFrame:
-    """Trigram sets, and signatures when ``k`` is given, of the notices that occur in a pair.
-
-    Written once, because both sides of every pair read them (an action).
-    """
-    cleaned = sim.clean_text(sim.members(notices, pairs), strategy, phrases)
+def lowered(notices: DataFrame, strategies: dict[str, str], phrases: Sequence[str] = X.PHRASES, span: int = 1400) -> DataFrame:
+    """``notice_id`` and a lower-cased text for each column name of ``strategies``, cleaned by the strategy it names."""
     body = F.col(sim.BODY)
-    if k:
-        sets = cleaned.select(sim.ID, H.gram_codes(body).alias("grams"), H.signature(body, k).alias("signature"))
-    else:
-        sets = sim.set_table(cleaned)
-    return stage(sets, "sets")
+    return notices.select(sim.ID, *[F.lower(X.cleaner(s, phrases, span)(body)).alias(name) for name, s in strategies.items()])
 
 
 def exact_scores(
@@ -65,7 +53,9 @@ def exact_scores(
     strategy: str = "mask_then_strip",
     phrases: Sequence[str] = X.PHRASES,
 ) -> DataFrame:
-    return sim.jaccard_pairs(pairs, staged_sets(notices, pairs, strategy, phrases))
+    """Exact similarity of every pair, compared in blocks."""
+    texts = lowered(notices, {strategy: strategy}, phrases)
+    return blocks.score_in_blocks(pairs, texts, [strategy]).drop("strategy")
 
 
 def estimate_errors(
@@ -76,8 +66,9 @@ def estimate_errors(
     k: int = 400,
 ) -> DataFrame:
     """Exact similarity, estimate and error of every pair."""
-    sets = staged_sets(notices, pairs, strategy, phrases, k)
-    return sim.minhash_error(sim.score_pairs(pairs, sets), k)
+    texts = lowered(notices, {strategy: strategy}, phrases).withColumn("signature", H.signature(F.col(strategy), k))
+    scored = blocks.score_in_blocks(pairs, texts, [strategy], "signature").drop("strategy")
+    return sim.minhash_error(scored, k)
 
 
 def strategy_scores(
@@ -88,8 +79,53 @@ def strategy_scores(
     span: int = 1400,
 ) -> DataFrame:
     """Exact similarity of every pair under every cleaning strategy."""
-    grams_ = sim.strategy_grams(sim.members(notices, pairs), strategies, phrases, span)
-    return sim.score_strategies(pairs, stage(grams_, "strategies"))
+    return blocks.score_in_blocks(pairs, lowered(notices, {s: s for s in strategies}, phrases, span), strategies)
+
+
+def folded(notices: DataFrame, strategy: str, phrases: Sequence[str], latest: str | None) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """One text per id; their sizes, digests and bands; and one head for each digest, with ``weight`` notices (an action)."""
+    settled = unique_notices(notices, latest)
+    body = F.col(sim.BODY)
+    known = sim.clean_text(settled, strategy, phrases).select(
+        sim.ID, H.gram_digest(body).alias("_d"), H.signature(body, 400).alias("signature")
+    )
+    bands = H.band_keys(F.col("signature"), 20, 20).alias("bands")
+    known = stage(known.select(sim.ID, "_d.size", "_d.digest", bands), "bands")
+    heads = known.where("size > 0").groupBy("digest").agg(F.min(sim.ID).alias("head"), F.count("*").alias("weight"))
+    return settled, known, heads
+
+
+def near_groups(
+    notices: DataFrame,
+    threshold: float = 0.8,
+    strategy: str = "mask_then_strip",
+    phrases: Sequence[str] = X.PHRASES,
+    latest: str | None = None,
+    block: int = 256,
+) -> tuple[DataFrame, DataFrame]:
+    """Near-duplicate groups without a list of pairs (an action).
+
+    The first table has one row a notice: ``notice_id``, ``head`` (the smallest id with the same
+    trigram set), ``group_id`` (the smallest id it is connected with by links) and ``links``, the
+    number of other notices that share a bucket with it and reach the threshold. The second holds
+    links that span the groups: ``notice_id_a, notice_id_b, jaccard`` between heads. Both stay
+    linear in the notices however many near copies there are: pairs are compared where a bucket's
+    blocks meet and only counted. Texts without trigrams are similar to none.
+    """
+    settled, known, heads = folded(notices, strategy, phrases, latest)
+    groups = known.join(heads.select(F.col("head").alias(sim.ID), "weight"), sim.ID).select(sim.ID, "bands", "weight")
+    squares = lsh.squares_of(lsh.buckets_with_prior(groups), block)
+    texts = lowered(settled, {sim.BODY: strategy}, phrases)
+    found = stage(blocks.near_in_squares(squares.join(texts, sim.ID), threshold), "near")
+    forest = found.where(F.col(sim.PAIR[1]).isNotNull()).select(*sim.PAIR, "jaccard")
+    label = components(forest, *sim.PAIR).select(F.col("node").alias("head"), F.col("label").alias("group_id"))
+    links = found.where("links is not null").groupBy(F.col(sim.PAIR[0]).alias("head")).agg(F.sum("links").alias("linked"))
+    told = stage(heads.join(label, "head", "left").join(links, "head", "left"), "heads")
+    rows = join_unique(known.select(sim.ID, "digest"), told, ["digest"])
+    return rows.select(
+        sim.ID, F.coalesce("head", sim.ID).alias("head"), F.coalesce("group_id", "head", sim.ID).alias("group_id"),
+        (F.coalesce("linked", F.lit(0)) + F.coalesce("weight", F.lit(1)) - 1).alias("links"),
+    ), forest
 
 
 def near_duplicates(
@@ -108,22 +144,15 @@ def near_duplicates(
     the threshold; any pair of notices follows from the two.  Nothing is dropped unless the
     caller passes ``max_bucket``.  Texts without trigrams are similar to none.
     """
-    settled = unique_notices(notices, latest)
-    cleaned = sim.clean_text(settled, strategy, phrases)
-    body = F.col(sim.BODY)
-    known = cleaned.select(sim.ID, H.gram_digest(body).alias("_d"), H.signature(body, 400).alias("signature")).select(
-        sim.ID, "_d.size", "_d.digest", H.band_keys(F.col("signature"), 20, 20).alias("bands")
-    )
-    known = stage(known.where("size > 0"), "bands")
-    heads = known.groupBy("digest").agg(F.min(sim.ID).alias("head"))
+    settled, known, heads = folded(notices, strategy, phrases, latest)
+    known = known.where("size > 0")
     members = known.join(heads, "digest").where(F.col(sim.ID) != F.col("head"))
-    groups = known.join(heads.select(F.col("head").alias(sim.ID)), sim.ID, "left_semi")
-    buckets = groups.select(F.posexplode("bands").alias(*lsh.BUCKET), sim.ID, "size")
+    groups = known.join(heads.select(F.col("head").alias(sim.ID)), sim.ID, "left_semi").drop("digest")
     if max_bucket is None:
-        found = lsh.block_pairs(buckets, condition=sim.size_bound(threshold))
+        found = lsh.block_pairs(lsh.buckets_with_prior(groups), condition=sim.size_bound(threshold))
     else:
-        found = lsh.candidate_pairs(buckets, max_bucket)
+        found = lsh.candidate_pairs(lsh.buckets_of(groups), max_bucket)
     pairs = stage(found, "candidates")
-    verified = sim.verify_candidates(pairs, staged_sets(settled, pairs, strategy, phrases), threshold)
-    folded = members.select(F.lit("member").alias("kind"), F.col("head").alias(sim.PAIR[0]), F.col(sim.ID).alias(sim.PAIR[1]), F.lit(1.0).alias("jaccard"))
-    return verified.select(F.lit("pair").alias("kind"), *sim.PAIR, "jaccard").union(folded)
+    verified = exact_scores(settled, pairs, strategy, phrases).where(F.col("jaccard") >= threshold)
+    shown = members.select(F.lit("member").alias("kind"), F.col("head").alias(sim.PAIR[0]), F.col(sim.ID).alias(sim.PAIR[1]), F.lit(1.0).alias("jaccard"))
+    return verified.select(F.lit("pair").alias("kind"), *sim.PAIR, "jaccard").union(shown)

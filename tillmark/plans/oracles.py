@@ -499,6 +499,17 @@ _NOTICES = {
     SELECT 'pair' AS kind, notice_id_a, notice_id_b, jaccard FROM scored WHERE jaccard >= {THRESHOLD}
     UNION ALL
     SELECT 'member', head, notice_id, 1.0 FROM folds JOIN heads USING (fold) WHERE notice_id <> head""",
+    "near_groups": f"""WITH RECURSIVE {BUCKETS},
+    pairs AS (
+      SELECT DISTINCT a.notice_id AS notice_id_a, b.notice_id AS notice_id_b FROM buckets a JOIN buckets b
+      ON a.band_id = b.band_id AND a.bucket_hash = b.bucket_hash AND a.notice_id < b.notice_id),
+    {_scored('pairs')},
+    near AS (SELECT notice_id_a AS x, notice_id_b AS y FROM scored WHERE jaccard >= {THRESHOLD}),
+    both_ways AS (SELECT x, y FROM near UNION ALL SELECT y, x FROM near),
+    reach(x, y) AS (SELECT doc_id, doc_id FROM documents UNION SELECT r.x, b.y FROM reach r JOIN both_ways b ON r.y = b.x),
+    linked AS (SELECT x, count(*) AS links FROM both_ways GROUP BY 1)
+    SELECT r.x AS notice_id, min(r.y) AS group_id, coalesce(any_value(links), 0) AS links
+    FROM reach r LEFT JOIN linked l ON r.x = l.x GROUP BY 1""",
     "s_curve": f"""WITH {LABELS}, {BUCKETS}, {_hits(50)}, {_scored('hits')}
     SELECT notice_id_a, notice_id_b, label, round(1 - pow(1 - pow(jaccard, 20), 20), 6) AS b20_r20,
       round(1 - pow(1 - pow(jaccard, 8), 50), 6) AS b50_r8, shared_buckets > 0 AS is_candidate FROM scored""",
