@@ -11,9 +11,10 @@ from __future__ import annotations
 import heapq
 import json
 import re
+from collections import defaultdict
 from collections.abc import Iterable, Iterator
 from functools import cache
-from itertools import pairwise
+from itertools import chain, pairwise
 
 import numpy as np
 import regex
@@ -38,6 +39,7 @@ _BREAK = re.compile("([a-z\u00df-\u00f6\u00f8-\u024f])(?=[.,;:!?](?:[ \t\n\r\x0b
 _SEGMENT = 1 << 22
 _GENERATION = 500_000
 _SHORT = 64
+_ROWS = 8192
 _NONE = 1 << 40
 
 
@@ -72,7 +74,7 @@ def prepared(text: str) -> bytes:
 
     Only where lower case is context-free and no special token can occur.
     """
-    if not _BEYOND.search(text):
+    if "<|" not in text if text.isascii() else not _BEYOND.search(text):
         text = _BREAK.sub(r"\1 ", text.lower())
     return text.encode("utf-8", "surrogatepass")
 
@@ -115,9 +117,13 @@ class WordBpe:
         order = np.argsort(codes)
         self.codes, self.code_ranks = codes[order], np.array(list(self.rank_of.values()), np.int64)[order]
         self.size = size
-        self.reach: dict[bytes, int] = {}  # by the first three bytes: length of the longest token
+        self.made_by = np.array(self.made, np.int64)
+        # Ids of single bytes, inside a word and as its last one.
+        self.first, self.first_last = (np.array([t.get(bytes([b]), 0) for b in range(256)], np.int64) for t in (self.inner, self.final))
+        self.reach: dict[bytes, int] = {}  # by the first four or five bytes: length of the longest token
         for token in self.inner:
-            self.reach[token[:3]] = max(len(token), self.reach.get(token[:3], 0))
+            for begin in {token[:4], token[:5]}:
+                self.reach[begin] = max(len(token), self.reach.get(begin, 0))
         self.kind = np.uint16 if size <= 1 << 16 else np.uint32
         self.packed = [self.kind(i).tobytes() for i in range(size)]
         self.young: dict[bytes, bytes] = {}
@@ -144,7 +150,8 @@ class WordBpe:
         out, at, n = [], 0, len(piece)
         inner, final, reach = self.inner.get, self.final.get, self.reach.get
         while (last := final(piece[at:])) is None:
-            for stop in range(min(n - 1, at + reach(piece[at : at + 3], 2)), at, -1):
+            far = reach(piece[at : at + 5]) or (4 if piece[at : at + 4] in self.reach else 3)
+            for stop in range(min(n - 1, at + far), at, -1):
                 if (token := inner(piece[at:stop])) is not None:
                     out.append(token)
                     at = stop
@@ -222,28 +229,83 @@ class WordBpe:
             x, y = np.where(undo_y, x, self.right[x]), np.where(undo_y, self.left[y], y)
         return good
 
-    def encode_words(self, found: list[bytes]) -> list[list[int]]:
-        """Token ids of normalised words."""
+    def _merged_together(self, found: list[bytes]) -> list[bytes]:
+        """Packed ids of ``merged`` for many words at once.
+
+        Words of one length are rows of a matrix. Each round does in every row what ``merged`` does:
+        the leftmost merge of lowest rank; a row without one leaves. So all rows left are equally long.
+        """
+        out: list[bytes] = [b""] * len(found)
+        by_length: dict[int, list[int]] = defaultdict(list)
+        for i, piece in enumerate(found):
+            by_length[len(piece)].append(i)
+        for n, members in by_length.items():
+            if n > _SHORT:
+                for i in members:
+                    out[i] = b"".join(map(self.packed.__getitem__, self.merged(found[i])))
+                continue
+            for at in range(0, len(members), _ROWS):
+                part = np.array(members[at : at + _ROWS])
+                raw = np.frombuffer(b"".join([found[i] for i in part]), np.uint8).reshape(-1, n)
+                tokens = self.first[raw]
+                tokens[:, -1] = self.first_last[raw[:, -1]]
+                ranks = self._rank(tokens[:, :-1].ravel(), tokens[:, 1:].ravel()).reshape(-1, n - 1)
+                while len(part):
+                    width = tokens.shape[1]
+                    if width > 1:
+                        best = ranks.argmin(axis=1)
+                        low = ranks[np.arange(len(part)), best]
+                        on = low < NEVER
+                    else:
+                        on = np.zeros(len(part), bool)
+                    blob, size = tokens[~on].astype(self.kind).tobytes(), width * self.kind().itemsize
+                    for k, i in enumerate(part[~on].tolist()):
+                        out[i] = blob[k * size : (k + 1) * size]
+                    part, tokens = part[on], tokens[on]
+                    if not len(part):
+                        break
+                    ranks, best, low = ranks[on], best[on], low[on]
+                    rows, places = np.arange(len(part)), np.arange(width - 1)
+                    tokens[rows, best] = self.made_by[low]
+                    tokens = np.take_along_axis(tokens, places + (places > best[:, None]), 1)
+                    ranks = np.take_along_axis(ranks, places[:-1] + (places[:-1] >= best[:, None]), 1)
+                    left, right = np.flatnonzero(best > 0), np.flatnonzero(best < width - 2)
+                    ranks[left, best[left] - 1] = self._rank(tokens[left, best[left] - 1], tokens[left, best[left]])
+                    ranks[right, best[right]] = self._rank(tokens[right, best[right]], tokens[right, best[right] + 1])
+        return out
+
+    def encode_packed(self, found: list[bytes]) -> list[bytes]:
+        """Packed token ids of normalised words."""
         rows = [self.greedy(p) for p in found]
         lengths = np.fromiter(map(len, rows), np.int64, len(rows))
-        flat = np.fromiter((i for row in rows for i in row), np.int64, int(lengths.sum()))
+        ends = np.cumsum(lengths)
+        flat = np.fromiter(chain.from_iterable(rows), np.int64, int(lengths.sum()))
         inside = np.ones(len(flat), bool)
-        inside[np.cumsum(lengths) - 1] = False  # no pair reaches into the next word
+        inside[ends - 1] = False  # no pair reaches into the next word
         at = np.flatnonzero(inside)
         pairs, back = np.unique(flat[at] * self.size + flat[at + 1], return_inverse=True)
         wrong = ~self.compatible(pairs // self.size, pairs % self.size)[back]
-        word_of = np.repeat(np.arange(len(rows)), lengths)[at]
-        for i in np.unique(word_of[wrong]).tolist():
-            rows[i] = self.merged(found[i])
-        return rows
+        blob, size = flat.astype(self.kind).tobytes(), self.kind().itemsize
+        stops = (ends * size).tolist()
+        codes = [blob[a:b] for a, b in zip([0, *stops], stops, strict=False)]
+        failing = np.unique(np.repeat(np.arange(len(rows)), lengths)[at[wrong]]).tolist()
+        for i, code in zip(failing, self._merged_together([found[i] for i in failing]), strict=True):
+            codes[i] = code
+        return codes
+
+    def encode_words(self, found: list[bytes]) -> list[list[int]]:
+        """Token ids of normalised words."""
+        return [np.frombuffer(code, self.kind).tolist() for code in self.encode_packed(found)]
 
     # Texts ------------------------------------------------------------------
 
     def _learn(self, chunks: set[bytes]) -> dict[bytes, bytes]:
         """Encodings of stretches without white space, as packed ids."""
+        plain = [c for c in chunks if c.isalpha() and c.islower()]  # ASCII words as they stand
+        known = dict(zip(plain, self.encode_packed(plain), strict=True)) if plain else {}
         parts: dict[bytes, list[bytes]] = {}
         needed: set[bytes] = set()
-        for chunk in chunks:
+        for chunk in chunks.difference(known):
             row: list[bytes] = []
             for part in self.split_special.split(chunk) if b"<|" in chunk else (chunk,):
                 if part in self.special:
@@ -253,37 +315,41 @@ class WordBpe:
             parts[chunk] = row
             needed.update(row)
         packed = self.packed.__getitem__
-        known = {i: packed(n) for i, n in self.special.items()}
+        made = dict(known)
+        known.update({i: packed(n) for i, n in self.special.items()})
         young, old = self.young, self.old
         for p in needed:
             if p not in known and (code := young.get(p) or old.get(p)):
                 known[p] = code
         fresh = [p for p in needed if p not in known]
         if fresh:
-            known.update(zip(fresh, [b"".join(map(packed, r)) for r in self.encode_words(fresh)], strict=True))
-        return {c: known[r[0]] if len(r) == 1 else b"".join(map(known.__getitem__, r)) for c, r in parts.items()}
+            known.update(zip(fresh, self.encode_packed(fresh), strict=True))
+        made.update({c: known[r[0]] if len(r) == 1 else b"".join(map(known.__getitem__, r)) for c, r in parts.items()})
+        return made
 
     def _look_up(self, lists: list[list[bytes]]) -> list[bytes]:
         """Packed ids of lists of stretches. Two generations of known ones bound the memory."""
         young, old = self.young, self.old
         fresh: set[bytes] = set()
         every: list[list[bytes | None]] = []
+        gaps: list[tuple[list[bytes], list[bytes | None], list[int]]] = []
         for found in lists:
             codes = list(map(young.get, found))
             every.append(codes)
             if None in codes:
-                for w, code in zip(found, codes, strict=True):
-                    if code is None:
-                        if (code := old.get(w)) is None:
-                            fresh.add(w)
-                        else:
-                            young[w] = code
+                at = [i for i, code in enumerate(codes) if code is None]
+                gaps.append((found, codes, at))
+                for i in at:
+                    if (code := old.get(w := found[i])) is None:
+                        fresh.add(w)
+                    else:
+                        young[w] = code
         if fresh:
             young.update(self._learn(fresh))
-        out = [
-            b"".join(map(young.__getitem__, found) if None in codes else codes)
-            for found, codes in zip(lists, every, strict=True)
-        ]
+        for found, codes, at in gaps:
+            for i in at:
+                codes[i] = young[found[i]]
+        out = [b"".join(codes) for codes in every]
         if len(young) > _GENERATION:
             self.old, self.young = young, {}
         return out

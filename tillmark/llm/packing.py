@@ -82,17 +82,19 @@ class Packer:
     def pack(self, keep_open: bool = False) -> Iterator[list[Piece]]:
         """Sequences of all that is held; with ``keep_open`` the last, if short, stays held."""
         demand, count = self._table()
+        scaled = demand * self.share
         while count.any():
             left = np.array([self.limits.tokens, self.limits.segments, self.limits.loss], float)
             made: list[Piece] = []
             while left[0] > 0 and left[1] > 0:
                 fits = (count > 0) & (demand <= left).all(axis=1)
                 if fits.any():
-                    value = (demand * self.share) @ (left * self.share)
+                    value = scaled @ (left * self.share)
                     best = int(np.where(fits, value, -1.0).argmax())
                     piece = self._take(demand, count, best)
                 elif self.limits.least and left[0] >= self.limits.least and (piece := self._part(demand, count, left)):
                     demand, count = self._table()
+                    scaled = demand * self.share
                 else:
                     break
                 made.append(piece)
