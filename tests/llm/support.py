@@ -5,6 +5,8 @@ import random
 DOCUMENT = "doc_id long, text string, lang string, source string, n_chars long"
 #: Names that operators use inside or return; a table may bring columns of the same names.
 CLASHES = ("key", "text_hash", "shard", "slot", "size", "label", "kept", "spans", "n_words", "blob", "score", "start", "print")
+#: Names like those that helpers once had.
+CLASHES += ("__blob", "__spans", "__secrets", "__text_hash", "__key", "__hash", "__0", "__2", "___1")
 
 
 def documents(spark, rows, clashes=False):

@@ -102,3 +102,17 @@ def test_run(spark, tmp_path):
     got = p.run(spark, str(tmp_path))
     assert {"doc_id", "start", "length", "sequence_id"} <= set(got.columns) and got.count() > 20
     assert re.fullmatch(r"[a-z_]+", p.STAGES[0][0]) and p.ORACLE_SQL is None
+
+
+def test_extra_columns_keep_their_values(spark):
+    """Names that helper columns might have come back with the values they had."""
+    table = documents(spark, rows(), clashes=True)
+    extra = [c for c in table.columns if c not in ("doc_id", "text", "lang", "source", "n_chars")]
+    assert {"__blob", "__spans", "__text_hash", "__key", "__hash", "__0", "__2"} <= set(extra)
+    for _, work in p.STAGES[:-1]:
+        got = work(spark, table, "")
+        assert got.columns == table.columns and got.count() > 40
+        assert {tuple(r) for r in got.select(*extra).distinct().collect()} == {("x",) * len(extra)}
+    ledger = spark.createDataFrame([], secrets.FINDINGS)
+    found = secrets.findings(table, ledger)
+    assert {r["__blob"] for r in found.collect()} == {"x"} and "__secrets" in found.columns

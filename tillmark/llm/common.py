@@ -8,7 +8,7 @@ from pathlib import Path
 
 import pyarrow as pa
 from pyspark import cloudpickle
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
@@ -29,9 +29,18 @@ def sha(data: bytes | str) -> str:
     return hashlib.sha256(data.encode("utf-8", "surrogatepass") if isinstance(data, str) else data).hexdigest()
 
 
+def unused(columns: Iterable[str]) -> str:
+    """A beginning that no name of ``columns`` has: what is named with it clashes with none of them."""
+    taken, prefix = list(columns), "__"
+    while any(c.startswith(prefix) for c in taken):
+        prefix += "_"
+    return prefix
+
+
 def set_apart(docs: DataFrame, *kept: str) -> tuple[DataFrame, dict[str, str]]:
     """``docs`` with all columns but ``kept`` under names that clash with nothing, and the name of each column."""
-    names = {c: c if c in kept else f"__{i}" for i, c in enumerate(docs.columns)}
+    prefix = unused(docs.columns)
+    names = {c: c if c in kept else f"{prefix}{i}" for i, c in enumerate(docs.columns)}
     return docs.withColumnsRenamed({c: n for c, n in names.items() if c != n}), names
 
 
@@ -72,28 +81,3 @@ def each_batch(df: DataFrame, work: Callable[[pa.RecordBatch], dict | None], sch
                 yield work(batch)
 
     return map_batches(df, run, schema)
-
-
-def join_unique(rows: DataFrame, found: DataFrame, keys: list[str], share: int = 256) -> DataFrame:
-    """``rows`` with the columns of ``found`` (one row a key), NULL where it has none; NULL keys match NULL keys.
-
-    A key that holds more than one ``share``-th of all rows would be one task's work. Fewer than
-    ``share`` such keys can exist, so theirs is a broadcast of proven size (the counts are an action);
-    all other keys meet in an ordinary join. ``rows`` is read several times: pass a written
-    table. No other column of ``found`` may be named like one of ``rows``.
-    """
-    total = rows.count()
-    heavy = rows.groupBy(*keys).agg(F.count("*").alias("_n")).where(F.col("_n") * share > total).drop("_n")
-    hot = [tuple(r) for r in heavy.collect()]  # fewer than ``share`` rows
-    new = [c for c in found.columns if c not in keys]
-    names = {k: f"_key_{i}" for i, k in enumerate(keys)}
-    on = [F.col(k).eqNullSafe(F.col(n)) for k, n in names.items()]
-
-    def met(some: DataFrame, other: DataFrame) -> DataFrame:
-        return some.join(other.withColumnsRenamed(names), on, "left").select(*rows.columns, *new)
-
-    if not hot:
-        return met(rows, found)
-    listed = F.broadcast(rows.sparkSession.createDataFrame(hot, rows.select(*keys).schema).withColumnsRenamed(names))
-    few = F.broadcast(found.join(listed, on, "left_semi"))
-    return met(rows.join(listed, on, "left_semi"), few).union(met(rows.join(listed, on, "left_anti"), found))

@@ -14,7 +14,7 @@ from functools import reduce
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from tillmark.llm.common import each_batch, sha, table
+from tillmark.llm.common import each_batch, sha, table, unused
 from tillmark.staging import stage, staging_path
 
 _ASSIGN = re.compile(
@@ -136,20 +136,22 @@ def findings(
     Offsets are code points, ends exclusive. Each row appears once, also when rows are equal.
     Columns of ``versions`` may have any names but ``secrets``, which is replaced.
     """
+    own = unused(versions.columns)
+    name, held = f"{own}blob", f"{own}secrets"
     order = {r: i for i, r in enumerate(RULES)}
     current = reduce(lambda a, b: a | b, [(F.col("rule") == r) & (F.col("version") == v) for r, v in rules.items()])
     rank = F.create_map(*[F.lit(x) for pair in order.items() for x in pair])[F.col("rule")]
     listed = F.transform("spans", lambda s: F.struct(s["start"].alias("start"), rank.alias("rank"), F.col("rule").alias("kind"), s["stop"].alias("stop")))
     per_blob = (
         ledger.where(current & (F.size("spans") > 0)).select("blob", listed.alias("spans"))
-        .groupBy("blob").agg(F.array_sort(F.flatten(F.collect_set("spans"))).alias("__secrets"))
-        .withColumnRenamed("blob", "__blob")
+        .groupBy("blob").agg(F.array_sort(F.flatten(F.collect_set("spans"))).alias(held))
+        .withColumnRenamed("blob", name)
     )
     rest = [c for c in versions.columns if c not in (text, "secrets")]
-    slim = versions.select(*[F.col(f"`{c}`") for c in rest], blob(text).alias("__blob"))
+    slim = versions.select(*[F.col(f"`{c}`") for c in rest], blob(text).alias(name))
     none = F.array().cast("array<struct<start:int,rank:int,kind:string,stop:int>>")
-    joined = slim.join(per_blob, "__blob", "left")
-    return joined.select(*[F.col(f"`{c}`") for c in rest], F.coalesce("__secrets", none).alias("secrets"))
+    joined = slim.join(per_blob, name, "left")
+    return joined.select(*[F.col(f"`{c}`") for c in rest], F.coalesce(held, none).alias("secrets"))
 
 
 def _listed(spans: Column) -> Column:
@@ -177,14 +179,18 @@ def redact(spark: SparkSession, docs: DataFrame, ledger: str, mask: str = "[SECR
     """
     update_ledger(spark, docs.select("text"), ledger)
     held = read_ledger(spark, ledger)
-    kept = held.where(F.size("spans") > 0).groupBy("blob").agg(F.flatten(F.collect_set("spans")).alias("__spans")) if held is not None else None
-    if kept is None:
+    if held is None:
         return docs
-    names = docs.columns
-    marked = docs.withColumn("__blob", blob("text")).join(kept.withColumnRenamed("blob", "__blob"), "__blob", "left")
-    masked = marked.withColumn("text", F.when(F.col("__spans").isNull(), F.col("text")).otherwise(_mask(mask)("text", "__spans")))
-    changed = F.when(F.col("__spans").isNull(), F.col("n_chars")).otherwise(F.char_length("text").cast("long"))
-    return masked.withColumn("n_chars", changed).select(*[F.col(f"`{c}`") for c in names])
+    own = unused(docs.columns)
+    name, spans = f"{own}blob", f"{own}spans"
+    kept = held.where(F.size("spans") > 0).groupBy("blob").agg(F.flatten(F.collect_set("spans")).alias(spans))
+    marked = docs.withColumn(name, blob("text")).join(kept.withColumnRenamed("blob", name), name, "left")
+    new = {
+        "text": F.when(F.col(spans).isNull(), F.col("text")).otherwise(_mask(mask)("text", spans)),
+        "n_chars": F.when(F.col(spans).isNull(), F.col("n_chars")).otherwise(F.char_length("text").cast("long")),
+    }
+    masked = marked.withColumn("text", new["text"]).withColumn("n_chars", new["n_chars"])
+    return masked.select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
 def _mask(mask: str):

@@ -19,7 +19,7 @@ import numpy as np
 import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from tillmark.llm.common import Batches, map_batches, table, words
+from tillmark.llm.common import Batches, map_batches, table, unused, words
 from tillmark.llm.components import components
 from tillmark.staging import stage
 
@@ -217,14 +217,15 @@ def hex_print(column: str = "print") -> Column:
 
 def keep_one(docs: DataFrame, length: int = 3, bits: int = MOST) -> DataFrame:
     """``docs`` with one row of each group of near-duplicates: the one of smallest doc_id, then text hash (an action)."""
+    own = unused(docs.columns)
     found = near_duplicates(docs, length, bits)
     order = F.struct(F.col("key").isNull().alias("none"), "key", "text_hash")
     first = found.groupBy("label").agg(F.min(order).alias("first")).select("first.key", "first.text_hash").distinct()
-    chosen = stage(first, "kept").select(F.col("key").alias("__key"), F.col("text_hash").alias("__hash"))
-    held = docs.withColumn("__text_hash", F.xxhash64(F.col("text").cast("string")))
-    same = F.col("doc_id").eqNullSafe(F.col("__key")) & (F.col("__text_hash") == F.col("__hash"))
+    chosen = stage(first, "kept").select(F.col("key").alias(f"{own}key"), F.col("text_hash").alias(f"{own}hash"))
+    held = docs.withColumn(f"{own}text_hash", F.xxhash64(F.col("text").cast("string")))
+    same = F.col("doc_id").eqNullSafe(F.col(f"{own}key")) & (F.col(f"{own}text_hash") == F.col(f"{own}hash"))
     names = [F.col(f"`{c}`") for c in docs.columns]
-    return held.join(chosen, same, "left_semi").dropDuplicates(["doc_id", "__text_hash"]).select(*names)
+    return held.join(chosen, same, "left_semi").dropDuplicates(["doc_id", f"{own}text_hash"]).select(*names)
 
 
 def op3_golay_simhash(spark: SparkSession, folder: str) -> DataFrame:
