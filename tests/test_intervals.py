@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from conftest import plan_of, rows
-from tillmark.operators.intervals import interval_join
+from tillmark.operators.intervals import interval_join, sweep_join
 
 D = dt.date
 
@@ -114,3 +114,32 @@ def test_bad_arguments(spark, data):
         interval_join(points, intervals, ["code"], "day", "f", "t", "()")
     with pytest.raises(ValueError):
         interval_join(points, intervals, ["code"], "day", "f", "t", slice_days=3)
+
+
+@pytest.mark.parametrize("bounds", ["[]", "[)"])
+@pytest.mark.parametrize("how", ["left", "inner"])
+def test_sweep_equals_brute_force(spark, data, bounds, how):
+    """Keys "hot" and "a" have overlapping intervals; "b" and "x" are swept, "x" over several ranges."""
+    rng = random.Random(12)
+    edges = sorted(rng.sample(range(-40, 400), 30))
+    apart = [("x", 100 + n, days(a), rng.choice([days(b - 1), days(a)])) for n, (a, b) in enumerate(zip(edges, edges[1:]))]
+    apart += [("x", 200, days(edges[-1]), None), ("x", 201, days(50), days(40)), ("x", 202, None, days(40)), (None, 203, days(0), None)]
+    points = data[0] + [(1000 + i, "x", days(rng.randrange(-60, 450))) for i in range(500)] + [(2000, None, None)]
+    every = (points, data[1] + apart)
+    sound = (points, [r for r in every[1] if r[0] is not None and r[2] is not None])
+    left, right = frames(spark, every)
+    got = sweep_join(left, right, ["code"], "day", "f", "t", bounds, how, parts=7)
+    assert got.columns == ["id", "code", "day", "sk", "f", "t"]
+    assert rows(got.select("id", "sk")) == brute(sound, bounds, how)
+
+
+def test_sweep_spreads_a_hot_key(spark):
+    """No key join of points and intervals remains for a key that is hot on both sides and free of overlaps."""
+    points = spark.range(6000).select("id", F.lit("hot").alias("code"), F.date_add(F.lit(days(0)), (F.col("id") % 3000).cast("int")).alias("day"))
+    validity = spark.range(3000).select(
+        F.lit("hot").alias("code"), F.col("id").alias("sk"), F.date_add(F.lit(days(0)), F.col("id").cast("int")).alias("f"), F.date_add(F.lit(days(0)), F.col("id").cast("int")).alias("t")
+    )
+    got = sweep_join(points, validity, ["code"], "day", "f", "t", "[]", "inner", parts=8)
+    assert got.where(F.col("sk") == F.col("id") % 3000).count() == 6000 == got.count()
+    with pytest.raises(ValueError):
+        sweep_join(points, validity, ["code"], "day", "f", "t", "[]", "right")

@@ -5,7 +5,9 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
+
+from tillmark.staging import stage
 
 
 def interval_join(
@@ -59,3 +61,73 @@ def _slice(day: Column, slice_days: int, horizon: tuple[dt.date, dt.date]) -> Co
     first, last = (F.lit(d) for d in horizon)
     clamped = F.when(day < first, first).when(day > last, last).otherwise(day)
     return F.floor(F.datediff(clamped, first) / slice_days).cast("int")
+
+
+def sweep_join(
+    points: DataFrame,
+    intervals: DataFrame,
+    keys: Sequence[str],
+    at: str,
+    start: str,
+    end: str,
+    bounds: str = "[]",
+    how: str = "left",
+    parts: int | None = None,
+) -> DataFrame:
+    """The rows of :func:`interval_join`, by one pass over points and interval starts in order (an action).
+
+    Starts and points of a key form one stream in time; the last start is carried forward and
+    its end decides. The stream is dealt into ``parts`` ranges of (key, time), so a key that is
+    hot on both sides goes over several tasks and no point meets more than one interval; what a
+    range needs from earlier ones is its key's last start before it. Keys whose intervals overlap
+    are found on the way and handed to :func:`interval_join`. Points with a NULL key or time, and
+    intervals that contain nothing, never enter the stream.
+    """
+    if bounds not in ("[]", "[)"):
+        raise ValueError("bounds must be '[]' or '[)'")
+    if how not in ("left", "inner"):
+        raise ValueError("how must be 'left' or 'inner'")
+    spark = points.sparkSession
+    parts = parts or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    rest = [c for c in intervals.columns if c not in keys]
+    names = [f"_k{n}" for n in range(len(keys))]
+    known = [F.col(k).isNotNull() for k in keys]
+    holds = F.col(end).isNull() | (F.col(start) <= F.col(end) if bounds == "[]" else F.col(start) < F.col(end))
+    whole = F.lit(True)
+    for k in known:
+        whole = whole & k
+    sound = intervals.where(whole & F.col(start).isNotNull() & holds)
+    asked = points.where(whole & F.col(at).isNotNull())
+    own = [F.col(k).alias(n) for k, n in zip(keys, names)]
+    interval, point = F.struct(*rest), F.struct(*points.columns)
+    starts = sound.select(*own, F.col(start).alias("_t"), F.lit(0).alias("_kind"), interval.alias("_i"))
+    dated = asked.select(*own, F.col(at).alias("_t"), F.lit(1).alias("_kind"), point.alias("_p"))
+    stream = starts.unionByName(dated, allowMissingColumns=True).withColumn("_tie", F.xxhash64("_p"))
+    stream = stage(stream.repartitionByRange(parts, *names, "_t", "_kind", "_tie").withColumn("_range", F.spark_partition_id()), "stream")
+
+    last = stream.groupBy(*names, "_range").agg(F.max_by("_i", F.when(F.col("_kind") == 0, F.col("_t"))).alias("_i"))
+    before = Window.partitionBy(*names).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    carried = last.select(*names, "_range", F.last("_i", ignorenulls=True).over(before).alias("_carried"))
+    order = Window.partitionBy(*names, "_range").orderBy("_t", "_kind")
+    earlier = F.last("_i", ignorenulls=True).over(order.rowsBetween(Window.unboundedPreceding, -1))
+    swept = stage(
+        stream.withColumn("_last", earlier).join(carried, [*names, "_range"])
+        .select(*names, "_t", "_kind", "_i", "_p", F.coalesce("_last", "_carried").alias("_last")),
+        "swept",
+    )
+    until = F.col(f"_last.`{end}`")
+    open_ = until.isNull() | (F.col("_t") <= until if bounds == "[]" else F.col("_t") < until)
+    overlap = (F.col("_kind") == 0) & F.col("_last").isNotNull() & open_
+    tangled = stage(swept.where(overlap).select(*names).distinct(), "tangled")
+    met = swept.where("_kind = 1").withColumn("_last", F.when(F.col("_last").isNotNull() & open_, F.col("_last")))
+    simple = met.join(tangled, names, "left_anti").select("_p.*", *[F.col(f"_last.`{c}`").alias(c) for c in rest], F.col("_last").isNotNull().alias("_hit"))
+    simple = (simple if how == "left" else simple.where("_hit")).drop("_hit")
+    again = tangled.withColumnsRenamed(dict(zip(names, keys)))
+    other = interval_join(
+        asked.join(again, list(keys), "left_semi").select(*points.columns), sound.join(again, list(keys), "left_semi"), keys, at, start, end, bounds, how
+    )
+    found = simple.unionByName(other)
+    if how == "inner":
+        return found
+    alone = points.where(~F.coalesce(whole & F.col(at).isNotNull(), F.lit(False)))
+    return found.unionByName(alone, allowMissingColumns=True)

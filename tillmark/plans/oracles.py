@@ -189,9 +189,17 @@ _WAREHOUSE = {
       FROM lineitem WHERE l_orderkey % 7 <> 0)
     SELECT year, month, store, 1 AS files, count(*) AS lines FROM sent GROUP BY ALL""",
     "partition_filter": f"""SELECT o_orderkey, {STORE.format(key='o_orderkey')} AS store, 1996 AS year, 4 AS month FROM orders
-    WHERE strftime(o_orderdate, '%Y-%m') BETWEEN '1996-04' AND '1996-06' AND {STORE.format(key='o_orderkey')} = 'S03'""",
+    WHERE strftime(o_orderdate, '%Y-%m') = '1996-04' AND {STORE.format(key='o_orderkey')} = 'S03'""",
+    "fallback_files": """SELECT o_orderkey, o_totalprice, CAST(strftime(o_orderdate, '%Y%m') AS INTEGER) AS month,
+      strftime(o_orderdate, '%Y%m') IN ('199603', '199604') AS from_mirror FROM orders""",
+    "swept_prices": f"""WITH {FACT}, {REVISIONS}
+    SELECT strftime(business_date, '%Y-%m') AS month, count(*) AS lines, count(selling_price) AS priced,
+      CAST(sum(CAST(quantity AS DECIMAL(18,2)) * selling_price) AS DOUBLE) AS list_value
+    FROM fact f LEFT JOIN revisions r ON f.product_sk = r.product_sk AND business_date >= effective_from
+      AND (business_date <= effective_to OR effective_to IS NULL)
+    GROUP BY 1""",
     "finance_file": f"""WITH {FINANCE} SELECT month, CAST(revenue AS DOUBLE) AS revenue_inr FROM finance""",
-    "replaced_table": "SELECT o_orderkey, o_totalprice FROM orders WHERE strftime(o_orderdate, '%Y-%m') = '1996-02'",
+    "replaced_table": "SELECT o_orderkey, o_totalprice FROM orders",
     "replaced_table_whole": "SELECT o_orderkey, o_totalprice FROM orders",
     "masters_files": f"""WITH {PRODUCTS}, {REVISIONS},
     prices AS (SELECT product_sk, count(*) AS revisions, CAST(max(selling_price) AS DOUBLE) AS highest FROM revisions GROUP BY 1)
@@ -518,9 +526,10 @@ _NOTICES = {
       md5(trim(regexp_replace(CASE WHEN doc_id % 10 = 0 THEN 'AMENDED ' ELSE '' END || text, '\\s+', ' ', 'g'))) AS digest
     FROM documents""",
     "stored_lookup": f"""WITH {LABELS}, {BUCKETS},
-    asked AS (SELECT DISTINCT band_id, bucket_hash FROM buckets WHERE band_id = 0
-      AND notice_id IN (SELECT notice_id_a FROM labels_ WHERE label = 'same'))
-    SELECT band_id, bucket_hash, notice_id FROM buckets SEMI JOIN asked USING (band_id, bucket_hash)""",
+    asked AS (SELECT DISTINCT band_id, bucket_hash FROM buckets
+      WHERE notice_id IN (SELECT notice_id_a FROM labels_ WHERE label = 'same'))
+    SELECT band_id, bucket_hash, count(*) AS notices, min(notice_id) AS first_id
+    FROM buckets SEMI JOIN asked USING (band_id, bucket_hash) GROUP BY ALL""",
     "stored_lookup_bands": f"""WITH {LABELS}, {BUCKETS},
     asked AS (SELECT DISTINCT band_id, bucket_hash FROM buckets
       WHERE notice_id IN (SELECT notice_id_a FROM labels_ WHERE label = 'same'))

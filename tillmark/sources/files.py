@@ -3,17 +3,20 @@
 from __future__ import annotations
 
 import json
+import re
 from collections.abc import Callable, Iterator
 from functools import reduce
 from typing import TypeVar
 
 import pandas as pd
+import pyarrow as pa
 from py4j.protocol import Py4JJavaError
 from pyspark.errors import AnalysisException, PySparkException
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from tillmark.sources import schemas
+from tillmark.staging import stage
 
 R, T = TypeVar("R"), TypeVar("T")
 
@@ -221,6 +224,59 @@ def read_with_fallback(
         return use(read(mirror))
 
 
+def unreadable_files(spark: SparkSession, root: str, pattern: str = "*.parquet") -> DataFrame:
+    """``path`` of the Parquet files below ``root`` that cannot be decoded from their first row group to their last.
+
+    Each file is opened by the task that holds its bytes; a daily file fits one task.
+    """
+
+    def broken(batches):
+        import pyarrow.parquet as pq
+
+        for batch in batches:
+            bad = []
+            for path, content in zip(batch.column("path").to_pylist(), batch.column("content")):
+                try:
+                    for _ in pq.ParquetFile(pa.BufferReader(content.as_buffer())).iter_batches():
+                        pass
+                except (pa.ArrowException, OSError, ValueError):
+                    bad.append(path)
+            yield pa.RecordBatch.from_arrays([pa.array(bad, pa.string())], ["path"])
+
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", pattern).load(root)
+    return files.select("path", "content").mapInArrow(broken, "path string")
+
+
+def read_files_with_fallback(spark: SparkSession, primary: str, mirror: str, schema: str, listed: int = 1000) -> DataFrame:
+    """Parquet rows of ``primary``; files that are unreadable or missing there come from ``mirror`` (an action).
+
+    Both trees hold the same relative paths (``key=value`` folders become columns). Only the
+    files in question are read from the mirror: up to ``listed`` of them are named in the scan,
+    more are picked by a join on the file's path. ``from_mirror`` tells where a row comes from.
+    """
+    def relative(path: Column, root: str) -> Column:
+        return F.regexp_extract(path, "/" + re.escape(root.rstrip("/").rsplit("/", 1)[1]) + "/(.*)$", 1)
+
+    have = _listing(spark, primary, "*.parquet").select(relative(F.col("path"), primary).alias("name"))
+    want = _listing(spark, mirror, "*.parquet").select(relative(F.col("path"), mirror).alias("name"))
+    broken = unreadable_files(spark, primary).select(relative(F.col("path"), primary).alias("name"))
+    lost = stage(broken.union(want.join(have, "name", "left_anti")).join(want, "name", "left_semi").distinct(), "lost")
+
+    def rows(root: str, from_mirror: bool) -> DataFrame:
+        reader = spark.read.schema(schema).option("basePath", root).option("ignoreCorruptFiles", "true")
+        found = reader.parquet(root)
+        name = relative(F.col("_metadata.file_path"), root)
+        few = lost.limit(listed + 1).collect()
+        if len(few) <= listed:
+            picked = name.isin([r.name for r in few])
+            found = found.where(picked if from_mirror else ~picked)
+        else:
+            found = found.withColumn("_name", name).join(lost, F.col("_name") == F.col("name"), "left_semi" if from_mirror else "left_anti").drop("_name")
+        return found.withColumn("from_mirror", F.lit(from_mirror))
+
+    return rows(primary, False).unionByName(rows(mirror, True))
+
+
 def _is_unreadable_file(failure: Exception) -> bool:
     """Spark's error class for a source file, under whatever exception it arrives."""
     return "[FAILED_READ_FILE" in str(failure)

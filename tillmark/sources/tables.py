@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -18,6 +19,33 @@ def create_or_replace(df: DataFrame, table: str) -> DataFrame:
     return spark.table(table)
 
 
+def publish_version(df: DataFrame, name: str, keep: int = 2) -> DataFrame:
+    """Write ``df`` as a new version of ``name`` and switch readers over to it once it is complete.
+
+    ``name`` is a view of one version table. The switch is a single change of the catalog: readers
+    see the old rows until then, also when the write fails half way, and ``df`` may read the table
+    it replaces. The last ``keep`` versions stay, for queries that are still running; what a failed
+    write has left behind goes with the next good one.
+    """
+    if keep < 1:
+        raise ValueError("keep must be positive")
+    spark = df.sparkSession
+    prefix = f"{name}__v"
+    numbers = _versions(spark, prefix)
+    version = f"{prefix}{max(numbers, default=0) + 1:08d}_{uuid.uuid4().hex[:8]}"
+    df.write.saveAsTable(version)
+    spark.sql(f"ANALYZE TABLE {version} COMPUTE STATISTICS")
+    spark.sql(f"CREATE OR REPLACE VIEW {name} AS SELECT * FROM {version}")
+    good = sorted(spark.catalog.listTables(pattern=f"{prefix}*"), key=lambda t: t.name, reverse=True)
+    for old in good[keep:]:
+        spark.sql(f"DROP TABLE IF EXISTS {old.name}")
+    return spark.table(name)
+
+
+def _versions(spark: SparkSession, prefix: str) -> list[int]:
+    return [int(t.name.removeprefix(prefix).split("_")[0]) for t in spark.catalog.listTables(pattern=f"{prefix}*")]
+
+
 def write_buckets(buckets: DataFrame, table: str, files: int = 32) -> DataFrame:
     """LSH rows laid out for lookups: one folder per band, hashed and sorted by bucket key.
 
