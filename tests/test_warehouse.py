@@ -173,6 +173,67 @@ def test_land_partitioned(spark, sales_root, tmp_path):
     assert rows(one.select("file_date").distinct()) == [(D(2024, 1, 1),), (D(2024, 1, 2),)]
 
 
+def test_landing_again_touches_only_what_changed(spark, tmp_path):
+    inbox, target = tmp_path / "in box", str(tmp_path / "landed")
+    inbox.mkdir()
+    head = "bill_no,line_no,qty\n"
+
+    def run():
+        return {(r.store, r.month): (r["files"], r["lines"]) for r in landing.land_new(spark, str(inbox), target).collect()}
+
+    def state():
+        return {str(p): p.stat().st_mtime_ns for p in tmp_path.glob("landed/**/*.parquet")}
+
+    assert run() == {}
+    (inbox / "SALES_S01_20240101.csv").write_text(head + "a,1,2\na,2,2\n")
+    (inbox / "SALES_S01_20240102.csv").write_text("line_no,bill_no,rate\n1,b,3\n")
+    (inbox / "SALES_S02_20240201.csv").write_text(head + "c,1,2\n")
+    (inbox / "notes.csv").write_text("x\n1\n")
+    assert run() == {("S01", 1): (2, 3), ("S02", 2): (1, 1)}
+    before = state()
+    assert run() == {} and state() == before
+    (inbox / "SALES_S01_20240102.csv").write_text("line_no,bill_no,rate\n1,b,3\n2,b,77\n")
+    (inbox / "SALES_S02_20240201.csv").unlink()
+    assert run() == {("S01", 1): (2, 4)}
+    after = state()
+    assert {p for p in before if "S02" in p} == {p for p in after if "S02" in p}
+    got = rows(spark.read.option("mergeSchema", "true").parquet(target).select("store", "bill_no", "line_no", "qty", "rate"))
+    assert got == sorted([("S01", "a", "1", "2", None), ("S01", "a", "2", "2", None), ("S01", "b", "1", None, "3"),
+                          ("S01", "b", "2", None, "77"), ("S02", "c", "1", "2", None)], key=repr)
+    (inbox / "SALES_S02_20240201.csv").write_text(head)
+    assert run() == {("S02", 2): (0, 0)}
+    assert spark.read.parquet(target).where("store = 'S02'").isEmpty()
+
+
+def test_landing_that_broke_off_is_done_again(spark, tmp_path, monkeypatch):
+    target = str(tmp_path / "landed")
+    (tmp_path / "SALES_S01_20240101.csv").write_text("bill_no,line_no\na,1\n")
+    with monkeypatch.context() as m:
+        m.setattr(landing, "_drop_folders", None)
+        m.setattr(landing, "files_and_lines", None)
+        with pytest.raises(TypeError):
+            landing.land_new(spark, str(tmp_path), target, ("csv",))
+    assert [tuple(r)[2:] for r in landing.land_new(spark, str(tmp_path), target, ("csv",)).collect()] == [("S01", 1, 1)]
+    assert spark.read.parquet(target).count() == 1
+
+
+def test_many_small_files_of_three_headers(spark, tmp_path):
+    heads = ["a,b", "b,a,c", " c ,A"]
+    for i in range(1000):
+        (tmp_path / f"f {i}%.csv").write_text(f"{heads[i % 3]}\n" + ",".join(f"{n.strip().lower()}{i}" for n in heads[i % 3].split(",")) + "\n")
+    df = files.read_union_by_name(spark, str(tmp_path))
+    want = [(f"a{i}", f"b{i}" if i % 3 < 2 else None, f"c{i}" if i % 3 else None) for i in range(1000)]
+    assert rows(df.select("a", "b", "c")) == sorted(want, key=repr)
+    assert plan_of(df).count("FileScan csv") == 1
+
+
+def test_blank_first_lines_and_repeated_names(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("x,y,x\n1,2,3\n4\n5,6,7,8\n")
+    assert rows(files.read_union_by_name(spark, str(tmp_path)).select("x", "y")) == [("1", "2"), ("4", None), ("5", "6")]
+    (tmp_path / "b.csv").write_text("\nq\n9\n")
+    assert rows(files.read_union_by_name(spark, str(tmp_path)).select("x", "y")) == [("1", "2"), ("4", None), ("5", "6")]
+
+
 def test_dedup_ties_nulls_and_order(spark):
     data = [("b", "1", None, 1.0), ("b", "1", 5, 2.0), ("b", "1", 5, 3.0), (None, None, 1, 1.0), (None, None, 2, 9.0), ("c", "1", None, 4.0)]
     df = spark.createDataFrame(data, "bill_no string, line_no string, timestamp int, quantity double")

@@ -109,19 +109,42 @@ def union_by_name(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def land_files(spark: SparkSession, sf: str) -> DataFrame:
-    """A file a store and year written, landed by the names they carry, and counted from the landed tree.
+    """Four runs over an inbox of a file a store and year, named by its last day: what each rewrote, and at the end (0) what lies there.
 
-    The work is in the number of files, not of lines: a file a store and month takes three times as long.
+    The first lands the files up to 1996, the second finds nothing new. Before the third the later
+    files arrive and that of store 3 for 1995 comes again without its returns; the fourth finds nothing.
     """
-    order, year = F.col("l_orderkey"), F.date_format("l_shipdate", "yyyy")
+    order, day = F.col("l_orderkey"), F.col("l_shipdate")
     line = st.table(spark, sf, "lineitem").select(
+        st.store_id(order).alias("store"), F.year(day).alias("year"), day.alias("day"), F.col("l_returnflag").alias("flag"),
         st.bill_no(order).alias("bill_no"), F.col("l_linenumber").alias("line_no"),
-        F.concat(F.when(order % 7 == 0, "DRAFT_").otherwise("SALES_"), st.store_id(order), F.lit("_"), year, F.lit("0101.csv")).alias("file"),
+        F.when(order % 7 == 0, "DRAFT_").otherwise("SALES_").alias("kind"),
     )
-    source = staging_path(spark, "inbox")
-    line.repartition("file").write.option("header", "true").partitionBy("file").csv(source)
-    landed = landing.land_partitioned(spark, source, staging_path(spark, "landed"), ("csv",))
-    return landed.select("year", "month", "store", "files", "lines")
+    last = line.groupBy("kind", "store", "year").agg(F.date_format(F.max("day"), "yyyyMMdd").alias("last"))
+    named = stage(line.join(last, ["kind", "store", "year"]).withColumn("file", F.concat("kind", "store", F.lit("_"), "last", F.lit(".csv"))), "named")
+    inbox, tree = staging_path(spark, "inbox"), staging_path(spark, "landed")
+    again = "store = 'S03' and year = 1995"
+    runs = []
+    for number, sent in ((1, named.where("year <= 1996")), (2, None), (3, named.where(f"year > 1996 or ({again} and flag <> 'R')")), (4, None)):
+        if sent is not None:
+            _send(spark, sent.select("file", "bill_no", "line_no"), inbox)
+        runs.append(landing.land_new(spark, inbox, tree, ("csv",)).select(F.lit(number).alias("run"), *landing.LAYOUT, "files", "lines"))
+    runs.append(landing.files_and_lines(spark.read.parquet(tree)).select(F.lit(0).alias("run"), *landing.LAYOUT, "files", "lines"))
+    return reduce(DataFrame.unionAll, runs)
+
+
+def _send(spark: SparkSession, lines: DataFrame, inbox: str) -> None:
+    """Put lines into the inbox as one CSV file for each value of ``file``, in place of an earlier one of that name."""
+    out = staging_path(spark, "sent")
+    lines.repartition("file").write.option("header", "true").partitionBy("file").csv(out)
+    jvm = spark._jvm.org.apache.hadoop.fs
+    target = jvm.Path(inbox)
+    system = target.getFileSystem(spark._jsc.hadoopConfiguration())
+    system.mkdirs(target)
+    for status in system.globStatus(jvm.Path(f"{out}/file=*/part-*.csv")):
+        place = jvm.Path(target, status.getPath().getParent().getName().removeprefix("file="))
+        system.delete(place, False)
+        system.rename(status.getPath(), place)
 
 
 def partition_filter(spark: SparkSession, sf: str) -> DataFrame:

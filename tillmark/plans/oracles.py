@@ -185,9 +185,15 @@ _WAREHOUSE = {
     UNION ALL SELECT 'kept value', CAST(sum(CAST(l_quantity * l_extendedprice AS DECIMAL(24,4))) AS DOUBLE)
     FROM texts WHERE bad_quantity IS NULL AND NOT bad_price""",
     "land_files": f"""WITH sent AS (
-      SELECT CAST(year(l_shipdate) AS INTEGER) AS year, 1 AS month, {STORE.format(key='l_orderkey')} AS store
-      FROM lineitem WHERE l_orderkey % 7 <> 0)
-    SELECT year, month, store, 1 AS files, count(*) AS lines FROM sent GROUP BY ALL""",
+      SELECT CAST(year(l_shipdate) AS INTEGER) AS year, {STORE.format(key='l_orderkey')} AS store,
+        CAST(month(max(l_shipdate)) AS INTEGER) AS month, count(*) AS all_lines,
+        count(*) FILTER (l_returnflag <> 'R') AS kept_lines
+      FROM lineitem WHERE l_orderkey % 7 <> 0 GROUP BY 1, 2),
+    marked AS (SELECT *, store = 'S03' AND year = 1995 AS again FROM sent)
+    SELECT 1 AS run, year, month, store, 1 AS files, all_lines AS lines FROM marked WHERE year <= 1996
+    UNION ALL SELECT 3, year, month, store, 1, CASE WHEN again THEN kept_lines ELSE all_lines END
+    FROM marked WHERE year > 1996 OR again
+    UNION ALL SELECT 0, year, month, store, 1, CASE WHEN again THEN kept_lines ELSE all_lines END FROM marked""",
     "partition_filter": f"""SELECT o_orderkey, {STORE.format(key='o_orderkey')} AS store, 1996 AS year, 4 AS month FROM orders
     WHERE strftime(o_orderdate, '%Y-%m') = '1996-04' AND {STORE.format(key='o_orderkey')} = 'S03'""",
     "fallback_files": """SELECT o_orderkey, o_totalprice, CAST(strftime(o_orderdate, '%Y%m') AS INTEGER) AS month,

@@ -26,19 +26,20 @@ def list_files(spark: SparkSession, root: str, pattern: str = "*.csv") -> DataFr
 
     Only the listing is read: the content column of the source is never selected.
     """
-    found = _listing(spark, root, pattern)
+    found = list_with_times(spark, root, pattern).select("path", "length")
     if found.isEmpty():
         raise FileNotFoundError(f"no {pattern} files below {root}")
     return found
 
 
-def _listing(spark: SparkSession, root: str, pattern: str) -> DataFrame:
+def list_with_times(spark: SparkSession, root: str, pattern: str) -> DataFrame:
+    """``path, length, modified`` and the ``file_path`` by which rows name their file (an escaped address)."""
     return (
         spark.read.format("binaryFile")
         .option("recursiveFileLookup", "true")
         .option("pathGlobFilter", pattern)
         .load(root)
-        .select("path", "length")
+        .select("path", "length", F.col("modificationTime").alias("modified"), F.col("_metadata.file_path").alias("file_path"))
     )
 
 
@@ -52,32 +53,92 @@ def read_spread(spark: SparkSession, path: str, key: str, *columns: str, parts:
     return df.repartition(parts, key) if parts else df
 
 
-def read_union_by_name(spark: SparkSession, root: str, pattern: str = "*.csv") -> DataFrame:
-    """All CSV files below ``root`` as text columns, matched by header name.
-
-    A column that a file lacks is NULL there.  Files are grouped by their header record, which
-    may be of any length and hold quoted line breaks, and each group is read with its own
-    schema, since one CSV scan maps columns by position.  Empty files are skipped.  Reads the
-    first record of every file on the executors (an action); paths per header are the only
-    thing that reaches the driver.
+def read_union_by_name(
+    spark: SparkSession, root: str, pattern: str = "*.csv", only: DataFrame | None = None
+) -> DataFrame:
+    """All CSV files below ``root`` as text columns, matched by header name, and ``file_path`` (an action).
+
+    A column that a file lacks is NULL there; of two columns of one name in a file the first counts.
+    Executors read the first record of each file, which may be of any length and hold quoted line
+    breaks. One scan then reads the lines of all files by position, and the files' headers, a stored
+    table, say by a join which position holds which name. The most common header needs no entry
+    there, so files of one header need no join. Distinct headers reach the driver, since the plan
+    names their columns; nothing that there is once a file does. Empty files are skipped. ``only``
+    (column ``file_path``) limits the scan to some of the files.
     """
-    found = list_files(spark, root, pattern).select("path")
     settings = {k: v for k in ("endpoint", "connection.ssl.enabled") if (v := spark.conf.get(f"fs.s3a.{k}", None))}
-    heads = found.mapInPandas(_header_reader(settings), "path string, header string")
-    groups: dict[str, list[str]] = {}
-    for row in heads.where("header is not null").orderBy("path").toLocalIterator():
-        groups.setdefault(row.header, []).append(row.path)
-    parts = []
-    for header, paths in groups.items():
-        names = json.loads(header)
-        schema = StructType([StructField(name.strip(), StringType()) for name in names])
-        reader = spark.read.schema(schema).option("header", "true")
-        if any("\n" in name or "\r" in name for name in names):
-            reader = reader.option("multiLine", "true").option("escape", '"')
-        parts.append(reader.csv(paths).withColumn("file_path", F.col("_metadata.file_path")))
-    if not parts:
+    found = list_with_times(spark, root, pattern)
+    if found.isEmpty():
+        raise FileNotFoundError(f"no {pattern} files below {root}")
+    if only is not None:
+        found = found.join(only, "file_path", "left_semi")
+    heads = stage(found.select("file_path").mapInPandas(_header_reader(settings), "file_path string, header string"), "headers")
+    kinds = [
+        (json.loads(r.header), r.header)
+        for r in heads.where("header is not null").groupBy("header").count().orderBy(F.desc("count"), "header").collect()
+    ]
+    if not kinds:
         raise FileNotFoundError(f"only empty {pattern} files below {root}")
-    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+    number = F.lit(-1)
+    for i, (_, header) in enumerate(kinds):
+        number = F.when(F.col("header") == header, i).otherwise(number)
+    numbered = heads.select("file_path", number.alias("_kind"))
+    scans = {_breaks(names) for names, _ in kinds}
+    parts = [_lines_of(spark, root, pattern, kinds, numbered, only, scan, len(scans) > 1) for scan in sorted(scans)]
+    fold = str if spark.conf.get("spark.sql.caseSensitive") == "true" else str.casefold
+    places: dict[str, tuple[str, dict[int, int]]] = {}
+    for i, (names, _) in enumerate(kinds):
+        for at, name in enumerate(n.strip() for n in names):
+            places.setdefault(fold(name), (name, {}))[1].setdefault(i, at)
+
+    def value(at: dict[int, int]) -> Column:
+        where: dict[int, list[int]] = {}
+        for kind, place in at.items():
+            where.setdefault(place, []).append(kind)
+        return F.coalesce(*[F.when(F.col("_kind").isin(ks), F.col(f"_c{place}")) for place, ks in where.items()])
+
+    columns = [value(at).alias(name) for name, at in places.values()]
+    return reduce(DataFrame.unionAll, [part.select(*columns, "file_path") for part in parts])
+
+
+def _breaks(names: list[str]) -> bool:
+    """Whether a header holds line breaks: the lines of such files may hold them too."""
+    return any("\n" in name or "\r" in name for name in names)
+
+
+def _lines_of(
+    spark: SparkSession, root: str, pattern: str, kinds: list, numbered: DataFrame, only: DataFrame | None, multiline: bool, mixed: bool
+) -> DataFrame:
+    """Lines by position and the number of their file's header (``_kind``); in a ``mixed`` tree only those of one way to scan."""
+    width = max(len(names) for names, _ in kinds)
+    reader = (
+        spark.read.schema(StructType([StructField(f"_c{i}", StringType()) for i in range(width)]))
+        .option("header", "true").option("recursiveFileLookup", "true").option("pathGlobFilter", pattern)
+    )
+    if multiline:
+        reader = reader.option("multiLine", "true").option("escape", '"')
+    lines = reader.csv(root).withColumn("file_path", F.col("_metadata.file_path"))
+    if only is not None:
+        lines = pick_files(lines, only)
+    other = numbered.where("_kind <> 0")
+    if other.isEmpty():
+        return lines.withColumn("_kind", F.lit(0))
+    lines = lines.join(other, "file_path", "left").withColumn("_kind", F.coalesce("_kind", F.lit(0)))
+    wanted = [i for i, (names, _) in enumerate(kinds) if not mixed or multiline == _breaks(names)]
+    return lines.where(F.col("_kind").isin(wanted))
+
+
+def pick_files(rows: DataFrame, names: DataFrame, listed: int = 1000, picked: bool = True) -> DataFrame:
+    """Rows whose ``file_path`` is among ``names`` (or, with ``picked=False``, is not).
+
+    Up to ``listed`` names are written into the filter, so that other files are not opened; more
+    are picked by a join.
+    """
+    few = names.select("file_path").distinct().limit(listed + 1).collect()
+    if len(few) > listed:
+        return rows.join(names.select("file_path").distinct(), "file_path", "left_semi" if picked else "left_anti")
+    inside = F.col("file_path").isin([r.file_path for r in few])
+    return rows.where(inside if picked else ~inside)
 
 
 def _header_reader(settings: dict[str, str]) -> Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]]:
@@ -96,8 +157,9 @@ def _header_reader(settings: dict[str, str]) -> Callable[[Iterator[pd.DataFrame]
         from pyarrow import fs
 
         scheme, _, rest = path.partition(":")
+        rest = unquote(rest)
         if scheme == "file":
-            source, name = fs.LocalFileSystem(), unquote("/" + rest.lstrip("/"))
+            source, name = fs.LocalFileSystem(), "/" + rest.lstrip("/")
         elif scheme in ("s3", "s3a") and settings.get("endpoint"):
             plain = settings.get("connection.ssl.enabled") == "false"
             host = settings["endpoint"].partition("://")[2] or settings["endpoint"]
@@ -112,28 +174,30 @@ def _header_reader(settings: dict[str, str]) -> Callable[[Iterator[pd.DataFrame]
 
     def read(batches):
         for batch in batches:
-            yield batch[["path"]].assign(header=batch["path"].map(first_record))
+            yield batch[["file_path"]].assign(header=batch["file_path"].map(first_record))
 
     return read
 
 
 def read_sales(
-    spark: SparkSession, root: str, formats: tuple[str, ...] = ("csv", "parquet")
+    spark: SparkSession, root: str, formats: tuple[str, ...] = ("csv", "parquet"), only: DataFrame | None = None
 ) -> DataFrame:
     """Raw sales lines of the landed files, every column text, plus ``file_path``.
 
-    ``formats=("csv",)`` leaves the Parquet days out.
+    ``formats=("csv",)`` leaves the Parquet days out; ``only`` (column ``file_path``) all files but some.
     """
     parts = []
     for suffix in formats:
-        try:
-            list_files(spark, root, f"*.{suffix}")
-        except FileNotFoundError:
+        found = list_with_times(spark, root, f"*.{suffix}")
+        if only is not None:
+            found = found.join(only, "file_path", "left_semi")
+        if found.isEmpty():
             continue
         if suffix == "csv":
-            parts.append(read_union_by_name(spark, root))
+            parts.append(read_union_by_name(spark, root, only=only))
         else:
-            parts.append(_parquet_as_text(spark, root))
+            lines = _parquet_as_text(spark, root)
+            parts.append(lines if only is None else pick_files(lines, only))
     if not parts:
         raise FileNotFoundError(f"no {'/'.join(formats)} sales files below {root}")
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
@@ -225,7 +289,7 @@ def read_with_fallback(
 
 
 def unreadable_files(spark: SparkSession, root: str, pattern: str = "*.parquet") -> DataFrame:
-    """``path`` of the Parquet files below ``root`` that cannot be decoded from their first row group to their last.
+    """``file_path`` of the Parquet files below ``root`` that cannot be decoded from their first row group to their last.
 
     Each file is opened by the task that holds its bytes; a daily file fits one task.
     """
@@ -235,16 +299,16 @@ def unreadable_files(spark: SparkSession, root: str, pattern: str = "*.parquet")
 
         for batch in batches:
             bad = []
-            for path, content in zip(batch.column("path").to_pylist(), batch.column("content")):
+            for path, content in zip(batch.column("file_path").to_pylist(), batch.column("content")):
                 try:
                     for _ in pq.ParquetFile(pa.BufferReader(content.as_buffer())).iter_batches():
                         pass
                 except (pa.ArrowException, OSError, ValueError):
                     bad.append(path)
-            yield pa.RecordBatch.from_arrays([pa.array(bad, pa.string())], ["path"])
+            yield pa.RecordBatch.from_arrays([pa.array(bad, pa.string())], ["file_path"])
 
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", pattern).load(root)
-    return files.select("path", "content").mapInArrow(broken, "path string")
+    return files.select(F.col("_metadata.file_path").alias("file_path"), "content").mapInArrow(broken, "file_path string")
 
 
 def read_files_with_fallback(spark: SparkSession, primary: str, mirror: str, schema: str, listed: int = 1000) -> DataFrame:
@@ -257,22 +321,17 @@ def read_files_with_fallback(spark: SparkSession, primary: str, mirror: str, sch
     def relative(path: Column, root: str) -> Column:
         return F.regexp_extract(path, "/" + re.escape(root.rstrip("/").rsplit("/", 1)[1]) + "/(.*)$", 1)
 
-    have = _listing(spark, primary, "*.parquet").select(relative(F.col("path"), primary).alias("name"))
-    want = _listing(spark, mirror, "*.parquet").select(relative(F.col("path"), mirror).alias("name"))
-    broken = unreadable_files(spark, primary).select(relative(F.col("path"), primary).alias("name"))
-    lost = stage(broken.union(want.join(have, "name", "left_anti")).join(want, "name", "left_semi").distinct(), "lost")
+    def names(root: str) -> DataFrame:
+        return list_with_times(spark, root, "*.parquet").select(relative(F.col("file_path"), root).alias("file_path"))
+
+    have, want = names(primary), names(mirror)
+    broken = unreadable_files(spark, primary).select(relative(F.col("file_path"), primary).alias("file_path"))
+    lost = stage(broken.union(want.join(have, "file_path", "left_anti")).join(want, "file_path", "left_semi").distinct(), "lost")
 
     def rows(root: str, from_mirror: bool) -> DataFrame:
         reader = spark.read.schema(schema).option("basePath", root).option("ignoreCorruptFiles", "true")
-        found = reader.parquet(root)
-        name = relative(F.col("_metadata.file_path"), root)
-        few = lost.limit(listed + 1).collect()
-        if len(few) <= listed:
-            picked = name.isin([r.name for r in few])
-            found = found.where(picked if from_mirror else ~picked)
-        else:
-            found = found.withColumn("_name", name).join(lost, F.col("_name") == F.col("name"), "left_semi" if from_mirror else "left_anti").drop("_name")
-        return found.withColumn("from_mirror", F.lit(from_mirror))
+        found = reader.parquet(root).withColumn("file_path", relative(F.col("_metadata.file_path"), root))
+        return pick_files(found, lost, listed, from_mirror).drop("file_path").withColumn("from_mirror", F.lit(from_mirror))
 
     return rows(primary, False).unionByName(rows(mirror, True))
 
