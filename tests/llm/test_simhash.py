@@ -3,6 +3,7 @@ from collections import Counter
 from itertools import combinations
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import xxhash
 from support import documents, odd_rows, prose
@@ -120,3 +121,42 @@ def test_null_keys_and_empty_tables(spark):
     assert s.keep_one(documents(spark, [])).collect() == []
     with pytest.raises(ValueError):
         s.links(spark.createDataFrame([], "print long"), 4)
+
+
+def one_key(n, seed):
+    """Fingerprints whose first two segments are the codeword 0."""
+    rng = np.random.default_rng(seed)
+    return rng.choice(1 << 21, n, replace=False).astype(np.uint64) << np.uint64(43)
+
+
+def test_a_hot_key_is_handed_on_in_blocks():
+    prints = np.sort(one_key(50_000, 1).view(np.int64))
+    batches = [pa.record_batch({"key": np.full(5_000, 7), "print": prints[i : i + 5_000]}) for i in range(0, 50_000, 5_000)]
+    batches.append(pa.record_batch({"key": [7, 8, 8], "print": [1, 1, 3]}))
+    made = list(s._meet(batches, 3, 4096))
+    late = [m for m in made if (m["block"] >= 0).all()]
+    assert max(len(m["a"]) for m in late) <= 5_000 and np.concatenate([m["a"] for m in late]).tolist() == [*prints.tolist(), 1]
+    blocks = np.concatenate([m["block"] for m in late])
+    assert np.bincount(blocks).max() == 4096 and (np.diff(blocks) >= 0).all()
+    rest = [m for m in made if (m["block"] < 0).all()]
+    assert [(a, b) for m in rest for a, b in zip(m["a"].tolist(), m["b"].tolist())] == [(1, 3)]
+
+
+@pytest.mark.parametrize("n, hot, rows", [(1_500, 100, 200), (12_000, 1_024, 2_000)])
+def test_components_of_a_hot_key(spark, n, hot, rows):
+    prints = one_key(n, 2)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", rows)
+    try:
+        df = spark.createDataFrame([(p,) for p in prints.view(np.int64).tolist()], "print long")
+        got = {r.node: r.label for r in components(s.links(df, hot=hot)).collect()}
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    a, b = s._forest(prints, 3)
+    low = list(range(n))
+    for i, j in zip(a, b):  # each fingerprint is reached once, from one that was reached before
+        low[j] = low[i]
+    groups = {}
+    for i, p in enumerate(prints.view(np.int64).tolist()):
+        groups.setdefault(low[i], []).append(p)
+    want = {p: min(g) for g in groups.values() if len(g) > 1 for p in g}
+    assert got == want

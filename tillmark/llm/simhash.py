@@ -126,9 +126,15 @@ def _forest(prints: np.ndarray, bits: int) -> tuple[list[int], list[int]]:
     return a, b
 
 
-def _meet(batches: Batches, bits: int) -> Iterator[dict]:
-    """Links among rows sorted by key; a key's rows may reach over batches."""
-    kept_key, kept = np.zeros(0, np.int64), np.zeros(0, np.int64)
+def _meet(batches: Batches, bits: int, hot: int | None = None) -> Iterator[dict]:
+    """Links among rows sorted by key; a key's rows may reach over batches.
+
+    The rows of a key that has more than ``hot`` and goes on over batches are handed on instead, in
+    numbered blocks of ``hot`` (``a`` is the fingerprint, ``block`` its number): no task holds such a key.
+    """
+    none = np.zeros(0, np.int64)
+    kept_key, kept = none, none
+    passed, sent = -1, 0  # the key that is handed on, and how many of its rows have been
 
     def links(key: np.ndarray, prints: np.ndarray) -> dict:
         found = prints.view(np.uint64)
@@ -143,17 +149,34 @@ def _meet(batches: Batches, bits: int) -> Iterator[dict]:
             if i:
                 a.append(own[i])
                 b.append(own[j])
-        return {"a": np.concatenate(a).view(np.int64), "b": np.concatenate(b).view(np.int64)}
+        one = np.concatenate(a).view(np.int64)
+        return {"a": one, "b": np.concatenate(b).view(np.int64), "key": np.zeros(len(one), np.int64), "block": np.full(len(one), -1)}
+
+    def later(key: int, prints: np.ndarray, before: int) -> dict:
+        blocks = (before + np.arange(len(prints))) // hot
+        return {"a": prints, "b": prints, "key": np.full(len(prints), key), "block": blocks}
 
     for batch in batches:
-        key = np.concatenate([kept_key, batch.column("key").to_numpy()])
-        prints = np.concatenate([kept, batch.column("print").to_numpy()])
+        key, prints = batch.column("key").to_numpy(), batch.column("print").to_numpy()
+        if sent:
+            cut = int(np.searchsorted(key, passed, "right"))
+            if cut:
+                yield later(passed, prints[:cut], sent)
+                sent += cut
+            key, prints = key[cut:], prints[cut:]
+            if len(key):
+                sent = 0
+        key, prints = np.concatenate([kept_key, key]), np.concatenate([kept, prints])
         if not len(key):
             continue
         cut = int(np.searchsorted(key, key[-1]))  # the last key may go on
         kept_key, kept = key[cut:], prints[cut:]
         if cut:
             yield links(key[:cut], prints[:cut])
+        if hot and len(kept) > hot:
+            passed, sent = int(kept_key[0]), len(kept)
+            yield later(passed, kept, 0)
+            kept_key, kept = none, none
     if len(kept_key):
         yield links(kept_key, kept)
 
@@ -173,8 +196,13 @@ def fingerprints(docs: DataFrame, length: int = 3, key: str = "doc_id", text: st
     return map_batches(slim, work, f"key {kind}, text_hash long, print long")
 
 
-def links(prints: DataFrame, bits: int = MOST) -> DataFrame:
-    """``a, b``: links among distinct fingerprints (column ``print``), enough to connect all that lie within ``bits``."""
+def links(prints: DataFrame, bits: int = MOST, hot: int = 4096) -> DataFrame:
+    """``a, b``: links among distinct fingerprints (column ``print``), enough to connect all that lie within ``bits`` (an action).
+
+    A task compares the fingerprints of its keys as they arrive. What it cannot hold, a key of more
+    than ``hot`` that fills batches, is dealt in blocks of ``hot`` into squares of two blocks, so any
+    two meet in one square and no task holds more than two blocks of it.
+    """
     if not 0 <= bits <= MOST:
         raise ValueError(f"the keys hold for 0 to {MOST} bits")
 
@@ -186,8 +214,19 @@ def links(prints: DataFrame, bits: int = MOST) -> DataFrame:
                 yield {"key": key, "print": own[at : at + 2048][row]}
 
     keyed = map_batches(prints.select("print"), spread, "key long, print long")
-    met = keyed.repartition("key").sortWithinPartitions("key", "print")
-    return map_batches(met, lambda batches: _meet(batches, bits), "a long, b long").distinct()
+    kind = "a long, b long, key long, block long"
+
+    def meet(rows: DataFrame, hot: int | None) -> DataFrame:
+        return map_batches(rows.repartition("key").sortWithinPartitions("key", "print"), lambda batches: _meet(batches, bits, hot), kind)
+
+    met = stage(meet(keyed, hot), "met")
+    found, late = met.where("block < 0").select("a", "b"), met.where("block >= 0").select("key", "block", F.col("a").alias("print"))
+    if not late.isEmpty():
+        last = late.groupBy("key").agg(F.max("block").alias("last"))
+        dealt = late.join(last, "key").withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), "last"))).where("other <> block")
+        square = F.xxhash64("key", F.least("block", "other"), F.greatest("block", "other"))
+        found = found.union(meet(dealt.select(square.alias("key"), "print"), None).select("a", "b"))
+    return found.distinct()
 
 
 def near_duplicates(
@@ -197,7 +236,8 @@ def near_duplicates(
 
     ``component`` is the smallest key among the rows that links reach, the row's own included;
     ``label`` names the group and is never NULL. Equal fingerprints are folded before the join,
-    so copies cost nothing, and a key's fingerprints give a forest instead of all pairs. Texts
+    so copies cost nothing, and a key's fingerprints give a forest instead of all pairs; the
+    fingerprints of a hot key are compared in blocks, in many tasks. Texts
     without words, NULL among them, have fingerprint 0 and link like others. Rows with a NULL
     key belong to groups but never name one; a group of such rows has a NULL component. Repeated
     rows stay as many as they are, an empty table gives none. Other columns are not read.
