@@ -1,10 +1,9 @@
 import hashlib
-import re
 
 import pytest
 from hypothesis import given, settings, strategies as st
 
-from tillmark.llm import chat as s
+from tillmark.llm import bpe, chat as s
 from tillmark.llm.chat import Budget
 
 SCHEMA = "conv_id long, turn long, role string, text string, segment string, nth int"
@@ -26,8 +25,8 @@ def brute(rows):
     }
 
 
-def size(text, frame):
-    return len(re.findall(r"[^\W_]+|[^\s\w]|_", text)) + frame
+def size(formatted):
+    return len(bpe.encoder(bpe.vocabulary()).library.encode(formatted, add_special_tokens=False).ids)
 
 
 def conversations():
@@ -61,11 +60,11 @@ def test_windows_keep_budget_system_turn_and_history(spark):
     at = 0
     for w in made:
         turns = s.read_window(w.formatted)
-        assert w.first == at and sum(size(t, budget.frame) for _, t in turns) <= budget.window
+        assert w.first == at and size(w.formatted) <= budget.window
         assert turns[0][0] == "system"
         if at:
             again = turns[1 : w.repeated]
-            assert sum(size(t, budget.frame) for _, t in again) <= budget.history
+            assert sum(size("".join(s.written(r, t))) for r, t in again) <= budget.history
             assert [t.split("<s>")[-1] for _, t in again] == [str(x) for x in range(at - len(again), at)]
         new = turns[w.repeated :]
         assert len(w.loss) == sum(r == "assistant" for r, _ in new)
@@ -74,6 +73,25 @@ def test_windows_keep_budget_system_turn_and_history(spark):
     assert at == 400 and any(w.repeated > 1 for w in made)
 
 
+def test_budget_counts_real_tokens(spark):
+    unbroken = [(1, i, "user", "q" * 900 + f"x{i}") for i in range(8)]
+    chinese = [(2, i, "assistant", "訓練資料需要" * 40 + str(i)) for i in range(8)]
+    links = [(3, i, "user", f"https://example.org/{i}/" + "aGVsbG8/d29ybGQ=" * 30) for i in range(8)]
+    alone = [(4, i, "user", "z" * 200_000) for i in range(2)]
+    made = s.format_windows(table(spark, unbroken + chinese + links + alone)).collect()
+    by_conversation = {c: [w for w in made if w.conv_id == c] for c in (1, 2, 3, 4)}
+    for c in (1, 2, 3):
+        assert len(by_conversation[c]) > 1 and all(size(w.formatted) <= 1024 for w in by_conversation[c])
+    assert [len(s.read_window(w.formatted)) for w in by_conversation[4]] == [1, 1]  # too long alone: never cut, never together
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.tuples(st.sampled_from(["user", "a<s>", ""]), st.lists(st.sampled_from(PIECES), max_size=8).map("".join)), max_size=5))
+def test_a_window_has_at_most_the_tokens_of_its_turns(turns):
+    parts = ["".join(s.written(r, t)) for r, t in turns]
+    assert size("".join(parts)) <= sum(map(size, parts))
+
+
 def test_query_adds_the_hostile_conversation(spark, tmp_path):
     table(spark, conversations()).select("conv_id", "turn", "role", "text").write.parquet(str(tmp_path / "conversations.parquet"))
     got = {r.conv_id: tuple(r[1:5]) for r in s.op1_budgeted_windows(spark, str(tmp_path)).collect()}

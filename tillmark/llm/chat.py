@@ -18,9 +18,11 @@ from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
 import numpy as np
-from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
+from tillmark.llm.bpe import encoder, vocabulary
 from tillmark.llm.common import Batches, map_batches, table
+from tillmark.staging import stage
 
 OPEN, ROLE, TEXT, CLOSE = "<s>", "[INST]", "[/INST]", "</s>"
 _BARE = re.compile(r"([<\[])(\\*)(?=/?(?:s>|INST\]))")
@@ -40,13 +42,12 @@ def unescape(text: str) -> str:
 class Budget:
     """Tokens of a window, of its repeated history, and of a segment, the stretch of windows one task makes.
 
-    A turn counts its words and marks and ``frame`` tokens for the template.
+    A turn counts the tokens of what is written for it: its control strings, role and escaped text.
     """
 
     window: int = 1024
     history: int = 256
     segment: int = 65536
-    frame: int = 6
     block: int = 1024
 
     def __post_init__(self):
@@ -54,9 +55,27 @@ class Budget:
             raise ValueError("0 <= history < window <= segment")
 
 
-def tokens(text: Column, frame: int) -> Column:
-    """Token count of a turn: runs of letters and digits, single marks, and the frame."""
-    return (F.regexp_count(text, F.lit(r"[\p{L}\p{N}]+|[^\s\p{L}\p{N}]")) + F.lit(frame)).cast("long")
+def written(role: str, text: str) -> tuple[str, str, str]:
+    """What a window holds for a turn: the opening with the role, the escaped text, the end."""
+    return OPEN + ROLE + escape(role) + TEXT, escape(text), CLOSE
+
+
+def measured(rows: DataFrame, path: str) -> DataFrame:
+    """``conv_id, turn, role, text`` with ``size``, the BPE tokens of the written turn by the vocabulary at ``path``.
+
+    Words end at the borders of turns at the latest, so a window has at most the sum of its turns' tokens.
+    """
+    names = rows.columns
+    kinds = ", ".join(f"{c} {rows.schema[c].dataType.simpleString()}" for c in names)
+
+    def work(batches: Batches) -> Iterator[dict]:
+        coder = encoder(path)
+        for batch in batches:
+            every = zip(batch.column("role").to_pylist(), batch.column("text").to_pylist(), strict=True)
+            sizes = [len(ids) for ids in coder.encode("".join(written(*x)) for x in every)]
+            yield {c: batch.column(c) for c in names} | {"size": sizes}
+
+    return map_batches(rows, work, f"{kinds}, size long")
 
 
 def spans(sizes: Sequence[int], before: Sequence[int], system: int, budget: Budget) -> list[tuple[int, int, int]]:
@@ -81,15 +100,15 @@ def spans(sizes: Sequence[int], before: Sequence[int], system: int, budget: Budg
     return out
 
 
-def turns(df: DataFrame, budget: Budget) -> DataFrame:
-    """Turns of conversations in order, with the tokens before each and their segment.
+def turns(df: DataFrame, budget: Budget, path: str) -> DataFrame:
+    """Turns of conversations in order, with the tokens before each and their segment (an action).
 
     Prefix sums run in two levels: inside blocks of turn numbers and over the blocks' sums, so
     a long conversation spreads over tasks. Within a turn number rows are ordered by role and text.
     """
     role, text = (F.coalesce(F.col(c).cast("string"), F.lit("")) for c in ("role", "text"))
     rows = df.select("conv_id", F.col("turn").cast("long").alias("turn"), role.alias("role"), text.alias("text"))
-    rows = rows.withColumn("size", tokens(F.col("text"), budget.frame))
+    rows = stage(measured(rows, path), "turns")  # read several times, encoded once
     rows = rows.withColumn("block", F.coalesce(F.floor(F.col("turn") / F.lit(budget.block)), F.lit(-(1 << 62))))
     in_order = [F.col("turn").asc_nulls_first(), "role", "text"]
     own = Window.partitionBy("conv_id", "block").orderBy(*in_order)
@@ -128,12 +147,11 @@ def _assemble(rows: list[dict], system: dict | None, segment: int, budget: Budge
         repeated = len(shown) - (end - at)
         out, loss, length = [], [], 0
         for i, row in enumerate(shown):
-            head = OPEN + ROLE + escape(row["role"]) + TEXT
-            body = escape(row["text"])
+            head, body, end_of_turn = written(row["role"], row["text"])
             if i >= repeated and row["role"] == "assistant":
                 loss.append({"start": length + len(head), "stop": length + len(head) + len(body)})
-            out += [head, body, CLOSE]
-            length += len(head) + len(body) + len(CLOSE)
+            out += [head, body, end_of_turn]
+            length += len(head) + len(body) + len(end_of_turn)
         yield {"segment": segment, "first": every[at]["nth"], "formatted": "".join(out), "repeated": repeated, "loss": loss}
 
 
@@ -145,8 +163,10 @@ def _groups(batches: Batches, by: tuple[str, ...]) -> Iterator[tuple[tuple, Iter
     return groupby(rows, key=lambda r: tuple(r[c] for c in by))
 
 
-def format_windows(df: DataFrame, budget: Budget = Budget()) -> DataFrame:
-    """Windows of all conversations: ``conv_id, segment, first, formatted, repeated, loss``.
+def format_windows(df: DataFrame, budget: Budget = Budget(), path: str | None = None) -> DataFrame:
+    """Windows of all conversations: ``conv_id, segment, first, formatted, repeated, loss`` (an action).
+
+    Tokens are those of the BPE vocabulary at ``path``, by default the public one of ``bpe``.
 
     ``first`` is the number of the first new turn, ``repeated`` how many turns at the head are
     the system turn or history, ``loss`` the code-point ranges of ``formatted`` that bear loss.
@@ -157,7 +177,7 @@ def format_windows(df: DataFrame, budget: Budget = Budget()) -> DataFrame:
     ``budget.segment`` tokens, so that tasks hold a bounded stretch of a conversation; the turns
     its successor repeats are sent to both. Extra columns are not read; no rows give no rows.
     """
-    ordered = turns(df, budget)
+    ordered = turns(df, budget, path or vocabulary())
     reach = F.floor((F.col("start") + F.col("size") + F.lit(budget.history)) / F.lit(budget.segment))
     reach = F.when(F.col("size") <= F.lit(budget.history), reach).otherwise(F.col("segment"))  # longer ones are not repeated
     sent = ordered.withColumn("to", F.explode(F.sequence("segment", F.greatest("segment", reach))))
