@@ -94,6 +94,26 @@ def test_pieces_of_documents(spark, chunk):
     assert len(by_sequence) <= total / 2048 + 5
 
 
+def test_loss_column_binds(spark):
+    rows = [(i, prose(i, 60), None, None, loss) for i, loss in enumerate([30, 0, None, 500, -3] * 30)]
+    rows.append((150, prose(150, 3000), None, None, 900))
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, bears long").coalesce(1)
+    limits = Limits(tokens=2048, loss=256)
+    got = packing.pack(docs, bpe.vocabulary(), limits, loss="bears").collect()
+    sizes = {r.doc_id: r.doc_tokens for r in got}
+    by_doc, by_sequence = defaultdict(int), defaultdict(lambda: [0, 0])
+    for r in got:
+        by_doc[r.doc_id] += r.loss_tokens
+        by_sequence[r.sequence_id][0] += r.length
+        by_sequence[r.sequence_id][1] += r.loss_tokens
+    assert by_doc == {i: min(max(sizes[i] if loss is None else loss, 0), sizes[i]) for i, _, _, _, loss in rows}
+    assert all(tokens <= 2048 and loss <= 256 for tokens, loss in by_sequence.values())
+    assert sum(loss == 256 for _, loss in by_sequence.values()) > 5  # full by loss, not by tokens
+    free = packing.pack(docs, bpe.vocabulary(), loss="bears").select("sequence_id").distinct().count()
+    assert len(by_sequence) > free
+    assert "loss_tokens" not in packing.pack(docs, bpe.vocabulary()).columns
+
+
 def test_repeated_rows_and_empty_table(spark):
     got = packing.pack(documents(spark, odd_rows()), bpe.vocabulary()).collect()
     assert sum(r.start == 0 for r in got) == len(odd_rows())

@@ -127,6 +127,7 @@ class Packer:
         return None
 
 
+#: With a column of loss, ``loss_tokens long`` as well.
 PIECES = "start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
 
 
@@ -151,6 +152,7 @@ def _work(batches: Batches, path: str, limits: Limits, end: int, chunk: int) ->
                 out["doc_tokens"].append(len(own))
                 out["sequence_id"].append(sequence)
                 out["offset"].append(offset)
+                out["loss_tokens"].append(p.loss)
                 offset += p.length
             sequence += 1
         if out:
@@ -163,9 +165,11 @@ def _work(batches: Batches, path: str, limits: Limits, end: int, chunk: int) ->
             del ids[owner], keys[owner]
 
     for batch in batches:
-        for key, own in zip(batch.column("key").to_pylist(), coder.encode(batch.column("text").to_pylist()), strict=True):
-            ids[number], keys[number] = np.append(own, np.array([end], own.dtype)), key
-            yield from emit(packer.add(Piece(number, 0, len(own) + 1, len(own) + 1)))
+        key, text, loss = (batch.column(c).to_pylist() for c in ("key", "text", "loss"))
+        for name, own, bearing in zip(key, coder.encode(text), loss, strict=True):
+            ids[number], keys[number] = np.append(own, np.array([end], own.dtype)), name
+            size = len(own) + 1
+            yield from emit(packer.add(Piece(number, 0, size, size if bearing is None else min(max(bearing, 0), size))))
             number += 1
             if packer.tokens >= chunk or len(ids) >= chunk >> 4:
                 yield from flush(False)
@@ -173,21 +177,25 @@ def _work(batches: Batches, path: str, limits: Limits, end: int, chunk: int) ->
 
 
 def pack(
-    docs: DataFrame, path: str, limits: Limits = Limits(), key: str = "doc_id", text: str = "text", end: int = 1, chunk: int = 1 << 21
+    docs: DataFrame, path: str, limits: Limits = Limits(), key: str = "doc_id", text: str = "text", end: int = 1, chunk: int = 1 << 21,
+    loss: str | None = None,
 ) -> DataFrame:
     """Pieces of all texts in sequences within the limits; columns ``key`` and ``PIECES``.
 
-    A text is its ids and ``end``; all its tokens bear loss. NULL and empty texts are ``end``
+    A text is its ids and ``end``. The column ``loss`` says how many tokens at its end bear loss, as in
+    instruction data: all where it is NULL or no column is named, none below 0, all beyond the text's
+    number. With it the pieces have ``loss_tokens`` too. NULL and empty texts are ``end``
     alone. A text longer than a sequence fills whole ones, the rest is packed, and a sequence
     that nothing fits any more is filled up with the head of a longer piece. Each task packs
     the rows it scans, about ``chunk`` tokens at a time, and hands a last short sequence on to
     the next chunk: no shuffle, bounded memory, one short sequence a task. Sequence ids hold
     the number of the task. Equal rows and NULL keys are packed row by row; an empty table
-    gives no rows. Only ``key`` and ``text`` are read.
+    gives no rows. Only ``key``, ``text`` and ``loss`` are read.
     """
-    slim = docs.select(F.col(f"`{key}`").alias("key"), F.col(f"`{text}`").cast("string").alias("text"))
-    kind = slim.schema["key"].dataType.simpleString()
-    made = map_batches(slim, lambda batches: _work(batches, path, limits, end, chunk), f"key {kind}, {PIECES}")
+    bearing = F.col(f"`{loss}`") if loss else F.lit(None)
+    slim = docs.select(F.col(f"`{key}`").alias("key"), F.col(f"`{text}`").cast("string").alias("text"), bearing.cast("long").alias("loss"))
+    columns = f"key {slim.schema['key'].dataType.simpleString()}, {PIECES}" + (", loss_tokens long" if loss else "")
+    made = map_batches(slim, lambda batches: _work(batches, path, limits, end, chunk), columns)
     return made.withColumnRenamed("key", key)
 
 
