@@ -1,3 +1,4 @@
+import math
 import re
 from collections import Counter
 
@@ -88,6 +89,77 @@ def test_common_words_of_any_script_and_length_count(spark):
     assert q.judge(salad, "ru", q.References({"ru": known["ru"]}))[6] is False
 
 
+def test_text_under_a_wrong_tag_goes(spark):
+    usual = {"de": ["zwischen", "dergleichen", "und"], "ru": ["который", "только", "нельзя"]}
+    rows = [(plain(i, usual[lang]), lang) for lang in usual for i in range(30)]
+    known = q.references(tagged(spark, rows))
+    told = [("de", "de"), ("de", "ru"), ("ru", "de"), ("ru", "ru"), ("de", "dee"), ("ru", None)]
+    more = tagged(spark, [(plain(500 + i, usual[of]), tag) for i, (of, tag) in enumerate(told)])
+    kept = {r.doc_id: r.kept for r in q.quality(more, known).collect()}
+    assert [kept[i] for i in range(len(told))] == [True, False, False, True, True, True]
+
+
+def entropy(p):
+    return -sum(x * math.log2(x) for x in p if x > 0)
+
+
+def verdict(text, lang, known, limits):
+    """The verdict recomputed word by word and character by character, without numpy."""
+    n, *_, failed = brute(text)
+    if failed or not n:
+        return not failed
+    found = [w.encode() for w in WORD.findall(text)]
+
+    def against(name):
+        classes, usual = known[name]
+        seen = Counter()
+        for w in found:
+            bare = w[:-1] if w[-1:] in (b".", b",", b";", b":", b"!", b"?") else w
+            for u in usual:
+                if w == u or bare in (u, u.capitalize(), u.upper()):
+                    seen[u] += 1
+        p = [seen[u] / n for u in usual]
+        p.append(1 - sum(p))
+        r = [*usual.values()]
+        r.append(1 - sum(r))
+        apart = entropy([(x + y) / 2 for x, y in zip(p, r)]) - (entropy(p) + entropy(r)) / 2
+        kinds = Counter(int(q._class_of()[ord(c)]) for c in text)
+        c = [kinds[k] / len(text) for k in range(len(q.CLASSES))]
+        chars = entropy([(x + y) / 2 for x, y in zip(c, classes)]) - (entropy(c) + entropy(classes)) / 2
+        return max(0.0, apart), max(0.0, chars), sum(p[:-1]), sum(r[:-1])
+
+    apart, chars, share, usual = against(lang) if lang in known else min(against(name) for name in known)
+    low = limits.scant * usual
+    few = share < low and n * ((1 - share) * math.log((1 - share) / (1 - low)) + (share * math.log(share / low) if share else 0)) > -math.log(limits.chance)
+    by_words = n >= limits.min_words and (few or apart > limits.word_divergence + limits.word_slack / n)
+    by_chars = len(text) >= limits.min_chars and chars > limits.char_divergence + limits.char_slack / len(text)
+    return not (by_words or by_chars)
+
+
+def test_verdict_equals_a_plain_recomputation(spark):
+    usual = {"de": ["zwischen", "dergleichen", "und"], "ru": ["который", "только", "нельзя"], "en": ["the", "of", "is"]}
+    rows = [(plain(i, usual[lang]), lang) for lang in usual for i in range(25)]
+    known = q.references(tagged(spark, rows))
+    rng = np.random.default_rng(3)
+    texts = []
+    for i in range(300):
+        lang = ["de", "ru", "en"][i % 3]
+        text = plain(1000 + i, usual[lang], int(rng.integers(8, 300))).split()
+        for at in range(len(text)):  # from clean texts to junk
+            if rng.random() < (i % 10) / 12:
+                text[at] = str(rng.choice(["Und,", "THE", "the.", "|%$", "4711", "QX", "Zwischen!", "word"]))
+        texts.append((" ".join(text), [lang, lang, "en", None, "xx"][i % 5]))
+    got = {r.doc_id: r.kept for r in q.quality(tagged(spark, texts), known).collect()}
+    expected = {i: verdict(t, lang, known, q.Limits()) for i, (t, lang) in enumerate(texts)}
+    assert got == expected and 50 < sum(got.values()) < 250
+
+
+def test_registered_query(spark, tmp_path):
+    tagged(spark, [(plain(i, ["the", "of"]), "en") for i in range(25)] + [("", "en"), ("", None)]).write.parquet(str(tmp_path / "documents.parquet"))
+    got = q.op8_quality_rules(spark, str(tmp_path)).collect()
+    assert sorted(r.doc_id for r in got if r.kept) == list(range(25)) and len(got) == 27
+
+
 @pytest.mark.parametrize("n", [40, 60, 100, 1000])
 @pytest.mark.parametrize("share", [0.36, 0.1])
 def test_text_without_common_words_goes_as_soon_as_chance_allows(n, share):

@@ -1,8 +1,9 @@
 """Quality rules: base statistics of a text and its divergence from language references.
 
 The references come from the corpus: for each language the mean, over its documents, of the
-histogram of character classes and of the most common words. A document is compared
-with every reference by Jensen-Shannon divergence (base 2, 0 to 1); the nearest counts.
+histogram of character classes and of the most common words. A document is compared with
+that of its own language by Jensen-Shannon divergence (base 2, 0 to 1); where its language has
+none, the nearest of all counts.
 """
 
 from __future__ import annotations
@@ -178,6 +179,7 @@ class References:
 
     def __init__(self, known: dict):
         self.languages = list(known)
+        self.number = {lang: i for i, lang in enumerate(self.languages)}
         place: dict[bytes, int] = {}
         self.spelled: dict[bytes, int] = {}
         for _, usual in known.values():
@@ -196,16 +198,19 @@ class References:
         self.usual = self.words.sum(axis=1)
         self.size = len(place)
 
-    def apart(self, found: Sequence[bytes], classes: np.ndarray) -> tuple[float, float, float, float]:
-        """Divergence of the characters and of the words from the reference whose words are nearest,
-        and the share of its common words in the text and in the reference."""
+    def apart(self, found: Sequence[bytes], classes: np.ndarray, lang: str | None = None) -> tuple[float, float, float, float]:
+        """Divergence of the characters and of the words from the reference of ``lang`` or, if there is
+        none, from that whose words are nearest, and the share of its common words in the text and in it."""
         places = np.fromiter(map(self.spelled.get, found, repeat(self.size)), np.int64, len(found))
         counts = np.bincount(places, minlength=self.size + 1)[: self.size + 1].astype(float)
         counts[self.size] = 0
-        by_words = divergence(_with_rest(counts[self.places] / len(found)), _with_rest(self.words))
-        best = int(by_words.argmin())
+        own = self.number.get(lang)
+        some = slice(None) if own is None else slice(own, own + 1)
+        by_words = divergence(_with_rest(counts[self.places[some]] / len(found)), _with_rest(self.words[some]))
+        near = int(by_words.argmin())
+        best = near if own is None else own
         chars = float(divergence(classes / classes.sum(), self.classes[best]))
-        return chars, float(by_words[best]), float(counts[self.places[best]].sum() / len(found)), float(self.usual[best])
+        return chars, float(by_words[near]), float(counts[self.places[best]].sum() / len(found)), float(self.usual[best])
 
 
 def too_few(n: int, share: float, usual: float, limits: Limits) -> bool:
@@ -226,7 +231,8 @@ STATISTICS = (
 def judge(text: str | None, lang: str | None, known: References, limits: Limits = Limits()) -> tuple:
     """The columns ``STATISTICS`` of one text; no text counts as an empty one.
 
-    The nearest reference counts whatever ``lang`` says: a rare or mistyped one exempts nothing.
+    The reference of ``lang`` counts, so a text in another language than its tag fails. Without one,
+    the tag being NULL, rare or mistyped, the nearest of all counts: such a tag exempts nothing.
     """
     text = text or ""
     found = words(text)
@@ -235,7 +241,7 @@ def judge(text: str | None, lang: str | None, known: References, limits: Limits
     chars = apart = None
     kept = not failed
     if n and known.languages:
-        chars, apart, share, usual = known.apart(found, classes)
+        chars, apart, share, usual = known.apart(found, classes, lang)
         if n >= limits.min_words and too_few(n, share, usual, limits):
             kept = False
         if n >= limits.min_words and apart > limits.word_divergence + limits.word_slack / n:
@@ -248,8 +254,8 @@ def judge(text: str | None, lang: str | None, known: References, limits: Limits
 def quality(docs: DataFrame, known: dict, limits: Limits = Limits(), carry: Sequence[str] = ("doc_id",)) -> DataFrame:
     """``carry`` columns and ``STATISTICS`` of every row, one pass over the whole texts without shuffle.
 
-    NULL and empty texts have no words and fail. Texts of any language, or none, are judged by
-    the nearest reference; the base rules decide alone only where ``known`` is empty. ``carry``
+    NULL and empty texts have no words and fail. Texts are judged by the reference of their
+    language, texts of a language without one, or of none, by the nearest; the base rules decide alone only where ``known`` is empty. ``carry``
     may name any columns but those in ``STATISTICS``; equal rows stay as many as they are.
     """
     names = [f.split()[0] for f in STATISTICS.split(", ")]
