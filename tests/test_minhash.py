@@ -1,6 +1,8 @@
 import hashlib
 import random
 
+import pyarrow as pa
+import pyarrow.compute as pc
 import pytest
 from pyspark.sql import functions as F
 
@@ -113,3 +115,29 @@ def test_similarity_is_symmetric_and_codes_equal_strings(spark):
     by_code = sorted(map(tuple, sim.jaccard_pairs(pairs, sim.gram_sets(notices)).collect()))
     assert by_string == by_code
     assert by_string[0][2] == by_string[2][2]
+
+
+def test_batches_are_worked_on_in_bounded_pieces(spark, notices, monkeypatch):
+    """Whatever a batch holds, a piece of it is bounded, and no result depends on the cut."""
+    seen = []
+
+    def lengths(piece):
+        seen.append(pc.sum(pc.binary_length(piece)).as_py() or 0)
+        return pc.binary_length(piece)
+
+    batch = pa.array(["abc" * 30, None, "", "x" * 500, *["word " * n for n in range(40)]])
+    monkeypatch.setattr(H, "PIECE", 100)
+    monkeypatch.setattr(H, "KNOWN", 50)
+    assert H.piecewise(lengths)(batch).equals(pc.binary_length(batch))
+    longest = pc.max(pc.binary_length(batch)).as_py()
+    assert len(seen) > 5 and max(seen) == longest and sum(n > 100 for n in seen) == pc.sum(pc.greater(pc.binary_length(batch), 100)).as_py()
+
+    together = notices.coalesce(1)
+    signed = {r.notice_id: r.signature for r in sim.signatures(together, 16).collect()}
+    totals = {r.notice_id: (r.t.trigrams, r.t.hash_sum) for r in together.select("notice_id", H.gram_totals(F.col("body")).alias("t")).collect()}
+    for row in notices.collect():
+        grams = windows(row.body)
+        assert signed[row.notice_id] == plain_signature(grams, 16)
+        assert totals[row.notice_id] == (len(grams), sum(map(plain_base, grams)))
+    for row in sim.set_table(together).collect():
+        assert row.size == len(row.grams) == totals[row.notice_id][0]

@@ -6,6 +6,7 @@ from hashlib import md5
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, functions as F
 
 # Fixed values of the hash family  h_i(x) = ((i + 1) * x + 137 * i) mod (2^31 - 1).
@@ -21,6 +22,11 @@ LOW = (1 << BITS) - 1
 # Tokens worked on together: small enough for the processor cache.
 TILE = 32_768
 
+# Bytes of text worked on together, which bounds a task's memory whatever the size of its batches,
+# and trigrams whose hashes are kept from one such piece of a batch to the next.
+PIECE = 1 << 21
+KNOWN = 1 << 20
+
 
 def base_hashes(grams: Column) -> Column:
     """First eight hex digits of each trigram's MD5 as a number."""
@@ -46,6 +52,52 @@ def set_reader():
     return read
 
 
+def piecewise(work):
+    """Function that applies ``work`` to slices of a batch of at most ``PIECE`` bytes, a longer text alone."""
+    limit = PIECE
+
+    def whole(batch):
+        sizes = pc.fill_null(pc.binary_length(batch), 0)
+        ends = np.cumsum(sizes.to_numpy(zero_copy_only=False).astype(np.int64))
+        made, low = [], 0
+        while low < len(batch):
+            high = max(low + 1, int(np.searchsorted(ends, (ends[low - 1] if low else 0) + limit, side="right")))
+            made.append(work(batch.slice(low, high - low)))
+            low = high
+        return pa.concat_arrays(made) if made else work(batch)
+
+    return whole
+
+
+def gram_hasher():
+    """Function that gives the MD5 base hash of each of some distinct packed trigrams.
+
+    Hashes are kept between calls, up to ``KNOWN`` of them, so that a batch worked on in pieces hashes
+    a trigram about as rarely as one worked on as a whole.
+    """
+    most, low, shift = KNOWN, LOW, BITS
+    kept = [np.empty(0, np.int64), np.empty(0, np.int64)]
+
+    def hashes(codes):
+        known, bases = kept
+        at = np.searchsorted(known, codes)
+        there = at < len(known)
+        there[there] = known[at[there]] == codes[there]
+        new = codes[~there]
+        words = (chr(c >> 2 * shift) + chr(c >> shift & low) + chr(c & low) for c in new.tolist())
+        made = np.array([int.from_bytes(md5(word.encode()).digest()[:4], "big") for word in words], np.int64)
+        result = np.empty(len(codes), np.int64)
+        result[there] = bases[at[there]]
+        result[~there] = made
+        if len(known) + len(new) > most:
+            kept[:] = codes, result
+        elif len(new):
+            kept[:] = np.insert(known, at[~there], new), np.insert(bases, at[~there], made)
+        return result
+
+    return hashes
+
+
 def gram_codes(text: Column) -> Column:
     """Distinct trigrams of the lower-cased text as ascending numbers of three code points.
 
@@ -55,12 +107,16 @@ def gram_codes(text: Column) -> Column:
     """
     read = set_reader()
 
-    @F.arrow_udf("array<bigint>")
-    def codes(batch: pa.Array) -> pa.Array:
+    @piecewise
+    def listed(batch):
         lengths, found = read(batch)
         offsets = np.concatenate(([0], np.cumsum(lengths))).astype(np.int32)
         return pa.ListArray.from_arrays(pa.array(offsets), pa.array(found))
 
+    @F.arrow_udf("array<bigint>")
+    def codes(batch: pa.Array) -> pa.Array:
+        return listed(batch)
+
     return codes(F.lower(text))
 
 
@@ -68,51 +124,55 @@ def gram_digest(text: Column) -> Column:
     """``size`` and ``digest`` of the trigram set: equal digests mean equal sets."""
     read = set_reader()
 
-    @F.arrow_udf("struct<size:int,digest:string>")
-    def digests(batch: pa.Array) -> pa.Array:
+    @piecewise
+    def digested(batch):
         lengths, found = read(batch)
         ends = np.cumsum(lengths)
         sums = [md5(found[e - n : e].tobytes()).hexdigest() for e, n in zip(ends.tolist(), lengths.tolist(), strict=True)]
         return pa.StructArray.from_arrays([pa.array(lengths.astype(np.int32)), pa.array(sums, pa.string())], ["size", "digest"])
 
+    @F.arrow_udf("struct<size:int,digest:string>")
+    def digests(batch: pa.Array) -> pa.Array:
+        return digested(batch)
+
     return digests(F.lower(text))
 
 
 def gram_totals(text: Column) -> Column:
     """``trigrams`` and ``hash_sum``: size of the trigram set and the sum of its base hashes."""
-    read = set_reader()
+    read, hashes = set_reader(), gram_hasher()
 
-    @F.arrow_udf("struct<trigrams:int,hash_sum:bigint>")
-    def totals(batch: pa.Array) -> pa.Array:
+    @piecewise
+    def summed(batch):
         lengths, found = read(batch)
         codes, positions = np.unique(found, return_inverse=True)
-        words = (chr(c >> 2 * BITS) + chr(c >> BITS & LOW) + chr(c & LOW) for c in codes.tolist())
-        bases = np.array([int.from_bytes(md5(word.encode()).digest()[:4], "big") for word in words], np.int64)
-        running = np.concatenate(([0], np.cumsum(bases[positions])))
+        running = np.concatenate(([0], np.cumsum(hashes(codes)[positions])))
         ends = np.cumsum(lengths)
         sums = running[ends] - running[ends - lengths]
         return pa.StructArray.from_arrays([pa.array(lengths.astype(np.int32)), pa.array(sums)], ["trigrams", "hash_sum"])
 
+    @F.arrow_udf("struct<trigrams:int,hash_sum:bigint>")
+    def totals(batch: pa.Array) -> pa.Array:
+        return summed(batch)
+
     return totals(F.lower(text))
 
 
 def signature(text: Column, k: int = 400) -> Column:
     """``k`` minima of the hash family over the text's trigrams, as ``array<int>``.
 
-    The trigrams of a batch form one flat vector in which each distinct one is hashed
-    once.  Neighbouring members of the family differ by ``x + 137``, so each step is
+    The trigrams of a piece of a batch form one flat vector in which each distinct one is
+    hashed once.  Neighbouring members of the family differ by ``x + 137``, so each step is
     one addition and one conditional subtraction over 32-bit lanes instead of a
     64-bit division.
     """
-    read = set_reader()
+    read, hashes = set_reader(), gram_hasher()
 
-    @F.arrow_udf("array<int>")
-    def minima(batch: pa.Array) -> pa.Array:
+    @piecewise
+    def signed(batch):
         lengths, found = read(batch)
         codes, positions = np.unique(found, return_inverse=True)
-        words = (chr(c >> 2 * BITS) + chr(c >> BITS & LOW) + chr(c & LOW) for c in codes.tolist())
-        bases = [int.from_bytes(md5(word.encode()).digest()[:4], "big") % MODULUS for word in words]
-        tokens = np.array(bases, np.uint32)[positions]
+        tokens = (hashes(codes) % MODULUS).astype(np.uint32)[positions]
         result = np.full((len(lengths), k), EMPTY_SLOT, dtype=np.int32)
         rows = np.flatnonzero(lengths)
         ends = np.cumsum(lengths[rows])
@@ -132,6 +192,10 @@ def signature(text: Column, k: int = 400) -> Column:
         offsets = np.arange(0, (len(lengths) + 1) * k, k, dtype=np.int32)
         return pa.ListArray.from_arrays(pa.array(offsets), pa.array(result.ravel()))
 
+    @F.arrow_udf("array<int>")
+    def minima(batch: pa.Array) -> pa.Array:
+        return signed(batch)
+
     return minima(F.lower(text))
 
 
