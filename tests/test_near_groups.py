@@ -154,3 +154,44 @@ def test_sim_forms_agree_with_blocks(spark):
     scored = blocks.score_in_blocks(pairs, values, ["body"], "signature")
     assert set(rows(scored.select("notice_id_a", "notice_id_b", "jaccard"))) == exact
     assert set(rows(scored.select("notice_id_a", "notice_id_b", "estimate"))) == set(rows(sim.minhash_similarity(pairs, sim.signatures(df, 64))))
+
+
+def test_packed_sets_come_back(spark):
+    rng = random.Random(10)
+    df = notices_of(spark, {i: prose(rng, 5 * i) for i in range(8)} | {90: "", 91: "ab", 92: None, 93: "abc", 94: "\U0010ffff\U0010fffe\U0010ffff ä€"})
+    unpack = H.set_unpacker()
+    for r in df.select(H.gram_codes(F.col("body")).alias("g"), H.gram_packed(F.col("body")).alias("p")).collect():
+        assert unpack(r.p).tolist() == r.g
+
+
+def test_shared_counts_equal_plain_sets():
+    """Trigrams of many members by matrix, of few by their holders: any rows against any columns."""
+    import numpy as np
+
+    rng = random.Random(11)
+    sets = [sorted(set(rng.choices(range(40), k=30)) | set(rng.choices(range(100, 2000), k=rng.randrange(60)))) for _ in range(90)] + [[], [7]]
+    shared = blocks._shared_counter()(np.array([len(s) for s in sets]), np.array([c for s in sets for c in s], np.int64))
+    for low, high, left, right in ((0, 92, 0, 92), (5, 9, 40, 92), (91, 92, 0, 3)):
+        got = shared(low, high, left, right)
+        assert all(got[i - low, j - left] == len(set(sets[i]) & set(sets[j])) for i in range(low, high) for j in range(left, right) if i != j)
+
+
+def test_all_pairs_come_out_of_the_squares_without_a_text_per_pair(spark):
+    """Pairs of heads equal brute force, and neither texts nor candidates are written or shuffled for them."""
+    rng = random.Random(12)
+    base = prose(rng, 80)
+    texts = {i: base + " " + prose(rng, i % 7) for i in range(45)} | {50 + i: prose(rng, 40) for i in range(10)} | {70: base, 71: base, 72: "", 73: None}
+    df = notices_of(spark, texts)
+    want = brute_near({i: t for i, t in texts.items() if t is not None}, 0.8)
+    shared = {tuple(r) for r in lsh.block_pairs(lsh.buckets_of(near.staged_bands(df))).collect()}
+    found = near.near_duplicates(df, 0.8)
+    got = found.collect()
+    heads = {r.notice_id_b: r.notice_id_a for r in got if r.kind == "member"}
+    kept = {p: s for p, s in want.items() if p in shared and not set(p) & set(heads)}
+    assert len(kept) > 300 and heads[71] == heads[70]
+    assert {(r.notice_id_a, r.notice_id_b): r.jaccard for r in got if r.kind == "pair"} == kept
+    assert len(got) == len(kept) + len(heads)
+    plan = plan_of(found)
+    assert "body" not in plan and "candidates" not in plan
+    squares = near.compared(*near.folded(df, "mask_then_strip", (), None)[1:], block=6)
+    assert {(r.notice_id_a, r.notice_id_b): r.jaccard for r in blocks.near_in_squares(squares, 0.8, listed=True).collect()} == kept

@@ -192,24 +192,32 @@ def kept_buckets(buckets: DataFrame) -> DataFrame:
 
     Members are told apart by their number and two hashes of 64 bits. The first band that two
     notices share is never left out: an earlier bucket with the same members would hold both.
+    A column ``elements`` of ``buckets`` is added up beside.
     """
     marks = [F.bit_xor(F.xxhash64(*seed, ID)).alias(f"_m{n}") for n, seed in enumerate(((), (F.lit(1),)))]
-    sized = buckets.groupBy(*BUCKET).agg(F.count("*").alias("size"), *marks).where("size > 1")
-    return sized.groupBy("size", "_m0", "_m1").agg(F.min(F.struct(*BUCKET)).alias("b")).select("b.*", "size")
+    told = [c for c in ("elements",) if c in buckets.columns]
+    volume = [F.sum(c).alias(c) for c in told]
+    sized = buckets.groupBy(*BUCKET).agg(F.count("*").alias("size"), *volume, *marks).where("size > 1")
+    one = F.min(F.struct(*BUCKET, *told)).alias("b")
+    return sized.groupBy("size", "_m0", "_m1").agg(one).select("b.band_id", "b.bucket_hash", "size", *[f"b.{c}" for c in told])
 
 
-def squares_of(buckets: DataFrame, block: int = 256) -> DataFrame:
-    """Bucket rows dealt into squares of two blocks: ``square``, ``diagonal``, ``own`` beside the other columns.
+def squares_of(banded: DataFrame, block: int = 4096, texts: int = 512) -> DataFrame:
+    """``notice_id, band_id, square, diagonal, own``: the squares of two blocks that the buckets of ``notice_id, bands, size`` are dealt into.
 
-    A member of a bucket of n notices goes to ``n / block`` squares; each holds two blocks at most.
+    A block holds about ``block`` members, or fewer whose trigram sets (``size``) are larger than
+    ``texts`` on average; a member goes to as many squares as its bucket has blocks, and a square
+    holds two blocks at most. The rows are narrow: what is compared joins them by id.
     """
-    sized = buckets.join(kept_buckets(buckets).withColumnRenamed("size", "_size"), list(BUCKET))
-    parts = F.ceil(F.col("_size") / F.lit(block)).cast("int")
+    buckets = banded.select(F.posexplode("bands").alias(*BUCKET), ID, F.col("size").cast("long").alias("elements"))
+    kept = kept_buckets(buckets).withColumnsRenamed({"size": "_size", "elements": "_elements"})
+    sized = buckets.select(*BUCKET, ID).join(kept, list(BUCKET))
+    parts = F.ceil(F.greatest(F.col("_size") / F.lit(block), F.col("_elements") / F.lit(block * texts))).cast("int")
     dealt = sized.withColumn("_parts", parts).withColumn("own", F.pmod(F.hash(ID), F.col("_parts")))
     spread = dealt.withColumn("_other", F.explode(F.sequence(F.lit(0), F.col("_parts") - 1)))
     row, column = F.least("own", "_other"), F.greatest("own", "_other")
-    named = spread.withColumns({"square": F.concat_ws("/", *BUCKET, row, column), "diagonal": row == column})
-    return named.drop(*BUCKET, "_size", "_parts", "_other")
+    square = F.concat_ws("/", *BUCKET, row, column)
+    return spread.select(ID, "band_id", square.alias("square"), (row == column).alias("diagonal"), "own")
 
 
 def lsh_stats(banded: DataFrame, max_bucket: int = DENSE) -> DataFrame:

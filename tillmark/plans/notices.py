@@ -83,25 +83,38 @@ def strategy_scores(
 
 
 def folded(notices: DataFrame, strategy: str, phrases: Sequence[str], latest: str | None) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """One text per id; their sizes, digests and bands; and one head for each digest, with ``weight`` notices (an action)."""
+    """One text per id; their sizes, digests, bands and packed sets; and one head for each digest, with ``weight`` notices (an action)."""
     settled = unique_notices(notices, latest)
     body = F.col(sim.BODY)
     known = sim.clean_text(settled, strategy, phrases).select(
-        sim.ID, H.gram_digest(body).alias("_d"), H.signature(body, 400).alias("signature")
+        sim.ID, H.gram_digest(body).alias("_d"), H.signature(body, 400).alias("signature"), H.gram_packed(body).alias("packed")
     )
     bands = H.band_keys(F.col("signature"), 20, 20).alias("bands")
-    known = stage(known.select(sim.ID, "_d.size", "_d.digest", bands), "bands")
+    known = stage(known.select(sim.ID, "_d.size", "_d.digest", bands, "packed"), "bands")
     heads = known.where("size > 0").groupBy("digest").agg(F.min(sim.ID).alias("head"), F.count("*").alias("weight"))
     return settled, known, heads
 
 
+def compared(known: DataFrame, heads: DataFrame, block: int = 4096) -> DataFrame:
+    """The heads' packed sets, dealt into the squares of their buckets, for ``blocks.near_in_squares``.
+
+    Narrow rows say which head goes to which squares; its set, weight and band keys join them once
+    and move with it. ``prior`` has the keys of the bands before that of the square.
+    """
+    groups = known.join(heads.select(F.col("head").alias(sim.ID), "weight"), sim.ID)
+    keys = F.transform("bands", lambda key: F.unhex(key))
+    squares = lsh.squares_of(groups.select(sim.ID, "bands", "size"), block)
+    told = squares.join(groups.select(sim.ID, "weight", "packed", keys.alias("_keys")), sim.ID)
+    return told.withColumn("prior", F.slice("_keys", 1, F.col("band_id")))
+
+
 def near_groups(
     notices: DataFrame,
     threshold: float = 0.8,
     strategy: str = "mask_then_strip",
     phrases: Sequence[str] = X.PHRASES,
     latest: str | None = None,
-    block: int = 256,
+    block: int = 4096,
 ) -> tuple[DataFrame, DataFrame]:
     """Near-duplicate groups without a list of pairs (an action).
 
@@ -112,11 +125,8 @@ def near_groups(
     linear in the notices however many near copies there are: pairs are compared where a bucket's
     blocks meet and only counted. Texts without trigrams are similar to none.
     """
-    settled, known, heads = folded(notices, strategy, phrases, latest)
-    groups = known.join(heads.select(F.col("head").alias(sim.ID), "weight"), sim.ID).select(sim.ID, "bands", "weight")
-    squares = lsh.squares_of(lsh.buckets_with_prior(groups), block)
-    texts = lowered(settled, {sim.BODY: strategy}, phrases)
-    found = stage(blocks.near_in_squares(squares.join(texts, sim.ID), threshold), "near")
+    _, known, heads = folded(notices, strategy, phrases, latest)
+    found = stage(blocks.near_in_squares(compared(known, heads, block), threshold), "near")
     forest = found.where(F.col(sim.PAIR[1]).isNotNull()).select(*sim.PAIR, "jaccard")
     label = components(forest, *sim.PAIR).select(F.col("node").alias("head"), F.col("label").alias("group_id"))
     links = found.where("links is not null").groupBy(F.col(sim.PAIR[0]).alias("head")).agg(F.sum("links").alias("linked"))
@@ -141,18 +151,18 @@ def near_duplicates(
     One text per id is settled first.  Notices with the same trigram set fold into a group
     named by its smallest id: ``kind = 'member'`` rows list the others, similarity 1.0, linear
     in the group.  ``kind = 'pair'`` rows are all pairs of groups that share a bucket and reach
-    the threshold; any pair of notices follows from the two.  Nothing is dropped unless the
-    caller passes ``max_bucket``.  Texts without trigrams are similar to none.
+    the threshold; any pair of notices follows from the two.  They are compared where a bucket's
+    blocks meet: no list of candidates is written, and a packed set moves once a square, not once a pair.
+    Nothing is dropped unless the caller passes ``max_bucket``.  Texts without trigrams are similar to none.
     """
     settled, known, heads = folded(notices, strategy, phrases, latest)
     known = known.where("size > 0")
     members = known.join(heads, "digest").where(F.col(sim.ID) != F.col("head"))
-    groups = known.join(heads.select(F.col("head").alias(sim.ID)), sim.ID, "left_semi").drop("digest")
     if max_bucket is None:
-        found = lsh.block_pairs(lsh.buckets_with_prior(groups), condition=sim.size_bound(threshold))
+        verified = blocks.near_in_squares(compared(known, heads), threshold, listed=True)
     else:
-        found = lsh.candidate_pairs(lsh.buckets_of(groups), max_bucket)
-    pairs = stage(found, "candidates")
-    verified = exact_scores(settled, pairs, strategy, phrases).where(F.col("jaccard") >= threshold)
+        groups = known.join(heads.select(F.col("head").alias(sim.ID)), sim.ID, "left_semi")
+        pairs = stage(lsh.candidate_pairs(lsh.buckets_of(groups), max_bucket), "candidates")
+        verified = exact_scores(settled, pairs, strategy, phrases).where(F.col("jaccard") >= threshold)
     shown = members.select(F.lit("member").alias("kind"), F.col("head").alias(sim.PAIR[0]), F.col(sim.ID).alias(sim.PAIR[1]), F.lit(1.0).alias("jaccard"))
     return verified.select(F.lit("pair").alias("kind"), *sim.PAIR, "jaccard").union(shown)
