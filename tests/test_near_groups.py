@@ -109,6 +109,15 @@ def test_scores_in_blocks(spark):
         assert set(map(tuple, got.collect())) == want and got.count() == len(want)
 
 
+def test_groups_of_squares_grow_with_the_pairs(spark):
+    """A hundred blocks of texts make ten thousand squares, but forty pairs make four groups."""
+    texts = notices_of(spark, {i: f"text number {i} of many" for i in range(1000)})
+    pairs = spark.createDataFrame([(i, 999 - 7 * i) for i in range(40)], "notice_id_a bigint, notice_id_b bigint")
+    scored = blocks.score_in_blocks(pairs, texts, ["body"], block=10)
+    assert ", 42), 4) as int) AS _row" in plan_of(scored) or ", 42), 4) AS _row" in plan_of(scored)
+    assert scored.count() == 40
+
+
 def test_no_exchange_carries_a_set_per_pair(spark):
     """With broadcast off, the pairs' own exchange carries ids, and texts go by id and square."""
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")

@@ -39,18 +39,20 @@ def score_in_blocks(pairs: DataFrame, texts: DataFrame, columns: Sequence[str],
     ``texts`` has one row a ``notice_id`` with lower-cased texts in ``columns``. The new columns are
     ``strategy`` (the text column's name), ``jaccard``, and with ``signature`` (a column of
     ``texts``) ``estimate``, the share of equal slots. Ids are dealt into blocks of about ``block``;
-    a pair belongs to a square of two blocks and a text goes once to each square that needs it, so
-    an id with very many pairs is spread over all squares of its row. NULL texts are empty, two empty
-    sets have similarity 0.0, pairs with an unknown id are left out.
+    a pair belongs to a square of two blocks, so an id with very many pairs is spread over all squares
+    of its row. Squares, which outnumber the pairs where these are few, are dealt into as many groups
+    as hold about ``block`` pairs each, and a text goes once to each group that needs it: the groups grow with the
+    pairs, not with the square of the texts. NULL texts are empty, two empty sets have similarity 0.0,
+    pairs with an unknown id are left out. ``pairs`` is read several times: pass a written table.
     """
     count = -(-texts.count() // block) or 1
+    groups = -(-pairs.count() // block) or 1
 
     def own(column):
         return F.pmod(F.xxhash64(column), F.lit(count)).cast("int")
 
-    asked_in, sent_to = ("_row", "_column"), ("_to_row", "_to_column")
-    keyed = pairs.withColumn("_row", own(PAIR[0])).withColumn("_column", own(PAIR[1]))
-    sides = [keyed.select(*[F.col(c).alias(n) for c, n in zip(asked_in, sent_to)], F.col(side).alias(ID)) for side in PAIR]
+    keyed = pairs.withColumn("_row", F.pmod(F.xxhash64(own(PAIR[0]), own(PAIR[1])), F.lit(groups)).cast("int"))
+    sides = [keyed.select(F.col("_row").alias("_to_row"), F.col(side).alias(ID)) for side in PAIR]
     extra = [signature] if signature else []
     sent = sides[0].union(sides[1]).distinct().join(texts.select(ID, *columns, *extra), ID)
     made = "strategy string, jaccard double" + (", estimate double" if signature else "")
@@ -85,7 +87,7 @@ def score_in_blocks(pairs: DataFrame, texts: DataFrame, columns: Sequence[str],
     def run(asked: pa.Table, told: pa.Table) -> pa.Table:
         return work(asked, told)
 
-    return keyed.groupBy(*asked_in).cogroup(sent.groupBy(*sent_to)).applyInArrow(run, schema)
+    return keyed.groupBy("_row").cogroup(sent.groupBy("_to_row")).applyInArrow(run, schema)
 
 
 def _shared_counter():
