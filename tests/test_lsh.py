@@ -109,6 +109,19 @@ def test_lookup(spark):
     assert whole == {(2, 3, 2), (900, 1, 1)} | {(2, i, 1) for i in range(100, 400)}
 
 
+def test_lookup_adds_up_bounded_hits_a_task(spark, monkeypatch):
+    """Hits are counted first, dealt by pair into enough tasks, and added up nowhere else."""
+    monkeypatch.setattr(lsh, "HITS", 20)
+    buckets = table(spark, MEMBERS)
+    queries = table(spark, {(0, "two"): [2], (1, "again"): [2], (2, "hot"): [2], (0, "single"): [900]})
+    hits = sum(len(MEMBERS[k]) for k in ((0, "two"), (1, "again"), (2, "hot"), (0, "single")))
+    found = lsh.lookup_notices(queries, buckets)
+    plan = plan_of(found)
+    assert set(rows(found)) == {(2, 3, 2), (900, 1, 1)} | {(2, i, 1) for i in range(100, 400)}
+    dealt = plan.index("Exchange hashpartitioning(query_id")
+    assert f", {-(-hits // 20)}), REPARTITION_BY_NUM" in plan[dealt:].split("\n")[0] and "HashAggregate" not in plan[dealt:]
+
+
 def banded(spark, keys):
     return spark.createDataFrame([(i, list(k)) for i, k in keys.items()], "notice_id bigint, bands array<string>")
 

@@ -19,6 +19,8 @@ BUCKET = ("band_id", "bucket_hash")
 DENSE = 50
 # Largest rank that Spark limits before a shuffle (spark.sql.optimizer.windowGroupLimitThreshold).
 GROUP_LIMIT = 1000
+# Hits of a lookup that one task adds up: some 100 bytes each in its hash tables.
+HITS = 1 << 19
 
 
 def band_table(sigs: DataFrame, bands: int = 20, rows: int = 20, empty: str = "sentinel") -> DataFrame:
@@ -266,14 +268,17 @@ def bucket_lookup(buckets: DataFrame, band_id: int, bucket_hash: str) -> DataFra
 def lookup_notices(queries: DataFrame, buckets: DataFrame, max_bucket: int | None = None) -> DataFrame:
     """For each query notice the stored notices it shares a bucket with, and in how many bands.
 
-    All of them, however dense the bucket.  Only with ``max_bucket`` are denser buckets not
+    All of them, however dense the bucket: hits are counted first and dealt by pair into
+    as many tasks as it takes to add up ``HITS`` in each (an action).  Only with ``max_bucket`` are denser buckets not
     expanded: for them ``match_id`` is NULL and ``bands`` counts those the query falls into.
     """
     wanted = queries.select(*BUCKET, F.col(ID).alias("query_id"))
     if max_bucket is None:
         hits = wanted.join(buckets.select(*BUCKET, F.col(ID).alias("match_id")), list(BUCKET)).select("query_id", "match_id")
         hits = hits.where(F.col("match_id") != F.col("query_id"))
-        return hits.groupBy("query_id", "match_id").agg(F.count("*").alias("bands"))
+        total = hits.count()
+        parts = max(buckets.sparkSession.sparkContext.defaultParallelism, -(-total // HITS))
+        return hits.repartition(parts, "query_id", "match_id").groupBy("query_id", "match_id").agg(F.count("*").alias("bands"))
     small = bounded_groups(buckets, max_bucket)
     hits = wanted.join(small, list(BUCKET)).select("query_id", F.explode("members").alias("match_id"))
     hits = hits.where(F.col("match_id") != F.col("query_id"))
