@@ -148,14 +148,16 @@ def _send(spark: SparkSession, lines: DataFrame, inbox: str) -> None:
 
 
 def partition_filter(spark: SparkSession, sf: str) -> DataFrame:
-    """One store-month read from a tree of them."""
+    """The store-months of a quarter, each read from a tree of them."""
     order, day = F.col("o_orderkey"), F.col("o_orderdate")
     tree = staging_path(spark, "tree")
     split = st.table(spark, sf, "orders").select(
         "o_orderkey", F.year(day).alias("year"), F.month(day).alias("month"), st.store_id(order).alias("store")
     )
     split.hint("rebalance", "year", "month", "store").write.partitionBy("year", "month", "store").parquet(tree)
-    return files.filter_partition(spark.read.parquet(tree), "S03", 1996, 4).select("o_orderkey", "store", "year", "month")
+    landed = spark.read.parquet(tree)
+    months = [files.filter_partition(landed, "S03", 1996, month) for month in (4, 5, 6)]
+    return reduce(DataFrame.unionAll, months).select("o_orderkey", "store", "year", "month")
 
 
 def fallback_files(spark: SparkSession, sf: str) -> DataFrame:

@@ -194,8 +194,8 @@ _WAREHOUSE = {
     UNION ALL SELECT 3, year, month, store, 1, CASE WHEN again THEN kept_lines ELSE all_lines END
     FROM marked WHERE year > 1996 OR again
     UNION ALL SELECT 0, year, month, store, 1, CASE WHEN again THEN kept_lines ELSE all_lines END FROM marked""",
-    "partition_filter": f"""SELECT o_orderkey, {STORE.format(key='o_orderkey')} AS store, 1996 AS year, 4 AS month FROM orders
-    WHERE strftime(o_orderdate, '%Y-%m') = '1996-04' AND {STORE.format(key='o_orderkey')} = 'S03'""",
+    "partition_filter": f"""SELECT o_orderkey, {STORE.format(key='o_orderkey')} AS store, 1996 AS year, CAST(month(o_orderdate) AS INTEGER) AS month FROM orders
+    WHERE strftime(o_orderdate, '%Y-%m') BETWEEN '1996-04' AND '1996-06' AND {STORE.format(key='o_orderkey')} = 'S03'""",
     "fallback_files": """SELECT o_orderkey, o_totalprice, CAST(strftime(o_orderdate, '%Y%m') AS INTEGER) AS month,
       strftime(o_orderdate, '%Y%m') IN ('199603', '199604') AS from_mirror FROM orders""",
     "swept_prices": f"""WITH {FACT}, {REVISIONS}
