@@ -5,7 +5,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from conftest import plan_of, rows
+from tillmark.operators import intervals as module
 from tillmark.operators.intervals import interval_join, sweep_join
+from tillmark.plans import catalog, standins
 
 D = dt.date
 
@@ -143,3 +145,101 @@ def test_sweep_spreads_a_hot_key(spark):
     assert got.where(F.col("sk") == F.col("id") % 3000).count() == 6000 == got.count()
     with pytest.raises(ValueError):
         sweep_join(points, validity, ["code"], "day", "f", "t", "[]", "right")
+
+
+@pytest.fixture
+def stored(monkeypatch):
+    """Plans of what the sweep stores, by name."""
+    plans, keep = {}, module.stage
+
+    def noted(df, name, *rest):
+        plans[name] = df._jdf.queryExecution().optimizedPlan().toString()
+        return keep(df, name, *rest)
+
+    monkeypatch.setattr(module, "stage", noted)
+    return plans
+
+
+def apart(rng, keys, first):
+    """Revisions of each key that do not overlap, with gaps."""
+    out = []
+    for key in keys:
+        edges = sorted(rng.sample(range(-40, 400), 12))
+        out += [(key, first + len(out), days(a), rng.choice([days(b - 1), days(a)])) for a, b in zip(edges, edges[1:])]
+        out.append((key, first + len(out), days(edges[-1]), None))
+    return out
+
+
+def test_sweep_shuffles_cold_keys_once(spark, stored):
+    """No ranges, no stored stream and no join: one sort by key gives every point its price."""
+    rng = random.Random(13)
+    keys = [f"k{n}" for n in range(20)]
+    points = [(i, rng.choice([*keys, "none", None]), days(rng.randrange(-60, 450))) for i in range(600)]
+    every = (points, apart(rng, keys, 0))
+    got = sweep_join(*frames(spark, every), ["code"], "day", "f", "t")
+    assert sorted(stored) == ["swept", "tangled"]
+    assert "Repartition" not in stored["swept"] and "Join" not in stored["swept"]
+    assert rows(got.select("id", "sk")) == brute(every, "[]", "left")
+    assert "Join" not in plan_of(got)
+
+
+@pytest.mark.parametrize("bounds", ["[]", "[)"])
+@pytest.mark.parametrize("how", ["left", "inner"])
+def test_sweep_of_hot_and_cold_keys(spark, stored, bounds, how):
+    """"x" and the overlapping "y" are hot and go over ranges; "k0" to "k59" and the overlapping "z" are not."""
+    rng = random.Random(14)
+    keys = [f"k{n}" for n in range(60)]
+    right = apart(rng, [*keys, "x", "y", "z"], 0) + [("y", 5000, days(0), days(300)), ("z", 5001, days(0), days(300))]
+    points = [(i, rng.choice([*keys, "z", None]), rng.choice([days(rng.randrange(-60, 450)), None])) for i in range(600)]
+    points += [(1000 + i, "x" if i % 2 else "y", days(rng.randrange(-60, 450))) for i in range(1200)]
+    every = (points, right)
+    got = sweep_join(*frames(spark, every), ["code"], "day", "f", "t", bounds, how, parts=4, hot_rows=100)
+    assert got.columns == ["id", "code", "day", "sk", "f", "t"]
+    assert "stream" in stored and "RepartitionByExpression" in stored["stream"]
+    assert rows(got.select("id", "sk")) == brute(every, bounds, how)
+
+
+def test_sweep_of_nothing(spark):
+    points, intervals = frames(spark, ([(1, "a", days(0)), (2, None, days(0))], [("a", 1, days(0), None)]))
+    none = sweep_join(points, intervals.where("false"), ["code"], "day", "f", "t")
+    assert rows(none.select("id", "sk")) == [(1, None), (2, None)]
+    assert rows(sweep_join(points.where("false"), intervals, ["code"], "day", "f", "t")) == []
+
+
+@pytest.fixture(scope="module")
+def retail(spark, tmp_path_factory):
+    """Two products over three months; product 50 is reissued in July 1998; the last line is no revenue."""
+    root = tmp_path_factory.mktemp("retail")
+    at = [D(1997, 3, 5), D(1997, 3, 20), D(1997, 5, 1), D(1998, 6, 30), D(1998, 7, 1), D(1998, 7, 9)]
+    lines = [
+        (2 * n + part, 1, part, 2.0 + n, 10.0 * part + n, 0.0, "N", "O", day)
+        for part in (1, 50) for n, day in enumerate(at)
+    ] + [(901, 1, 1, 1.0, 99.0, 0.0, "A", "O", at[2]), (902, 1, None, 1.0, 5.0, 0.0, "N", "O", at[2])]
+    names = "l_orderkey long, l_linenumber int, l_partkey long, l_quantity double, l_extendedprice double, l_tax double, l_returnflag string, l_linestatus string, l_shipdate date"
+    spark.createDataFrame(lines, names).write.parquet(str(root / "lineitem.parquet"))
+    part = [(1, "one", "Brand#1", 3), (50, "fifty", "Brand#2", 4)]
+    spark.createDataFrame(part, "p_partkey long, p_name string, p_brand string, p_size int").write.parquet(str(root / "part.parquet"))
+    return str(root)
+
+
+def test_revisions_are_made_without_dealing_lines(spark, retail):
+    """Lines shrink to a price a month where they are read; the highest price of a month, to the day before the next."""
+    prices = standins.price_revisions(spark, retail).where("product_sk is not null")
+    assert "REPARTITION" not in plan_of(prices)
+    first, may, june, july, far = D(1997, 3, 1), D(1997, 5, 1), D(1998, 6, 1), D(1998, 7, 1), D(9999, 12, 31)
+    got = [(sk, float(price), start, end) for sk, price, start, end in rows(prices)]
+    assert sorted(got) == [
+        (2, 11.0, first, D(1997, 4, 30)), (2, 13.0, june, D(1998, 6, 30)), (2, 15.0, july, far), (2, 99.0, may, D(1998, 5, 31)),
+        (100, 501.0, first, D(1997, 4, 30)), (100, 502.0, may, D(1998, 5, 31)), (100, 503.0, june, far), (101, 505.0, july, far),
+    ]
+
+
+def test_swept_prices_reads_the_lines_once_for_prices(spark, retail):
+    """What is aggregated at the end comes from stored rows only; values against a plain sum."""
+    got = catalog.swept_prices(spark, retail)
+    assert "lineitem" not in got._jdf.queryExecution().optimizedPlan().toString()
+    by_month = {
+        "1997-03": (4, 4, 2 * 11.0 + 3 * 11.0 + 2 * 501.0 + 3 * 501.0), "1997-05": (3, 2, 4 * 99.0 + 4 * 502.0),
+        "1998-06": (2, 2, 5 * 13.0 + 5 * 503.0), "1998-07": (4, 4, 6 * 15.0 + 7 * 15.0 + 6 * 505.0 + 7 * 505.0),
+    }
+    assert {r.month: (r.lines, r.priced, r.list_value) for r in got.collect()} == by_month

@@ -73,15 +73,18 @@ def sweep_join(
     bounds: str = "[]",
     how: str = "left",
     parts: int | None = None,
+    hot_rows: int = 100_000,
 ) -> DataFrame:
     """The rows of :func:`interval_join`, by one pass over points and interval starts in order (an action).
 
     Starts and points of a key form one stream in time; the last start is carried forward and
-    its end decides. The stream is dealt into ``parts`` ranges of (key, time), so a key that is
-    hot on both sides goes over several tasks and no point meets more than one interval; what a
-    range needs from earlier ones is its key's last start before it. Keys whose intervals overlap
-    are found on the way and handed to :func:`interval_join`. Points with a NULL key or time, and
-    intervals that contain nothing, never enter the stream.
+    its end decides, so no point meets more than one interval. The stream is shuffled and sorted
+    once, by key. A key that is hot on both sides must not go to one task: rows are counted by
+    hashes of the key first, and keys whose hash has more than ``hot_rows`` rows and far more than
+    the others are dealt into ``parts`` ranges of (key, time); what a range needs from earlier ones
+    is its key's last start before it. Keys whose intervals overlap are found on the way and handed
+    to :func:`interval_join`. Points with a NULL key or time, and intervals that contain nothing,
+    never enter the stream. Both sides are read more than once: store what is dear to make.
     """
     if bounds not in ("[]", "[)"):
         raise ValueError("bounds must be '[]' or '[)'")
@@ -102,32 +105,50 @@ def sweep_join(
     interval, point = F.struct(*rest), F.struct(*points.columns)
     starts = sound.select(*own, F.col(start).alias("_t"), F.lit(0).alias("_kind"), interval.alias("_i"))
     dated = asked.select(*own, F.col(at).alias("_t"), F.lit(1).alias("_kind"), point.alias("_p"))
-    stream = starts.unionByName(dated, allowMissingColumns=True).withColumn("_tie", F.xxhash64("_p"))
-    stream = stage(stream.repartitionByRange(parts, *names, "_t", "_kind", "_tie").withColumn("_range", F.spark_partition_id()), "stream")
+    stream = starts.unionByName(dated, allowMissingColumns=True)
+    slot = F.pmod(F.xxhash64(*names), F.lit(16 * parts))
+    sizes = stream.groupBy(slot.alias("_slot")).count().collect()
+    most = max(hot_rows, sum(r["count"] for r in sizes) / (4 * parts))
+    hot = [r["_slot"] for r in sizes if r["count"] > most]
 
-    last = stream.groupBy(*names, "_range").agg(F.max_by("_i", F.when(F.col("_kind") == 0, F.col("_t"))).alias("_i"))
-    before = Window.partitionBy(*names).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
-    carried = last.select(*names, "_range", F.last("_i", ignorenulls=True).over(before).alias("_carried"))
-    order = Window.partitionBy(*names, "_range").orderBy("_t", "_kind")
-    earlier = F.last("_i", ignorenulls=True).over(order.rowsBetween(Window.unboundedPreceding, -1))
-    swept = stage(
-        stream.withColumn("_last", earlier).join(carried, [*names, "_range"])
-        .select(*names, "_t", "_kind", "_i", "_p", F.coalesce("_last", "_carried").alias("_last")),
-        "swept",
-    )
+    order = Window.partitionBy(*names).orderBy("_t", "_kind").rowsBetween(Window.unboundedPreceding, -1)
+    cold = stream.where(~slot.isin(hot)) if hot else stream
+    ordered = cold.withColumn("_last", F.last("_i", ignorenulls=True).over(order))
+    if hot:
+        ordered = ordered.unionByName(_swept_ranges(stream.where(slot.isin(hot)), names, parts))
     until = F.col(f"_last.`{end}`")
-    open_ = until.isNull() | (F.col("_t") <= until if bounds == "[]" else F.col("_t") < until)
-    overlap = (F.col("_kind") == 0) & F.col("_last").isNotNull() & open_
-    tangled = stage(swept.where(overlap).select(*names).distinct(), "tangled")
-    met = swept.where("_kind = 1").withColumn("_last", F.when(F.col("_last").isNotNull() & open_, F.col("_last")))
-    simple = met.join(tangled, names, "left_anti").select("_p.*", *[F.col(f"_last.`{c}`").alias(c) for c in rest], F.col("_last").isNotNull().alias("_hit"))
-    simple = (simple if how == "left" else simple.where("_hit")).drop("_hit")
-    again = tangled.withColumnsRenamed(dict(zip(names, keys)))
-    other = interval_join(
-        asked.join(again, list(keys), "left_semi").select(*points.columns), sound.join(again, list(keys), "left_semi"), keys, at, start, end, bounds, how
+    open_ = F.col("_last").isNotNull() & (until.isNull() | (F.col("_t") <= until if bounds == "[]" else F.col("_t") < until))
+    start_ = F.col("_kind") == 0
+    swept = ordered.where(~start_ | open_).select(  # of the starts only those within another interval are kept
+        "_kind", *[F.when(start_, F.col(n)).alias(n) for n in names], "_p", F.when(open_, F.col("_last")).alias("_last")
     )
-    found = simple.unionByName(other)
+    swept = stage(swept, "swept")
+    tangled = stage(swept.where("_kind = 0").select(*names).distinct(), "tangled")
+    none = tangled.isEmpty()
+    met = swept.where("_kind = 1").select("_p.*", *[F.col(f"_last.`{c}`").alias(c) for c in rest], F.col("_last").isNotNull().alias("_hit"))
+    again = tangled.withColumnsRenamed(dict(zip(names, keys)))
+    found = met if none else met.join(again, list(keys), "left_anti").select(*met.columns)
+    found = (found if how == "left" else found.where("_hit")).drop("_hit")
+    if not none:
+        other = interval_join(
+            asked.join(again, list(keys), "left_semi").select(*points.columns), sound.join(again, list(keys), "left_semi"), keys, at, start, end, bounds, how
+        )
+        found = found.unionByName(other)
     if how == "inner":
         return found
     alone = points.where(~F.coalesce(whole & F.col(at).isNotNull(), F.lit(False)))
     return found.unionByName(alone, allowMissingColumns=True)
+
+
+def _swept_ranges(stream: DataFrame, names: Sequence[str], parts: int) -> DataFrame:
+    """``stream`` with the last start before each row of its key as ``_last``, by ranges of (key, time) (an action)."""
+    columns = stream.columns
+    ranges = stream.withColumn("_tie", F.xxhash64("_p")).repartitionByRange(parts, *names, "_t", "_kind", "_tie")
+    ranges = stage(ranges.withColumn("_range", F.spark_partition_id()), "stream")
+    last = ranges.groupBy(*names, "_range").agg(F.max_by("_i", F.when(F.col("_kind") == 0, F.col("_t"))).alias("_i"))
+    before = Window.partitionBy(*names).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    carried = last.select(*names, "_range", F.last("_i", ignorenulls=True).over(before).alias("_carried"))
+    order = Window.partitionBy(*names, "_range").orderBy("_t", "_kind")
+    earlier = F.last("_i", ignorenulls=True).over(order.rowsBetween(Window.unboundedPreceding, -1))
+    joined = ranges.withColumn("_earlier", earlier).join(carried, [*names, "_range"])
+    return joined.select(*columns, F.coalesce("_earlier", "_carried").alias("_last"))

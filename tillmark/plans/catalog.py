@@ -301,7 +301,8 @@ def avg_variance(spark: SparkSession, sf: str) -> DataFrame:
 def swept_prices(spark: SparkSession, sf: str) -> DataFrame:
     """Every revenue line at the price of its day, by the sweep: lines, priced lines and value by month."""
     sold = stage(_fact(spark, sf).select("product_sk", "business_date", "quantity"), "sold")
-    priced = sweep_join(sold, st.price_revisions(spark, sf), ["product_sk"], "business_date", "effective_from", "effective_to", "[]")
+    prices = stage(st.price_revisions(spark, sf), "prices")
+    priced = sweep_join(sold, prices, ["product_sk"], "business_date", "effective_from", "effective_to", "[]")
     value = F.sum(F.col("quantity").cast("decimal(18,2)") * F.col("selling_price")).cast("double")
     return priced.groupBy(F.date_format("business_date", "yyyy-MM").alias("month")).agg(
         F.count("*").alias("lines"), F.count("selling_price").alias("priced"), value.alias("list_value")
